@@ -122,3 +122,84 @@ def totals_all_sql() -> str:
 
 def resp_h_totals_cte() -> str:
     return "resp_h_totals AS (" + total_select(TOTALS[[t.tipo for t in TOTALS].index("RESP_H")]) + ")"
+
+
+# ------------------------------------------------------------ web names
+DNS_WWW_CTE = (
+    "dns_www AS (SELECT UID, ID_ORIG_H, ID_ORIG_P, ID_RESP_H, ID_RESP_P, QUERY FROM LOG "
+    f"WHERE TIPO = 'DNS' AND TS_CODE > {SINCE_SQL} AND QUERY LIKE '%www.%')"
+)
+CONN_BY_QUERY_CTE = (
+    "conn_by_query AS (SELECT DISTINCT d.UID AS UID, c.ID_ORIG_H, c.ID_ORIG_P, c.ID_RESP_H, c.ID_RESP_P, "
+    "c.PROTO, c.SERVICE, c.DURATION, c.ORIG_BYTES, c.RESP_BYTES, d.QUERY AS QUERY "
+    "FROM dns_www d JOIN conn c ON d.UID = c.UID)"
+)
+
+
+def dns_www_sql() -> str:
+    return with_ctes("SELECT * FROM dns_www", DNS_WWW_CTE)
+
+
+def conn_by_query_sql() -> str:
+    return with_ctes(
+        "SELECT UID, ID_ORIG_H, ID_ORIG_P, ID_RESP_H, ID_RESP_P, PROTO, SERVICE, ROUND(DURATION, 4) AS DURATION, "
+        "ORIG_BYTES, RESP_BYTES, QUERY FROM conn_by_query",
+        DNS_WWW_CTE, CONN_BY_QUERY_CTE,
+    )
+
+
+def www_totals_sql() -> str:
+    return with_ctes(
+        "SELECT QUERY, ROUND(SUM(DURATION), 4) AS DURATION, CAST(SUM(ORIG_BYTES) AS BIGINT) AS ORIG_BYTES, "
+        "CAST(SUM(RESP_BYTES) AS BIGINT) AS RESP_BYTES FROM conn_by_query GROUP BY QUERY",
+        DNS_WWW_CTE, CONN_BY_QUERY_CTE,
+    )
+
+
+def top_consumers_sql(n: int = 100) -> str:
+    from flowlens.schemas import CONN_COLUMNS
+
+    cols = ", ".join("ROUND(DURATION, 4) AS DURATION" if c == "DURATION" else c for c in CONN_COLUMNS)
+    return with_ctes(f"SELECT {cols} FROM conn ORDER BY ORIG_BYTES DESC NULLS LAST, UID ASC LIMIT {n}")
+
+
+# ------------------------------------------------------- per-minute tables
+MINUTE_MEASURES_SQL = (
+    "ROUND(SUM(DURATION), 4) AS DURATION, CAST(SUM(ORIG_PKTS) AS BIGINT) AS ORIG_PKTS, "
+    "CAST(SUM(ORIG_IP_BYTES) AS BIGINT) AS ORIG_IP_BYTES, CAST(SUM(ORIG_BYTES) AS BIGINT) AS ORIG_BYTES, "
+    "CAST(SUM(RESP_PKTS) AS BIGINT) AS RESP_PKTS, CAST(SUM(RESP_IP_BYTES) AS BIGINT) AS RESP_IP_BYTES, "
+    "CAST(SUM(RESP_BYTES) AS BIGINT) AS RESP_BYTES, COUNT(*) AS \"COUNT\""
+)
+
+
+def minutes_select(kind: str, value: str, round_doubles: bool = True) -> str:
+    if kind == "ddos":
+        keys, where = "ID_ORIG_H, ID_RESP_H, ID_RESP_P, PROTO, SERVICE", f"SERVICE = '{value}'"
+    else:
+        keys, where = "ID_ORIG_H, ID_ORIG_P, ID_RESP_H, PROTO", f"PROTO = '{value}'"
+    measures = MINUTE_MEASURES_SQL if round_doubles else MINUTE_MEASURES_SQL.replace(
+        "ROUND(SUM(DURATION), 4)", "SUM(DURATION)")
+    return (f"SELECT {keys}, date_trunc('minute', TS) AS TS, {measures} FROM conn WHERE {where} "
+            f"GROUP BY {keys}, date_trunc('minute', TS)")
+
+
+def minutes_sql(kind: str, value: str) -> str:
+    return with_ctes(minutes_select(kind, value))
+
+
+def two_means_sql(kind: str, value: str, feature: str = '"COUNT"') -> str:
+    body = f"""SELECT N, K, THRESHOLD, LOW_N, HIGH_N, ROUND(LOW_CENTER, 4) AS LOW_CENTER,
+  ROUND(HIGH_CENTER, 4) AS HIGH_CENTER, ROUND(COST, 4) AS COST FROM (
+  SELECT CAST(tn AS BIGINT) AS N, CASE WHEN tn - nl > 0 THEN 2 ELSE 1 END AS K, x AS THRESHOLD,
+    CAST(nl AS BIGINT) AS LOW_N, CAST(tn - nl AS BIGINT) AS HIGH_N,
+    CAST(sl AS DOUBLE) / CAST(nl AS BIGINT) AS LOW_CENTER,
+    CASE WHEN tn - nl > 0 THEN CAST(ts - sl AS DOUBLE) / CAST(tn - nl AS BIGINT) END AS HIGH_CENTER,
+    GREATEST((CAST(ql AS DOUBLE) - CAST(sl AS DOUBLE) * CAST(sl AS DOUBLE) / CAST(nl AS BIGINT))
+      + CASE WHEN tn - nl > 0 THEN CAST(tq - ql AS DOUBLE) - CAST(ts - sl AS DOUBLE) * CAST(ts - sl AS DOUBLE) / CAST(tn - nl AS BIGINT) ELSE 0.0 END,
+      0.0) AS COST
+  FROM (SELECT x, SUM(n) OVER w AS nl, SUM(n * x) OVER w AS sl, SUM(n * x * x) OVER w AS ql,
+          SUM(n) OVER () AS tn, SUM(n * x) OVER () AS ts, SUM(n * x * x) OVER () AS tq
+        FROM (SELECT {feature} AS x, CAST(COUNT(*) AS HUGEINT) AS n FROM m WHERE {feature} IS NOT NULL GROUP BY 1) v
+        WINDOW w AS (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) c
+) r ORDER BY K DESC, r.COST ASC, THRESHOLD ASC LIMIT 1"""
+    return with_ctes(body, f"m AS ({minutes_select(kind, value, round_doubles=False)})")

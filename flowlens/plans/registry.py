@@ -116,6 +116,94 @@ def _http_records(spark, sf_dir):
     return scans.http_records(tables(spark, sf_dir).log, SINCE)
 
 
+# --------------------------------------------------------------- web names
+from flowlens.operators import cluster as CL  # noqa: E402
+from flowlens.operators import minutes as MIN  # noqa: E402
+from flowlens.operators import web as WEB  # noqa: E402
+
+
+def _dns_www(spark, sf_dir):
+    return WEB.dns_www(scans.dns_records(tables(spark, sf_dir).log, SINCE))
+
+
+def _conn_by_query(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return WEB.conn_by_dns_query(scans.conn_records(t.log, SINCE), WEB.dns_www(scans.dns_records(t.log, SINCE)))
+
+
+register("dns_www", O.dns_www_sql())(_dns_www)
+register("conn_by_dns_query", O.conn_by_query_sql())(_conn_by_query)
+
+
+@register("www_totals", O.www_totals_sql())
+def _www_totals(spark, sf_dir):
+    return WEB.www_totals(_conn_by_query(spark, sf_dir))
+
+
+@register("top_consumers", O.top_consumers_sql(100))
+def _top_consumers(spark, sf_dir):
+    return WEB.top_consumers(scans.conn_records(tables(spark, sf_dir).log, SINCE), 100)
+
+
+# ------------------------------------------------------- per-minute tables
+DDOS_SERVICES = ("http", "ssh")
+SCAN_PROTOS = ("tcp", "udp")
+
+
+def _minutes(kind, value):
+    def run(spark, sf_dir):
+        c = conn(spark, sf_dir)
+        return MIN.ddos_minutes(c, value) if kind == "ddos" else MIN.scan_minutes(c, value)
+
+    return run
+
+
+for _v in DDOS_SERVICES:
+    register(f"ddos_minutes_{_v}", O.minutes_sql("ddos", _v))(_minutes("ddos", _v))
+for _v in SCAN_PROTOS:
+    register(f"scan_minutes_{_v}", O.minutes_sql("scan", _v))(_minutes("scan", _v))
+
+
+def _two_means(kind, value):
+    def run(spark, sf_dir):
+        return CL.two_means_exact(_minutes(kind, value)(spark, sf_dir), "COUNT")
+
+    return run
+
+
+for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
+    for _v in _values:
+        register(f"two_means_exact_{_v}", O.two_means_sql(_kind, _v))(_two_means(_kind, _v))
+
+
+# ----------------------------------------------------- clustering (rows-only)
+def _kmeans(kind, value):
+    def run(spark, sf_dir):
+        return CL.kmeans(_minutes(kind, value)(spark, sf_dir), features=("COUNT",), k=2)
+
+    return run
+
+
+for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
+    for _v in _values:
+        register(f"kmeans_{_kind}_{_v}", None)(_kmeans(_kind, _v))
+
+
+@register("kmeans_multi", None)
+def _kmeans_multi(spark, sf_dir):
+    return CL.kmeans_multi(_minutes("ddos", "http")(spark, sf_dir))
+
+
+@register("kmeans_wssse", None)
+def _kmeans_wssse(spark, sf_dir):
+    return CL.kmeans_cost(_kmeans("ddos", "http")(spark, sf_dir), ("COUNT",))
+
+
+@register("kmeans_silhouette", None)
+def _kmeans_silhouette(spark, sf_dir):
+    return CL.silhouette(_kmeans("ddos", "http")(spark, sf_dir), ("COUNT",))
+
+
 # ----------------------------------------------------------------- access
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
