@@ -203,3 +203,48 @@ def two_means_sql(kind: str, value: str, feature: str = '"COUNT"') -> str:
         WINDOW w AS (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) c
 ) r ORDER BY K DESC, r.COST ASC, THRESHOLD ASC LIMIT 1"""
     return with_ctes(body, f"m AS ({minutes_select(kind, value, round_doubles=False)})")
+
+
+# ------------------------------------------------------------ enrichment
+TODAY = "2018-12-03 00:00:00"
+RUN_TS = "2018-12-03 12:00:00"
+_ATTRS = "HOSTNAME, CITY, REGION, COUNTRY, ORG, LATITUDE, LONGITUDE"
+ENRICH_CTES = (
+    resp_h_totals_cte(),
+    "hosts AS (SELECT DISTINCT ID_RESP_H FROM conn WHERE ID_RESP_H IS NOT NULL)",
+    "cache AS (SELECT * FROM IP_INFO QUALIFY ROW_NUMBER() OVER (PARTITION BY IP ORDER BY TS_CODE DESC) = 1)",
+    f"quota AS (SELECT COUNT(*) AS USED, GREATEST(1000 - COUNT(*), 0) AS FREE FROM IP_INFO "
+    f"WHERE TS_CODE > TIMESTAMP '{TODAY}')",
+    'top_hosts AS (SELECT ID_RESP_H, CAST(SUM("COUNT") AS BIGINT) AS "COUNT" FROM resp_h_totals '
+    'GROUP BY ID_RESP_H ORDER BY "COUNT" DESC, ID_RESP_H ASC LIMIT 10000)',
+    "misses AS (SELECT t.ID_RESP_H, t.\"COUNT\" FROM top_hosts t "
+    "WHERE NOT EXISTS (SELECT 1 FROM IP_INFO i WHERE i.IP = t.ID_RESP_H))",
+    'batch AS (SELECT ID_RESP_H FROM (SELECT ID_RESP_H, ROW_NUMBER() OVER (ORDER BY "COUNT" DESC, ID_RESP_H) AS rn '
+    "FROM misses) x WHERE rn <= (SELECT LEAST(1000, FREE) FROM quota))",
+    "looked AS (SELECT b.ID_RESP_H AS IP, d.HOSTNAME, d.CITY, d.REGION, d.COUNTRY, d.ORG, d.LATITUDE, d.LONGITUDE, "
+    "d.IP IS NOT NULL AS LOOKUP_OK FROM batch b LEFT JOIN IP_DIRECTORY d ON d.IP = b.ID_RESP_H)",
+    f"info AS (SELECT IP, {_ATTRS} FROM cache UNION ALL SELECT IP, {_ATTRS} FROM looked WHERE LOOKUP_OK)",
+)
+
+
+def enrich_sql(body: str) -> str:
+    return with_ctes(body, *ENRICH_CTES, ip=True)
+
+
+_TOTALS_OUT = ("TS, PROTO, SERVICE, ID_ORIG_H, ID_ORIG_P, ID_RESP_H, ID_RESP_P, \"COUNT\", DURATION, ORIG_IP_BYTES, "
+               "RESP_IP_BYTES, ORIG_PKTS, ORIG_BYTES, RESP_PKTS, RESP_BYTES, TIPO")
+ENRICH_QUERIES = {
+    "lookups_today": "SELECT USED, FREE FROM quota",
+    "distinct_resp_hosts": "SELECT ID_RESP_H FROM hosts",
+    "ip_cache_hits": f"SELECT c.IP, {_ATTRS} FROM cache c JOIN hosts h ON h.ID_RESP_H = c.IP",
+    "ip_cache_misses": "SELECT h.ID_RESP_H FROM hosts h WHERE NOT EXISTS (SELECT 1 FROM IP_INFO i WHERE i.IP = h.ID_RESP_H)",
+    "resp_host_counts": 'SELECT ID_RESP_H, CAST(SUM("COUNT") AS BIGINT) AS "COUNT" FROM resp_h_totals GROUP BY ID_RESP_H',
+    "top_resp_hosts": "SELECT * FROM top_hosts",
+    "lookup_batch": "SELECT ID_RESP_H FROM batch",
+    "enrich_lookup": f"SELECT IP, {_ATTRS}, LOOKUP_OK FROM looked",
+    "ip_info_union": f"SELECT IP, {_ATTRS} FROM info",
+    "enrich_resp_hosts": f"SELECT r.*, {', '.join('c.' + a for a in _ATTRS.split(', '))} "
+                         "FROM resp_h_totals r LEFT JOIN cache c ON r.ID_RESP_H = c.IP",
+    "export_resp_h_info": f"SELECT r.*, {', '.join('i.' + a for a in _ATTRS.split(', '))} "
+                          "FROM resp_h_totals r LEFT JOIN info i ON r.ID_RESP_H = i.IP",
+}

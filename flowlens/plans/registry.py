@@ -204,6 +204,65 @@ def _kmeans_silhouette(spark, sf_dir):
     return CL.silhouette(_kmeans("ddos", "http")(spark, sf_dir), ("COUNT",))
 
 
+# ------------------------------------------------------------ enrichment
+from flowlens.operators import enrich as EN  # noqa: E402
+
+
+def _resp_h_totals(spark, sf_dir):
+    return TOT.totals(conn(spark, sf_dir), "RESP_H")
+
+
+def _free(t):
+    return EN.lookup_quota(t.ip_info, O.TODAY).first()["FREE"]
+
+
+def _batch(spark, sf_dir, t=None):
+    t = t or tables(spark, sf_dir)
+    top = TOT.top_resp_hosts(TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H"), EN.TOP_HOSTS)
+    return EN.lookup_batch(top, t.ip_info, _free(t), limit=EN.DAILY_QUOTA)
+
+
+def _looked(spark, sf_dir, t=None):
+    t = t or tables(spark, sf_dir)
+    return EN.lookup(_batch(spark, sf_dir, t), t.ip_directory, run_ts=O.RUN_TS)
+
+
+def _enrich_query(name, fn):
+    register(name, O.enrich_sql(O.ENRICH_QUERIES[name]))(fn)
+
+
+_enrich_query("lookups_today", lambda spark, d: EN.lookup_quota(tables(spark, d).ip_info, O.TODAY))
+_enrich_query("distinct_resp_hosts", lambda spark, d: EN.distinct_hosts(conn(spark, d)))
+_enrich_query("ip_cache_hits", lambda spark, d: EN.cache_hits(tables(spark, d).ip_info, conn(spark, d)))
+_enrich_query("ip_cache_misses", lambda spark, d: EN.cache_misses(conn(spark, d), tables(spark, d).ip_info))
+_enrich_query("resp_host_counts", lambda spark, d: TOT.resp_host_counts(_resp_h_totals(spark, d)))
+_enrich_query("top_resp_hosts", lambda spark, d: TOT.top_resp_hosts(_resp_h_totals(spark, d), EN.TOP_HOSTS))
+_enrich_query("lookup_batch", lambda spark, d: _batch(spark, d))
+_enrich_query("enrich_lookup", lambda spark, d: _looked(spark, d).drop("TS_CODE"))
+
+
+@register("ip_info_union", O.enrich_sql(O.ENRICH_QUERIES["ip_info_union"]))
+def _ip_info_union(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return EN.ip_info_union(EN.latest_ip_info(t.ip_info), _looked(spark, sf_dir, t))
+
+
+@register("enrich_resp_hosts", O.enrich_sql(O.ENRICH_QUERIES["enrich_resp_hosts"]))
+def _enrich_resp_hosts(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return EN.attach_ip_info(TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H"), EN.latest_ip_info(t.ip_info))
+
+
+@register("export_resp_h_info", O.enrich_sql(O.ENRICH_QUERIES["export_resp_h_info"]))
+def _export_resp_h_info(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    resp_h = TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H")
+    top = TOT.top_resp_hosts(resp_h, EN.TOP_HOSTS)
+    enriched, _new = EN.enrich(resp_h, t.ip_info, directory=t.ip_directory, today=O.TODAY,
+                               limit=EN.DAILY_QUOTA, candidates=top, run_ts=O.RUN_TS)
+    return enriched
+
+
 # ----------------------------------------------------------------- access
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
