@@ -248,3 +248,48 @@ ENRICH_QUERIES = {
     "export_resp_h_info": f"SELECT r.*, {', '.join('i.' + a for a in _ATTRS.split(', '))} "
                           "FROM resp_h_totals r LEFT JOIN info i ON r.ID_RESP_H = i.IP",
 }
+
+
+# ----------------------------------------------------------------- pivots
+TOP_PIVOT = 20
+
+
+def _case_pivot(src: str, unit: str, dim: str, values: list) -> str:
+    cols = []
+    for v in values:
+        cond = f"{dim} IS NULL" if v is None else f"{dim} = '{v}'"
+        name = "null" if v is None else v
+        cols.append(f'CAST(SUM(CASE WHEN {cond} THEN "COUNT" END) AS BIGINT) AS "{name}"')
+    return f"SELECT date_trunc('{unit}', TS) AS TS, {', '.join(cols)} FROM {src} GROUP BY 1"
+
+
+def _top_pivot(src: str, unit: str, dim: str, n: int = TOP_PIVOT) -> str:
+    top = (f"SELECT {dim} FROM {src} GROUP BY {dim} ORDER BY SUM(\"COUNT\") DESC NULLS LAST, "
+           f"{dim} ASC NULLS FIRST LIMIT {n}")
+    return (f"PIVOT (SELECT date_trunc('{unit}', TS) AS TS, {dim}, \"COUNT\" FROM {src} "
+            f"WHERE {dim} IN ({top})) ON {dim} USING CAST(SUM(\"COUNT\") AS BIGINT) GROUP BY TS")
+
+
+def _totals_cte(tipo: str, name: str, where: str = "") -> str:
+    spec = next(t for t in TOTALS if t.tipo == tipo)
+    body = total_select(spec)
+    if where:
+        body = f"SELECT * FROM ({body}) x WHERE {where}"
+    return f"{name} AS ({body})"
+
+
+def pivot_totals_sql(tipo: str, dim: str, unit: str, values: list | None = None, where: str = "") -> str:
+    src = _totals_cte(tipo, "src", where)
+    body = _case_pivot("src", unit, dim, values) if values is not None else _top_pivot("src", unit, dim)
+    return with_ctes(body, src)
+
+
+def pivot_minutes_sql(kind: str, value: str, dim: str, unit: str) -> str:
+    return with_ctes(_top_pivot("src", unit, dim), f"src AS ({minutes_select(kind, value)})")
+
+
+def long_totals_sql(tipo: str, dim: str, unit: str) -> str:
+    src = _totals_cte(tipo, "src")
+    return with_ctes(
+        f"SELECT date_trunc('{unit}', TS) AS TS, {dim}, CAST(SUM(\"COUNT\") AS BIGINT) AS \"COUNT\" "
+        f"FROM src GROUP BY 1, {dim}", src)

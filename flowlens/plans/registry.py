@@ -35,12 +35,13 @@ def rounded(df: DataFrame, places: int = 4) -> DataFrame:
     """Round every double column (including inside arrays) to ``places``."""
     cols = []
     for f in df.schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(F.round(F.col(f.name), places).alias(f.name))
+            cols.append(F.round(c, places).alias(f.name))
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DoubleType):
-            cols.append(F.transform(F.col(f.name), lambda x: F.round(x, places)).alias(f.name))
+            cols.append(F.transform(c, lambda x: F.round(x, places)).alias(f.name))
         else:
-            cols.append(F.col(f.name))
+            cols.append(c)
     return df.select(*cols)
 
 
@@ -263,6 +264,52 @@ def _export_resp_h_info(spark, sf_dir):
     return enriched
 
 
+# ----------------------------------------------------------------- pivots
+from flowlens.operators import pivot as PV  # noqa: E402
+
+# Fixture values of the small dimensions, for the oracle's fixed columns.
+PROTO_VALUES = ["tcp", "udp"]
+SERVICE_VALUES = [None, "dns", "http", "ssh", "ssl"]
+
+
+def _pivot_totals(tipo, dim, unit, top_n=None, service=None):
+    def run(spark, sf_dir):
+        df = TOT.totals(conn(spark, sf_dir), tipo)
+        where = F.col("SERVICE") == service if service else None
+        return PV.pivot_counts(df, dim, unit, top_n=top_n, where=where)
+
+    return run
+
+
+for _unit in ("hour", "day"):
+    register(f"pivot_proto_{_unit}", O.pivot_totals_sql("PROTO", "PROTO", _unit, PROTO_VALUES))(
+        _pivot_totals("PROTO", "PROTO", _unit))
+    register(f"pivot_service_{_unit}", O.pivot_totals_sql("SERVICE", "SERVICE", _unit, SERVICE_VALUES))(
+        _pivot_totals("SERVICE", "SERVICE", _unit))
+    register(f"pivot_http_orig_{_unit}",
+             O.pivot_totals_sql("PROTO_SERVICE_ORIG_H", "ID_ORIG_H", _unit, where="SERVICE = 'http'"))(
+        _pivot_totals("PROTO_SERVICE_ORIG_H", "ID_ORIG_H", _unit, top_n=O.TOP_PIVOT, service="http"))
+    register(f"long_proto_service_{_unit}", O.long_totals_sql("PROTO_SERVICE", "SERVICE", _unit))(
+        lambda spark, d, _u=_unit: PV.long_counts(TOT.totals(conn(spark, d), "PROTO_SERVICE"), "SERVICE", _u))
+
+
+def _pivot_minutes(kind, value, unit):
+    def run(spark, sf_dir):
+        return PV.pivot_counts(_minutes(kind, value)(spark, sf_dir), "ID_ORIG_H", unit, top_n=O.TOP_PIVOT)
+
+    return run
+
+
+for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
+    for _v in _values:
+        for _unit in ("minute", "hour"):
+            register(f"pivot_{_kind}_{_v}_{_unit}", O.pivot_minutes_sql(_kind, _v, "ID_ORIG_H", _unit))(
+                _pivot_minutes(_kind, _v, _unit))
+
+register("pivot_orig_minute", O.pivot_minutes_sql("scan", "tcp", "ID_ORIG_H", "minute"))(
+    _pivot_minutes("scan", "tcp", "minute"))
+
+
 # ----------------------------------------------------------------- access
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
