@@ -45,8 +45,15 @@ def rounded(df: DataFrame, places: int = 4) -> DataFrame:
     return df.select(*cols)
 
 
+_TABLES: dict[tuple[int, str], fixtures.Tables] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> fixtures.Tables:
-    return fixtures.load(spark, sf_dir)
+    """Fixture tables of ``sf_dir``, built once per session (lazy DataFrames)."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = fixtures.load(spark, sf_dir)
+    return _TABLES[key]
 
 
 def conn(spark: SparkSession, sf_dir: str) -> DataFrame:

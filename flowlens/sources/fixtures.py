@@ -9,9 +9,7 @@ rows; the oracle tests check that they agree.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.schemas import IP_INFO_TYPES, LOG_COLUMNS, LOG_TYPES
@@ -30,137 +28,140 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+_BURST = f"event_id % {BURST_PERIOD} < {BURST_ROWS}"
+_TS = f"TIMESTAMP_NTZ '{BASE_TS}' + make_dt_interval(0, 0, 0, event_id * {SECONDS_PER_EVENT})"
+
+# One projection per branch, as Spark SQL expressions (parsed once on the JVM).
+CONN_BASE_EXPRS = (
+    "event_id", "user_id",
+    "concat('C', CAST(event_id AS STRING)) AS UID",
+    f"{_TS} AS TS",
+    f"{_TS} + INTERVAL {CODE_DELAY_SECONDS} SECOND AS TS_CODE",
+    f"CASE WHEN {_BURST} THEN '{ATTACKER}' ELSE concat('10.1.', CAST(floor(user_id / 256) AS STRING), '.', "
+    "CAST(user_id % 256 AS STRING)) END AS ID_ORIG_H",
+    f"CASE WHEN {_BURST} THEN CAST(40000 AS BIGINT) ELSE 1024 + (event_id * 7) % 5000 END AS ID_ORIG_P",
+    f"CASE WHEN {_BURST} THEN '{TARGET}' ELSE concat('203.0.0.', CAST((user_id * 31) % 150 AS STRING)) END AS ID_RESP_H",
+    f"CASE WHEN {_BURST} THEN CAST(80 AS BIGINT) WHEN event_type = 'signup' THEN 53 WHEN event_type = 'click' THEN 80 "
+    "WHEN event_type = 'view' THEN 443 WHEN event_type = 'purchase' THEN 22 ELSE 1 + event_id % 1000 END AS ID_RESP_P",
+    f"CASE WHEN NOT ({_BURST}) AND event_type = 'signup' THEN 'udp' ELSE 'tcp' END AS PROTO",
+    f"CASE WHEN {_BURST} THEN 'http' WHEN event_type = 'signup' THEN 'dns' WHEN event_type = 'click' THEN 'http' "
+    "WHEN event_type = 'view' THEN 'ssl' WHEN event_type = 'purchase' THEN 'ssh' END AS SERVICE",
+    "CASE WHEN event_id % 11 <> 0 THEN value END AS DURATION",
+    "CASE WHEN event_id % 11 <> 0 THEN event_id % 1500 END AS ORIG_BYTES",
+    "CASE WHEN event_id % 11 <> 0 THEN (event_id * 13) % 9000 END AS RESP_BYTES",
+    "1 + event_id % 5 AS ORIG_PKTS", "40 + event_id % 60 AS ORIG_IP_BYTES",
+    "1 + event_id % 4 AS RESP_PKTS", "60 + event_id % 90 AS RESP_IP_BYTES",
+)
+
+_CONN_BASE_COLUMNS = ("TS_CODE", "TS", "UID", "ID_ORIG_H", "ID_ORIG_P", "ID_RESP_H", "ID_RESP_P", "PROTO")
+_CONN_ONLY = ("SERVICE", "DURATION", "ORIG_BYTES", "RESP_BYTES", "ORIG_PKTS", "ORIG_IP_BYTES", "RESP_PKTS",
+              "RESP_IP_BYTES")
+
+CONN_VALUES = {
+    "TIPO": "'CONN'", "CONN_STATE": "'SF'", "LOCAL_ORIG": "TRUE", "LOCAL_RESP": "FALSE",
+    "MISSED_BYTES": "0", "HISTORY": "'ShAD'", **{c: c for c in _CONN_BASE_COLUMNS + _CONN_ONLY},
+}
+# The DNS columns that are constant in the fixture are literals.
+DNS_VALUES = {
+    "TIPO": "'DNS'", **{c: c for c in _CONN_BASE_COLUMNS},
+    "TRANS_ID": "event_id % 65536",
+    "QUERY": "concat(CASE WHEN user_id % 3 = 0 THEN 'mail' ELSE 'www' END, '.site', CAST(user_id % 20 AS STRING), "
+             "'.example')",
+    "QCLASS": "1", "QCLASS_NAME": "'C_INTERNET'", "QTYPE": "qtype",
+    "QTYPE_NAME": "CASE WHEN qtype = 1 THEN 'A' ELSE 'AAAA' END", "RCODE": "0", "RCODE_NAME": "'NOERROR'",
+    "AA": "FALSE", "TC": "FALSE", "RD": "TRUE", "RA": "TRUE", "Z": "0", "REJECTED": "FALSE",
+}
+HTTP_VALUES = {
+    "TIPO": "'HTTP'", **{c: c for c in _CONN_BASE_COLUMNS},
+    "TRANS_DEPTH": "1", "VERSION": "'1.1'", "REQUEST_BODY_LEN": "event_id % 700",
+    "RESPONSE_BODY_LEN": "(event_id * 3) % 5000",
+    "STATUS_CODE": "CASE WHEN event_id % 10 = 0 THEN 404 ELSE 200 END",
+    "STATUS_MSG": "CASE WHEN event_id % 10 = 0 THEN 'Not Found' ELSE 'OK' END",
+}
 
 
 def conn_base(events: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    u = F.col("user_id")
-    et = F.col("event_type")
-    burst = (e % BURST_PERIOD) < BURST_ROWS
-    ts = F.expr(f"TIMESTAMP_NTZ '{BASE_TS}' + make_dt_interval(0, 0, 0, event_id * {SECONDS_PER_EVENT})")
-    has_bytes = (e % 11) != 0
-    return events.select(
-        e.alias("event_id"),
-        u.alias("user_id"),
-        F.concat(F.lit("C"), _s(e)).alias("UID"),
-        ts.alias("TS"),
-        (ts + F.expr(f"INTERVAL {CODE_DELAY_SECONDS} SECOND")).alias("TS_CODE"),
-        F.when(burst, F.lit(ATTACKER))
-        .otherwise(F.concat(F.lit("10.1."), _s(F.floor(u / 256)), F.lit("."), _s(u % 256)))
-        .alias("ID_ORIG_H"),
-        F.when(burst, F.lit(40000).cast("bigint")).otherwise(1024 + (e * 7) % 5000).alias("ID_ORIG_P"),
-        F.when(burst, F.lit(TARGET)).otherwise(F.concat(F.lit("203.0.0."), _s((u * 31) % 150))).alias("ID_RESP_H"),
-        F.when(burst, F.lit(80).cast("bigint"))
-        .when(et == "signup", F.lit(53).cast("bigint"))
-        .when(et == "click", F.lit(80).cast("bigint"))
-        .when(et == "view", F.lit(443).cast("bigint"))
-        .when(et == "purchase", F.lit(22).cast("bigint"))
-        .otherwise(1 + e % 1000)
-        .alias("ID_RESP_P"),
-        F.when(~burst & (et == "signup"), F.lit("udp")).otherwise(F.lit("tcp")).alias("PROTO"),
-        F.when(burst, F.lit("http"))
-        .when(et == "signup", F.lit("dns"))
-        .when(et == "click", F.lit("http"))
-        .when(et == "view", F.lit("ssl"))
-        .when(et == "purchase", F.lit("ssh"))
-        .alias("SERVICE"),
-        F.when(has_bytes, F.col("value")).alias("DURATION"),
-        F.when(has_bytes, e % 1500).alias("ORIG_BYTES"),
-        F.when(has_bytes, (e * 13) % 9000).alias("RESP_BYTES"),
-        (1 + e % 5).alias("ORIG_PKTS"),
-        (40 + e % 60).alias("ORIG_IP_BYTES"),
-        (1 + e % 4).alias("RESP_PKTS"),
-        (60 + e % 90).alias("RESP_IP_BYTES"),
-    )
+    return events.selectExpr(*CONN_BASE_EXPRS)
 
 
-def _complete(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+def _complete(df: DataFrame, values: dict[str, str]) -> DataFrame:
     """Project onto the full LOG layout; absent columns are typed nulls."""
-    cols = []
-    for name in LOG_COLUMNS:
-        c = values.get(name, F.col(name) if name in df.columns else F.lit(None))
-        cols.append(c.cast(LOG_TYPES[name]).alias(name))
-    return df.select(*cols)
+    exprs = [f"CAST({values.get(c, 'NULL')} AS {LOG_TYPES[c].simpleString()}) AS {c}" for c in LOG_COLUMNS]
+    return df.selectExpr(*exprs)
 
 
 def log_table(events: DataFrame) -> DataFrame:
     """LOG: CONN rows, two DNS rows (qtype A and AAAA) per DNS lookup, HTTP rows."""
     base = conn_base(events)
-    conn = _complete(base, {
-        "TIPO": F.lit("CONN"), "CONN_STATE": F.lit("SF"), "LOCAL_ORIG": F.lit(True),
-        "LOCAL_RESP": F.lit(False), "MISSED_BYTES": F.lit(0), "HISTORY": F.lit("ShAD"),
-    })
-    # The DNS columns that are constant in the fixture are literals.
-    dns_src = base.where(F.col("SERVICE") == "dns").withColumn("qtype", F.explode(F.array(F.lit(1), F.lit(28))))
-    dns_query = F.concat(
-        F.when(F.col("user_id") % 3 == 0, F.lit("mail")).otherwise(F.lit("www")),
-        F.lit(".site"), _s(F.col("user_id") % 20), F.lit(".example"),
-    )
-    dns = _complete(dns_src, {
-        "TIPO": F.lit("DNS"), "SERVICE": F.lit(None), "DURATION": F.lit(None), "ORIG_BYTES": F.lit(None),
-        "RESP_BYTES": F.lit(None), "ORIG_PKTS": F.lit(None), "ORIG_IP_BYTES": F.lit(None),
-        "RESP_PKTS": F.lit(None), "RESP_IP_BYTES": F.lit(None),
-        "TRANS_ID": F.col("event_id") % 65536, "QUERY": dns_query, "QCLASS": F.lit(1),
-        "QCLASS_NAME": F.lit("C_INTERNET"), "QTYPE": F.col("qtype"),
-        "QTYPE_NAME": F.when(F.col("qtype") == 1, F.lit("A")).otherwise(F.lit("AAAA")),
-        "RCODE": F.lit(0), "RCODE_NAME": F.lit("NOERROR"), "AA": F.lit(False), "TC": F.lit(False),
-        "RD": F.lit(True), "RA": F.lit(True), "Z": F.lit(0), "REJECTED": F.lit(False),
-    })
-    http_src = base.where(F.col("SERVICE") == "http")
-    not_found = F.col("event_id") % 10 == 0
-    http = _complete(http_src, {
-        "TIPO": F.lit("HTTP"), "SERVICE": F.lit(None), "DURATION": F.lit(None), "ORIG_BYTES": F.lit(None),
-        "RESP_BYTES": F.lit(None), "ORIG_PKTS": F.lit(None), "ORIG_IP_BYTES": F.lit(None),
-        "RESP_PKTS": F.lit(None), "RESP_IP_BYTES": F.lit(None),
-        "TRANS_DEPTH": F.lit(1), "VERSION": F.lit("1.1"),
-        "REQUEST_BODY_LEN": F.col("event_id") % 700, "RESPONSE_BODY_LEN": (F.col("event_id") * 3) % 5000,
-        "STATUS_CODE": F.when(not_found, F.lit(404)).otherwise(F.lit(200)),
-        "STATUS_MSG": F.when(not_found, F.lit("Not Found")).otherwise(F.lit("OK")),
-    })
+    conn = _complete(base, CONN_VALUES)
+    dns_src = base.where("SERVICE = 'dns'").selectExpr("*", "explode(array(1, 28)) AS qtype")
+    dns = _complete(dns_src, DNS_VALUES)
+    http = _complete(base.where("SERVICE = 'http'"), HTTP_VALUES)
     return conn.unionByName(dns).unionByName(http)
 
 
+IP_ROWS_EXPRS = (
+    "concat('203.0.0.', CAST(s_suppkey AS STRING)) AS IP",
+    "concat('host', CAST(s_suppkey AS STRING)) AS HOSTNAME",
+    "concat('city', CAST(s_suppkey % 7 AS STRING)) AS CITY",
+    "r_name AS REGION", "n_name AS COUNTRY", "s_name AS ORG",
+    "CAST(s_suppkey % 180 - 90 AS DOUBLE) AS LATITUDE",
+    "CAST(s_suppkey % 360 - 180 AS DOUBLE) AS LONGITUDE",
+    f"TIMESTAMP_NTZ '{CACHE_BASE_TS}' + make_dt_interval(0, 0, s_suppkey * 10, 0) AS TS_CODE",
+    "s_suppkey AS _key",
+)
+
+
 def _ip_rows(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     # nation (25 rows) and region (5 rows) are fixed-size dimension tables.
-    s = supplier.where(F.col("s_suppkey") < 150)
-    k = F.col("s_suppkey")
+    s = supplier.where("s_suppkey < 150")
     return (
         s.join(F.broadcast(nation), s.s_nationkey == nation.n_nationkey)
         .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
-        .select(
-            F.concat(F.lit("203.0.0."), _s(k)).alias("IP"),
-            F.concat(F.lit("host"), _s(k)).alias("HOSTNAME"),
-            F.concat(F.lit("city"), _s(k % 7)).alias("CITY"),
-            F.col("r_name").alias("REGION"),
-            F.col("n_name").alias("COUNTRY"),
-            F.col("s_name").alias("ORG"),
-            (k % 180 - 90).cast("double").alias("LATITUDE"),
-            (k % 360 - 180).cast("double").alias("LONGITUDE"),
-            F.expr(f"TIMESTAMP_NTZ '{CACHE_BASE_TS}' + make_dt_interval(0, 0, s_suppkey * 10, 0)").alias("TS_CODE"),
-            k.alias("_key"),
-        )
+        .selectExpr(*IP_ROWS_EXPRS)
     )
 
 
 def ip_info_table(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """IP_INFO cache: every third host is missing."""
-    rows = _ip_rows(supplier, nation, region).where(F.col("_key") % 3 != 0)
-    return rows.select(*[F.col(c).cast(t).alias(c) for c, t in IP_INFO_TYPES.items()])
+    return _ip_rows(supplier, nation, region).where("_key % 3 <> 0").select(*IP_INFO_TYPES)
 
 
 def ip_directory_table(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """The lookup source that stands in for the external IP service."""
-    rows = _ip_rows(supplier, nation, region)
-    return rows.select(*[F.col(c).cast(t).alias(c) for c, t in IP_INFO_TYPES.items() if c != "TS_CODE"])
+    return _ip_rows(supplier, nation, region).select(*[c for c in IP_INFO_TYPES if c != "TS_CODE"])
 
 
-@dataclass
 class Tables:
-    log: DataFrame
-    ip_info: DataFrame
-    ip_directory: DataFrame
+    """The fixture tables of one folder, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
+
+    def _get(self, name, build):
+        if name not in self._built:
+            self._built[name] = build()
+        return self._built[name]
+
+    def _dims(self):
+        r = lambda n, *cols: _read(self.spark, self.sf_dir, n).select(*cols)
+        return (r("supplier", "s_suppkey", "s_name", "s_nationkey"),
+                r("nation", "n_nationkey", "n_name", "n_regionkey"),
+                r("region", "r_regionkey", "r_name"))
+
+    @property
+    def log(self) -> DataFrame:
+        return self._get("log", lambda: log_table(
+            _read(self.spark, self.sf_dir, "events").select("event_id", "user_id", "event_type", "value")))
+
+    @property
+    def ip_info(self) -> DataFrame:
+        return self._get("ip_info", lambda: ip_info_table(*self._dims()))
+
+    @property
+    def ip_directory(self) -> DataFrame:
+        return self._get("ip_directory", lambda: ip_directory_table(*self._dims()))
 
     def register_views(self) -> None:
         self.log.createOrReplaceTempView("LOG")
@@ -169,13 +170,5 @@ class Tables:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Tables:
-    """Build the fixture tables lazily from ``sf_dir``."""
-    events = _read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    supplier = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return Tables(
-        log=log_table(events),
-        ip_info=ip_info_table(supplier, nation, region),
-        ip_directory=ip_directory_table(supplier, nation, region),
-    )
+    """The fixture tables of ``sf_dir`` (lazy; each built on first use)."""
+    return Tables(spark, sf_dir)
