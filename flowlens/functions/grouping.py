@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from flowlens.schemas import DIMENSION_WEIGHT, TOTALS
 
 
-def grouping_number() -> Column:
+def grouping_number(grouped=None) -> Column:
     """Sum of ``grouping(c) * weight`` over the six dimensions.
 
     Built from ``grouping`` terms rather than ``grouping_id`` because the
     latter wants the full grouping list, including the time bucket.  A
     dimension that is null in the data is told apart from a rolled-up one.
+    ``grouped`` lists the dimensions in the aggregate's grouping columns;
+    any other dimension counts as always rolled up.
     """
-    terms = [F.grouping(c) * F.lit(w) for c, w in DIMENSION_WEIGHT.items()]
+    grouped = set(DIMENSION_WEIGHT if grouped is None else grouped)
+    terms = [F.grouping(c) * F.lit(w) if c in grouped else F.lit(w) for c, w in DIMENSION_WEIGHT.items()]
     return reduce(lambda a, b: a + b, terms)
 
 
