@@ -78,11 +78,13 @@ def lookup_batch(candidates: DataFrame, ip_info: DataFrame, free: int, field: st
     n = min(int(limit), int(free))
     if n <= 0:
         return candidates.select(field).limit(0)
-    misses = cache_misses(candidates, ip_info, field)
+    cached = ip_info.select(F.col(IP).alias(field)).where(F.col(field).isNotNull())
     if priority is None and COUNT in candidates.columns:
-        weights = candidates.groupBy(field).agg(F.sum(COUNT).alias("_w"))
-        misses = misses.join(weights, field, "left")
+        # One pass over the candidates: weight per host, minus cached hosts.
+        weights = candidates.where(F.col(field).isNotNull()).groupBy(field).agg(F.sum(COUNT).alias("_w"))
+        misses = weights.join(cached, field, "left_anti")
         return misses.orderBy(F.col("_w").desc_nulls_last(), F.col(field)).limit(n).select(field)
+    misses = cache_misses(candidates, ip_info, field)
     order = [priority, F.col(field)] if priority is not None else [F.col(field)]
     return misses.orderBy(*order).limit(n)
 
