@@ -3,7 +3,8 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (warm runs per query, default 3).  Each query is executed to
 completion with the ``noop`` sink (full plan, no collect); the reported
-time per query is the median of the warm runs after one warm-up run.
+time per query is the median of the warm runs, after WARMUP unmeasured
+runs of that query (the JVM needs them to compile the generated code).
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
+WARMUP = 2
+
 HEADLINE = (
     "totals_all",
     "totals_resp_h",
@@ -44,15 +47,17 @@ def main() -> None:
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     qs = queries()
+
+    def run(name: str) -> float:
+        t0 = time.perf_counter()
+        qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
     times = {}
     for name in names:
-        samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # first run warms up JIT, file listing and Python workers
-                samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 4)
+        for _ in range(WARMUP):  # JIT of the generated code, file listing, Python workers
+            run(name)
+        times[name] = round(statistics.median(run(name) for _ in range(runs)), 4)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",

@@ -36,6 +36,9 @@ def builder(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "f
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("FLOWLENS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Many different plans run in one session (21 totals, exports, jobs):
+        # keep their generated classes instead of recompiling after eviction.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in RUNTIME_CONF.items():
         b = b.config(key, value)

@@ -29,7 +29,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _BURST = f"event_id % {BURST_PERIOD} < {BURST_ROWS}"
-_TS = f"TIMESTAMP_NTZ '{BASE_TS}' + make_dt_interval(0, 0, 0, event_id * {SECONDS_PER_EVENT})"
+_TS = f"timestampadd(SECOND, event_id * {SECONDS_PER_EVENT}, TIMESTAMP_NTZ '{BASE_TS}')"
 
 # One projection per branch, as Spark SQL expressions (parsed once on the JVM).
 CONN_BASE_EXPRS = (
@@ -107,7 +107,7 @@ IP_ROWS_EXPRS = (
     "r_name AS REGION", "n_name AS COUNTRY", "s_name AS ORG",
     "CAST(s_suppkey % 180 - 90 AS DOUBLE) AS LATITUDE",
     "CAST(s_suppkey % 360 - 180 AS DOUBLE) AS LONGITUDE",
-    f"TIMESTAMP_NTZ '{CACHE_BASE_TS}' + make_dt_interval(0, 0, s_suppkey * 10, 0) AS TS_CODE",
+    f"timestampadd(MINUTE, s_suppkey * 10, TIMESTAMP_NTZ '{CACHE_BASE_TS}') AS TS_CODE",
     "s_suppkey AS _key",
 )
 
