@@ -293,3 +293,11 @@ def long_totals_sql(tipo: str, dim: str, unit: str) -> str:
     return with_ctes(
         f"SELECT date_trunc('{unit}', TS) AS TS, {dim}, CAST(SUM(\"COUNT\") AS BIGINT) AS \"COUNT\" "
         f"FROM src GROUP BY 1, {dim}", src)
+
+
+def scan_ports_sql(value: str) -> str:
+    keys = "ID_ORIG_H, ID_ORIG_P, ID_RESP_H, PROTO"
+    return with_ctes(
+        f"SELECT {keys}, date_trunc('minute', TS) AS TS, {MINUTE_MEASURES_SQL}, "
+        f"COUNT(DISTINCT ID_RESP_P) AS DISTINCT_RESP_P FROM conn WHERE PROTO = '{value}' "
+        f"GROUP BY {keys}, date_trunc('minute', TS)")

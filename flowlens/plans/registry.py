@@ -172,6 +172,11 @@ for _v in SCAN_PROTOS:
     register(f"scan_minutes_{_v}", O.minutes_sql("scan", _v))(_minutes("scan", _v))
 
 
+@register("scan_minutes_tcp_ports", O.scan_ports_sql("tcp"))
+def _scan_ports(spark, sf_dir):
+    return MIN.scan_minutes(conn(spark, sf_dir), "tcp", distinct_resp_ports=True)
+
+
 def _two_means(kind, value):
     def run(spark, sf_dir):
         return CL.two_means_exact(_minutes(kind, value)(spark, sf_dir), "COUNT")

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even when that costs an extra shuffle later (J1's
+    # DISTINCT sits on the join's partitioning; without this AQE skips it).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
