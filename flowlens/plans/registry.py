@@ -16,9 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.plans import oracle_sql as O
+from flowlens.operators import cluster as CL
+from flowlens.operators import enrich as EN
+from flowlens.operators import minutes as MIN
+from flowlens.operators import pivot as PV
 from flowlens.operators import totals as TOT
-from flowlens.schemas import TOTALS
+from flowlens.operators import web as WEB
+from flowlens.plans import oracle_sql as O
+from flowlens.schemas import RECORD_COLUMNS, TOTALS
+from flowlens.sinks.tables import RUN_COLUMNS, stamp_run
 from flowlens.sources import fixtures, scans
 
 SINCE = fixtures.DEFAULT_SINCE
@@ -89,9 +95,6 @@ def _totals_all(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- scans
-_LOG_COLS_SQL = "*"
-
-
 @register("scan_log_since", O.with_ctes(f"SELECT * FROM LOG WHERE TS_CODE > {O.SINCE_SQL}"))
 def _scan_log_since(spark, sf_dir):
     return scans.scan_since(tables(spark, sf_dir).log, SINCE)
@@ -103,8 +106,6 @@ def _scan_conn_since(spark, sf_dir):
 
 
 def _records_sql(kind: str) -> str:
-    from flowlens.schemas import RECORD_COLUMNS
-
     cols = ", ".join(RECORD_COLUMNS[kind])
     return O.with_ctes(f"SELECT {cols} FROM LOG WHERE TIPO = '{kind}' AND TS_CODE > {O.SINCE_SQL}")
 
@@ -125,9 +126,6 @@ def _http_records(spark, sf_dir):
 
 
 # --------------------------------------------------------------- web names
-from flowlens.operators import cluster as CL  # noqa: E402
-from flowlens.operators import minutes as MIN  # noqa: E402
-from flowlens.operators import web as WEB  # noqa: E402
 
 
 def _dns_www(spark, sf_dir):
@@ -218,7 +216,6 @@ def _kmeans_silhouette(spark, sf_dir):
 
 
 # ------------------------------------------------------------ enrichment
-from flowlens.operators import enrich as EN  # noqa: E402
 
 
 def _resp_h_totals(spark, sf_dir):
@@ -277,7 +274,6 @@ def _export_resp_h_info(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- pivots
-from flowlens.operators import pivot as PV  # noqa: E402
 
 # Fixture values of the small dimensions, for the oracle's fixed columns.
 PROTO_VALUES = ["tcp", "udp"]
@@ -322,6 +318,20 @@ register("pivot_orig_minute", O.pivot_minutes_sql("scan", "tcp", "ID_ORIG_H", "m
     _pivot_minutes("scan", "tcp", "minute"))
 
 
+# ------------------------------------------------- scans of stored results
+# Results as the jobs store them (stamped with a run), read back by the scans.
+@register("scan_totals", O.with_ctes(f"SELECT * FROM resp_h_totals", O.resp_h_totals_cte()))
+def _scan_totals(spark, sf_dir):
+    stored = stamp_run(TOT.totals_all(conn(spark, sf_dir)), O.RUN_TS, SINCE)
+    return scans.scan_totals(stored, since=O.TODAY, tipo="RESP_H").drop(*RUN_COLUMNS)
+
+
+@register("scan_kmeans_log", None)
+def _scan_kmeans_log(spark, sf_dir):
+    stored = stamp_run(_kmeans("ddos", "http")(spark, sf_dir), O.RUN_TS, SINCE)
+    return scans.scan_kmeans_log(stored, since=O.TODAY)
+
+
 # ----------------------------------------------------------------- access
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
