@@ -101,10 +101,14 @@ def kmeans_cost(assigned: DataFrame, features=(COUNT,), prediction: str = "predi
                 centres: list[list[float]] | None = None) -> DataFrame:
     """M3: one row, WSSSE = sum of squared distances to the assigned centre.
 
-    Without ``centres`` the centres are recomputed as the means of each
-    cluster (what Lloyd's method converges to), in one aggregate.
+    The centres are, in order: ``centres`` if given; the model's own
+    centres carried in ``CENTROIDS`` by a one-feature ``kmeans`` result;
+    else the mean of each cluster, from one aggregate of k rows.
     """
     features = list(features)
+    if centres is None and len(features) == 1 and "CENTROIDS" in assigned.columns:
+        own = F.element_at(F.col("CENTROIDS"), F.col(prediction) + 1)
+        return assigned.agg(F.sum((F.col(features[0]) - own) ** 2).alias("WSSSE"))
     if centres is None:
         means = assigned.groupBy(prediction).agg(*[F.avg(f).alias(f"_c{i}") for i, f in enumerate(features)])
         joined = assigned.join(F.broadcast(means), prediction)  # at most k rows
