@@ -60,6 +60,23 @@ def digest(columns, rows) -> tuple[int, list[str], str]:
     return len(rows), names, h
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "array<string>": "VARCHAR[]",
+    "array<double>": "DOUBLE[]", "date": "DATE",
+}
+
+
+def spark_types(df) -> dict[str, str]:
+    return {f.name.lower(): SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+            for f in df.schema.fields}
+
+
+def duck_types(con, sql) -> dict[str, str]:
+    rel = con.sql(sql)
+    return {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def spark_digest(df):
     rows = [tuple(r) for r in df.collect()]
     return digest(df.columns, rows)
@@ -83,7 +100,8 @@ def check(spark, sf_dir, names=None, verbose=True):
             continue
         t0 = time.time()
         try:
-            s = spark_digest(q.run(spark, sf_dir))
+            sdf = q.run(spark, sf_dir)
+            s = spark_digest(sdf)
         except Exception as e:  # report, keep going
             results[name] = ("SPARK-ERROR", str(e).splitlines()[0][:300])
             if verbose:
@@ -103,6 +121,10 @@ def check(spark, sf_dir, names=None, verbose=True):
             continue
         ok = s == d
         detail = "" if ok else f" spark={s[0]} {s[1]} duck={d[0]} {d[1]}"
+        st, dtypes = spark_types(sdf), duck_types(con, q.sql)
+        type_diff = {k: (st.get(k), dtypes.get(k)) for k in set(st) | set(dtypes) if st.get(k) != dtypes.get(k)}
+        if type_diff:
+            detail += f" TYPES {type_diff}"
         results[name] = ("ok" if ok else "MISMATCH", s[0])
         if verbose:
             print(f"{name:40s} {'ok' if ok else 'MISMATCH'} rows={s[0]} {time.time()-t0:.1f}s{detail}", flush=True)
