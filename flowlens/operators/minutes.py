@@ -44,6 +44,21 @@ def scan_minutes(conn: DataFrame, proto: str, distinct_resp_ports: bool = False)
     return per_minute(conn.where(F.col(PROTO) == F.lit(proto)), SCAN_KEYS, extra_aggs=extra)
 
 
+def minutes_for(conn: DataFrame, kind: str, values) -> DataFrame:
+    """A2 or A3 for several services / protocols in one aggregate.
+
+    SERVICE (DDoS) and PROTO (scan) are grouping keys of their tables, so
+    one scan and one shuffle serve every value; slice the result with a
+    filter on that column.
+    """
+    values = list(values)
+    if kind == "ddos":
+        return per_minute(conn.where(F.col(SERVICE).isin(values)), DDOS_KEYS)
+    if kind == "scan":
+        return per_minute(conn.where(F.col(PROTO).isin(values)), SCAN_KEYS)
+    raise ValueError(f"kind must be 'ddos' or 'scan', not {kind!r}")
+
+
 # Export order of the per-minute tables.
 def minutes_order():
     return [F.col("ID_ORIG_H"), F.col(TS), F.col(COUNT)]

@@ -26,9 +26,9 @@ from flowlens.operators import enrich as EN
 from flowlens.operators import minutes as MIN
 from flowlens.operators import totals as TOT
 from flowlens.plans import exports as X
-from flowlens.sinks.tables import read_results, run_id_of, stamp_run, write_results
+from flowlens.session import ensure_checkpoint_dir
 from flowlens.sinks.files import write_csv
-from flowlens.sinks.tables import append_rows
+from flowlens.sinks.tables import append_rows, read_results, run_id_of, stamp_run, write_results
 from flowlens.sources import scans
 
 LOG_TOTAIS = "LOG_TOTAIS"
@@ -46,7 +46,7 @@ def job_records(log: DataFrame, out_dir: str, since=None, limit=None) -> list[st
     return X.export_records(log, out_dir, since, limit) + X.export_www(log, out_dir, since)
 
 
-def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strategy="grouping_sets",
+def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strategy="two_level",
                row_id: bool = False) -> str:
     """Job 5: the 21 hourly totals -> LOG_TOTAIS partitioned by TIPO and RUN_ID."""
     run_ts = run_ts or _now()
@@ -57,10 +57,14 @@ def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strateg
 
 def _kmeans_job(conn: DataFrame, kind: str, values, tables_dir: str, table: str, since, run_ts,
                 k: int, seed: int, row_id: bool) -> str:
+    """One per-minute aggregate for all values, checkpointed once; one model per value."""
     path = os.path.join(tables_dir, table)
+    column = "SERVICE" if kind == "ddos" else "PROTO"
+    ensure_checkpoint_dir(conn.sparkSession)
+    minutes = MIN.minutes_for(conn, kind, values).checkpoint(eager=True)
     for v in values:
-        minutes = MIN.ddos_minutes(conn, v) if kind == "ddos" else MIN.scan_minutes(conn, v)
-        labelled = CL.kmeans(minutes, features=("COUNT",), k=k, seed=seed)
+        labelled = CL.kmeans(minutes.where(F.col(column) == v), features=("COUNT",), k=k, seed=seed,
+                             checkpoint=False)
         res = stamp_run(labelled.withColumn("TIPO", F.lit(v)), run_ts, since, row_id)
         write_results(res, path)
     return path
