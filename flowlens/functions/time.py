@@ -53,9 +53,17 @@ def since_literal(df: DataFrame, column: str, stamp) -> Column:
     Parsing happens once on the driver; the comparison stays a plain
     timestamp predicate that Parquet can push down.
     """
-    value = parse_stamp(stamp)
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(value).cast(T.TimestampNTZType())
+        return ntz_literal(stamp)
     # TIMESTAMP (local time zone): read the wall-clock stamp in the session zone.
-    return F.to_timestamp(F.lit(value.isoformat(sep=" ")))
+    return F.lit(parse_stamp(stamp).isoformat(sep=" ")).cast(T.TimestampType())
+
+
+def ntz_literal(stamp) -> Column:
+    """A TIMESTAMP_NTZ literal of a wall-clock stamp.
+
+    Built from text, so neither the Python process zone nor the session
+    zone shifts it (a ``lit(datetime)`` is read in the local zone first).
+    """
+    return F.lit(parse_stamp(stamp).isoformat(sep=" ")).cast(T.TimestampNTZType())

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.functions.time import parse_stamp, since_literal
+from flowlens.functions.time import ntz_literal, parse_stamp, since_literal
 from flowlens.session import ensure_checkpoint_dir
 from flowlens.schemas import COUNT, IP, IP_ATTRIBUTES, IP_INFO_TYPES, RESP_H, TS_CODE
 
@@ -92,7 +92,7 @@ def lookup_batch(candidates: DataFrame, ip_info: DataFrame, free: int, field: st
 def _stamp(df: DataFrame, run_ts) -> DataFrame:
     """TS_CODE = the run's stamp, fixed once on the driver (default: now, UTC)."""
     stamp = parse_stamp(run_ts) if run_ts is not None else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return df.withColumn(TS_CODE, F.lit(stamp).cast("timestamp_ntz"))
+    return df.withColumn(TS_CODE, ntz_literal(stamp))
 
 
 def lookup(batch: DataFrame, directory: DataFrame, field: str = RESP_H, run_ts=None) -> DataFrame:

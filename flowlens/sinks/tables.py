@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.functions.time import parse_stamp
+from flowlens.functions.time import ntz_literal, parse_stamp
 
 RUN_COLUMNS = ("TS_FILTRO", "TS_CODE", "RUN_ID")
 
@@ -35,7 +35,7 @@ def stamp_run(df: DataFrame, run_ts, since=None, row_id: bool = False) -> DataFr
     stamp = parse_stamp(run_ts)
     cols = {
         "TS_FILTRO": F.lit(run_id_of(since) if since is not None else None).cast("bigint"),
-        "TS_CODE": F.lit(stamp).cast("timestamp_ntz"),
+        "TS_CODE": ntz_literal(stamp),
         "RUN_ID": F.lit(run_id_of(stamp)).cast("bigint"),
     }
     if row_id:

@@ -169,3 +169,18 @@ def test_record_limit_is_repeatable(spark, make_log):
     log = make_log(rows).repartition(4)
     got = [r.UID for r in scans.conn_records(log, limit=3).collect()]
     assert got == ["u0", "u1", "u2"]
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, sf_dir):
+    from flowlens.plans.registry import queries
+    from tools.oracle_check import spark_digest
+
+    qs = queries()
+    names = ["totals_proto", "pivot_proto_day", "lookups_today", "scan_totals", "ddos_minutes_http"]
+    utc = {n: spark_digest(qs[n](spark, sf_dir)) for n in names}
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        other = {n: spark_digest(qs[n](spark, sf_dir)) for n in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert other == utc
