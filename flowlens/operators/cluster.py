@@ -170,12 +170,16 @@ def silhouette(assigned: DataFrame, features=(COUNT,), prediction: str = "predic
 _NON_POSITIVE_BUCKET = -2000  # below floor(log2(x)) of every positive double
 
 
-def two_means_exact(df: DataFrame, feature: str = COUNT) -> DataFrame:
+def two_means_exact(df: DataFrame, feature: str = COUNT, checkpoint: bool = True) -> DataFrame:
     """M6: exact 1-D two-means; one row, or none for empty input.
 
     Columns: N, K (2, or 1 when all values are equal), THRESHOLD (largest
     value of the low cluster), LOW_N, HIGH_N, LOW_CENTER, HIGH_CENTER,
     COST (within-cluster sum of squares).  Ties go to the lower threshold.
+
+    The distinct values (at most about sqrt(2 * rows) of them for counts)
+    feed two branches; ``checkpoint`` stores them once in the checkpoint
+    folder so the input is aggregated once, not once per branch.
     """
     x = F.col(feature)
     is_integral = isinstance(df.schema[feature].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
@@ -189,6 +193,9 @@ def two_means_exact(df: DataFrame, feature: str = COUNT) -> DataFrame:
         .withColumn("q", F.col("s") * F.col("xa"))
         .withColumn("b", F.when(F.col("x") > 0, F.floor(F.log2(F.col("x")))).otherwise(F.lit(_NON_POSITIVE_BUCKET)))
     )
+    if checkpoint:
+        ensure_checkpoint_dir(values.sparkSession)
+        values = values.checkpoint(eager=True)
     # Level 1: totals per bucket (at most ~2100 rows) and their running sums.
     buckets = values.groupBy("b").agg(F.sum("n").alias("bn"), F.sum("s").alias("bs"), F.sum("q").alias("bq"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)

@@ -155,15 +155,19 @@ def ip_info_union(hits: DataFrame, new_rows: DataFrame) -> DataFrame:
     return hits.select(*cols).unionByName(new_rows.where(F.col("LOOKUP_OK")).select(*cols))
 
 
-def attach_ip_info(data: DataFrame, info: DataFrame, field: str = RESP_H) -> DataFrame:
+def attach_ip_info(data: DataFrame, info: DataFrame, field: str = RESP_H, unique: bool = False) -> DataFrame:
     """Every row of ``data`` with the attributes of its host (left join).
 
-    ``info`` is reduced to one row per IP first, so no input row is
-    duplicated; rows without a match keep null attributes.
+    ``info`` is reduced to one row per IP first (skipped when the caller
+    knows it already is, ``unique=True``), so no input row is duplicated;
+    rows without a match keep null attributes.
     """
-    per_ip = info.select(IP, *IP_ATTRIBUTES).groupBy(IP).agg(
-        F.max(F.struct(*IP_ATTRIBUTES)).alias("_a")
-    ).select(F.col(IP).alias("_ip"), *[F.col(f"_a.{c}").alias(c) for c in IP_ATTRIBUTES])
+    if unique:
+        per_ip = info.select(F.col(IP).alias("_ip"), *IP_ATTRIBUTES)
+    else:
+        per_ip = info.select(IP, *IP_ATTRIBUTES).groupBy(IP).agg(
+            F.max(F.struct(*IP_ATTRIBUTES)).alias("_a")
+        ).select(F.col(IP).alias("_ip"), *[F.col(f"_a.{c}").alias(c) for c in IP_ATTRIBUTES])
     return data.join(per_ip, data[field] == per_ip["_ip"], "left").drop("_ip")
 
 
@@ -183,14 +187,15 @@ def enrich(data: DataFrame, ip_info: DataFrame, field: str = RESP_H, directory:
     no lookup ran.  ``limit = 0`` means cache only.  ``candidates`` (default
     ``data``) are the hosts eligible for a lookup, e.g. the top responders.
     """
-    hits_source = latest_ip_info(ip_info)
+    hits_source = latest_ip_info(ip_info)  # one row per IP
     if limit <= 0 or (directory is None and make_client is None):
-        return attach_ip_info(data, hits_source, field), None
+        return attach_ip_info(data, hits_source, field, unique=True), None
     free = lookup_quota(ip_info, today, daily_quota).first()["FREE"]  # one number
     batch = lookup_batch(candidates if candidates is not None else data, ip_info, free, field, limit)
     if make_client is not None:
         new = lookup_with(batch, make_client, field, run_ts)
     else:
         new = lookup(batch, directory, field, run_ts)
+    # New lookups are cache misses only, so the union is still one row per IP.
     info = ip_info_union(hits_source, new)
-    return attach_ip_info(data, info, field), cache_rows(new)
+    return attach_ip_info(data, info, field, unique=True), cache_rows(new)

@@ -260,7 +260,8 @@ def _ip_info_union(spark, sf_dir):
 @register("enrich_resp_hosts", O.enrich_sql(O.ENRICH_QUERIES["enrich_resp_hosts"]))
 def _enrich_resp_hosts(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return EN.attach_ip_info(TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H"), EN.latest_ip_info(t.ip_info))
+    return EN.attach_ip_info(TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H"), EN.latest_ip_info(t.ip_info),
+                             unique=True)
 
 
 @register("export_resp_h_info", O.enrich_sql(O.ENRICH_QUERIES["export_resp_h_info"]))
