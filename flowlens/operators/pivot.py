@@ -4,8 +4,9 @@ Pivoting an IP column makes one output column per IP, so the number of
 values has to be bounded.  ``pivot_counts`` takes explicit ``values`` or
 picks the ``top_n`` values by total COUNT (one aggregate; only those n
 values reach the driver, and n is checked against
-``spark.sql.pivotMaxValues``).  Rows of other values are filtered out
-before the shuffle.  With neither, Spark discovers the values itself (its
+``spark.sql.pivotMaxValues``); the input is aggregated once to the long
+form, which both steps read.  Rows of other values are filtered out
+before the pivot.  With neither, Spark discovers the values itself (its
 own pivotMaxValues guard applies) -- fine for PROTO or SERVICE.
 ``long_counts`` is the scalable shape: (bucket, value, COUNT) rows.
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.time import bucket
 from flowlens.schemas import COUNT, TS
+from flowlens.session import ensure_checkpoint_dir
 
 
 def top_values(df: DataFrame, dim: str, n: int, value_col: str = COUNT) -> list:
@@ -45,12 +47,22 @@ def _restrict(df: DataFrame, dim: str, values: list) -> DataFrame:
 
 def pivot_counts(df: DataFrame, dim: str, unit: str = "hour", values: list | None = None,
                  top_n: int | None = None, value_col: str = COUNT, time_col: str = TS,
-                 where=None) -> DataFrame:
-    """One row per time bucket, one column per value of ``dim``: sum of ``value_col``."""
+                 where=None, checkpoint: bool = True) -> DataFrame:
+    """One row per time bucket, one column per value of ``dim``: sum of ``value_col``.
+
+    With ``top_n`` the input is first reduced to the long form (bucket,
+    value, sum) -- checkpointed once -- and both the choice of values and
+    the pivot read that, so the input is aggregated once.
+    """
     if where is not None:
         df = df.where(where)
     if values is None and top_n is not None:
-        values = top_values(df, dim, top_n, value_col)
+        long = long_counts(df, dim, unit, value_col, time_col)
+        if checkpoint:
+            ensure_checkpoint_dir(long.sparkSession)
+            long = long.checkpoint(eager=True)
+        values = top_values(long, dim, top_n, COUNT)
+        return _restrict(long, dim, values).groupBy(TS).pivot(dim, values).agg(F.sum(COUNT))
     src = df.select(bucket(df, time_col, unit).alias(TS), dim, value_col)
     if values is not None:
         src = _restrict(src, dim, values)
