@@ -74,8 +74,7 @@ IP_ROWS_CTE = f"""ip_rows AS (
     'city' || CAST(s_suppkey % 7 AS VARCHAR) AS CITY, r_name AS REGION, n_name AS COUNTRY, s_name AS ORG,
     CAST(s_suppkey % 180 - 90 AS DOUBLE) AS LATITUDE, CAST(s_suppkey % 360 - 180 AS DOUBLE) AS LONGITUDE,
     TIMESTAMP '{CACHE_BASE_TS}' + s_suppkey * 10 * INTERVAL 1 MINUTE AS TS_CODE
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE s_suppkey < 150),
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 IP_INFO AS (SELECT IP, HOSTNAME, CITY, REGION, COUNTRY, ORG, LATITUDE, LONGITUDE, TS_CODE FROM ip_rows WHERE k % 3 <> 0),
 IP_DIRECTORY AS (SELECT IP, HOSTNAME, CITY, REGION, COUNTRY, ORG, LATITUDE, LONGITUDE FROM ip_rows)"""
 

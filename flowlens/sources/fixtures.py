@@ -114,7 +114,7 @@ IP_ROWS_EXPRS = (
 
 def _ip_rows(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     # nation (25 rows) and region (5 rows) are fixed-size dimension tables.
-    s = supplier.where("s_suppkey < 150")
+    s = supplier
     return (
         s.join(F.broadcast(nation), s.s_nationkey == nation.n_nationkey)
         .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
