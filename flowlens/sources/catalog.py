@@ -1,6 +1,6 @@
 """A catalog of named tables (format, path, options) read with spark.read.
 
-The reference reads every table through one connector configured with a
+Originally every table is read through one connector configured with a
 table name.  Here a table is any Spark-readable location; Parquet tables
 partitioned by ``TIPO`` (and a run or ingest date) give partition pruning
 for free.
