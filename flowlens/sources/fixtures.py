@@ -152,8 +152,15 @@ class Tables:
 
     @property
     def log(self) -> DataFrame:
-        return self._get("log", lambda: log_table(
-            _read(self.spark, self.sf_dir, "events").select("event_id", "user_id", "event_type", "value")))
+        return self._get("log", lambda: log_table(self._events()))
+
+    def _events(self) -> DataFrame:
+        # The driver's files are one row group each, which Spark cannot split:
+        # spread the rows over the session's cores (hash on the unique id,
+        # one shuffle of the raw rows) so the per-row work runs in parallel.
+        # A LOG table of many files needs no such step.
+        events = _read(self.spark, self.sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+        return events.repartition(self.spark.sparkContext.defaultParallelism, "event_id")
 
     @property
     def ip_info(self) -> DataFrame:
