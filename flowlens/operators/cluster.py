@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.schemas import COUNT
-from flowlens.session import ensure_checkpoint_dir
+from flowlens.session import reliable_checkpoint
 
 FEATURES = "features"
 DEFAULT_SEED = 1
@@ -67,10 +67,8 @@ def kmeans(
     """
     features = list(features)
     data = df.dropna(subset=features) if dropna else df
-    spark = data.sparkSession
     if checkpoint:
-        ensure_checkpoint_dir(spark)
-        data = data.checkpoint(eager=True)
+        data = reliable_checkpoint(data)
     if data.isEmpty():
         return _empty_result(data, k)
     assembler = VectorAssembler(inputCols=features, outputCol=FEATURES)
@@ -194,8 +192,7 @@ def two_means_exact(df: DataFrame, feature: str = COUNT, checkpoint: bool = True
         .withColumn("b", F.when(F.col("x") > 0, F.floor(F.log2(F.col("x")))).otherwise(F.lit(_NON_POSITIVE_BUCKET)))
     )
     if checkpoint:
-        ensure_checkpoint_dir(values.sparkSession)
-        values = values.checkpoint(eager=True)
+        values = reliable_checkpoint(values)
     # Level 1: totals per bucket (at most ~2100 rows) and their running sums.
     buckets = values.groupBy("b").agg(F.sum("n").alias("bn"), F.sum("s").alias("bs"), F.sum("q").alias("bq"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)

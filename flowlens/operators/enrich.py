@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.time import ntz_literal, parse_stamp, since_literal
-from flowlens.session import ensure_checkpoint_dir
+from flowlens.session import reliable_checkpoint
 from flowlens.schemas import COUNT, IP, IP_ATTRIBUTES, IP_INFO_TYPES, RESP_H, TS_CODE
 
 DAILY_QUOTA = 1000
@@ -145,8 +145,7 @@ def lookup_with(batch: DataFrame, make_client: Callable[[], Callable[[pd.Series]
     looked = _stamp(ips.mapInPandas(run, LOOKUP_SCHEMA), run_ts)
     # The result feeds both the join and the cache write: keep it in the
     # checkpoint folder so the external service is called once per IP.
-    ensure_checkpoint_dir(looked.sparkSession)
-    return looked.checkpoint(eager=True)
+    return reliable_checkpoint(looked)
 
 
 def ip_info_union(hits: DataFrame, new_rows: DataFrame) -> DataFrame:

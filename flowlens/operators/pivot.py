@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.time import bucket
 from flowlens.schemas import COUNT, TS
-from flowlens.session import ensure_checkpoint_dir
+from flowlens.session import reliable_checkpoint
 
 
 def top_values(df: DataFrame, dim: str, n: int, value_col: str = COUNT) -> list:
@@ -59,8 +59,7 @@ def pivot_counts(df: DataFrame, dim: str, unit: str = "hour", values: list | Non
     if values is None and top_n is not None:
         long = long_counts(df, dim, unit, value_col, time_col)
         if checkpoint:
-            ensure_checkpoint_dir(long.sparkSession)
-            long = long.checkpoint(eager=True)
+            long = reliable_checkpoint(long)
         values = top_values(long, dim, top_n, COUNT)
         return _restrict(long, dim, values).groupBy(TS).pivot(dim, values).agg(F.sum(COUNT))
     src = df.select(bucket(df, time_col, unit).alias(TS), dim, value_col)

@@ -26,7 +26,7 @@ from flowlens.operators import enrich as EN
 from flowlens.operators import minutes as MIN
 from flowlens.operators import totals as TOT
 from flowlens.plans import exports as X
-from flowlens.session import ensure_checkpoint_dir
+from flowlens.session import reliable_checkpoint
 from flowlens.sinks.files import write_csv
 from flowlens.sinks.tables import append_rows, read_results, run_id_of, stamp_run, write_results
 from flowlens.sources import scans
@@ -60,8 +60,7 @@ def _kmeans_job(conn: DataFrame, kind: str, values, tables_dir: str, table: str,
     """One per-minute aggregate for all values, checkpointed once; one model per value."""
     path = os.path.join(tables_dir, table)
     column = "SERVICE" if kind == "ddos" else "PROTO"
-    ensure_checkpoint_dir(conn.sparkSession)
-    minutes = MIN.minutes_for(conn, kind, values).checkpoint(eager=True)
+    minutes = reliable_checkpoint(MIN.minutes_for(conn, kind, values))
     for v in values:
         labelled = CL.kmeans(minutes.where(F.col(column) == v), features=("COUNT",), k=k, seed=seed,
                              checkpoint=False)

@@ -70,3 +70,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="flowlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def reliable_checkpoint(df):
+    """Eager ``checkpoint()`` into the checkpoint folder, computing ``df`` once.
+
+    A reliable checkpoint of an unpersisted plan runs it twice (once for
+    the eager action, once to write the files); persisting first lets the
+    write read the blocks just computed.  The cache is dropped afterwards:
+    the returned frame reads the checkpoint files, which survive executor
+    loss.
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
