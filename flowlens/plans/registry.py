@@ -24,6 +24,7 @@ from flowlens.operators import totals as TOT
 from flowlens.operators import web as WEB
 from flowlens.plans import oracle_sql as O
 from flowlens.schemas import RECORD_COLUMNS, TOTALS
+from flowlens.session import reliable_checkpoint
 from flowlens.sinks.tables import RUN_COLUMNS, stamp_run
 from flowlens.sources import fixtures, scans
 
@@ -267,7 +268,8 @@ def _enrich_resp_hosts(spark, sf_dir):
 @register("export_resp_h_info", O.enrich_sql(O.ENRICH_QUERIES["export_resp_h_info"]))
 def _export_resp_h_info(spark, sf_dir):
     t = tables(spark, sf_dir)
-    resp_h = TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H")
+    # As the export job reads the stored totals: computed once, read twice.
+    resp_h = reliable_checkpoint(TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H"))
     top = TOT.top_resp_hosts(resp_h, EN.TOP_HOSTS)
     enriched, _new = EN.enrich(resp_h, t.ip_info, directory=t.ip_directory, today=O.TODAY,
                                limit=EN.DAILY_QUOTA, candidates=top, run_ts=O.RUN_TS)
