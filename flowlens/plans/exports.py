@@ -57,7 +57,8 @@ def export_totals(totals: DataFrame, out_dir: str, tipos=None, single_file=False
 
 
 def _labelled(pivoted: DataFrame, unit: str) -> DataFrame:
-    return pivoted.orderBy(TS).withColumn(TS, label(TS, unit))
+    """Text label in TS; the real bucket kept in ``_bucket`` for the sort."""
+    return pivoted.withColumn("_bucket", F.col(TS)).withColumn(TS, label(TS, unit))
 
 
 def export_pivot(df: DataFrame, out_dir: str, name: str, dim: str, units=("hour", "day"),
@@ -68,7 +69,8 @@ def export_pivot(df: DataFrame, out_dir: str, name: str, dim: str, units=("hour"
         piv = PV.pivot_counts(df, dim, unit, values=values, top_n=top_n, where=where)
         suffix = {"minute": "M", "hour": "H", "day": "D"}[unit]
         # One row per time bucket: small enough for a single sorted file.
-        out.append(write_csv(_labelled(piv, unit), _p(out_dir, f"{name}_PIVOT_{suffix}"), single_file=single_file))
+        out.append(write_csv(_labelled(piv, unit), _p(out_dir, f"{name}_PIVOT_{suffix}"), [F.col("_bucket")],
+                             single_file=single_file, drop=("_bucket",)))
     return out
 
 

@@ -11,20 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def _prepare(df: DataFrame, order, single_file: bool) -> DataFrame:
+def _prepare(df: DataFrame, order, single_file: bool, drop=()) -> DataFrame:
+    """Sort for writing; the sort is the last step before the writer.
+
+    With ``single_file`` the rows go to one partition first and are sorted
+    there (a shuffle does not keep an earlier order).  ``drop`` removes
+    sort-only columns after sorting, which keeps the row order.
+    """
     if single_file:
         df = df.repartition(1)
-        return df.sortWithinPartitions(*order) if order else df
-    return df.orderBy(*order) if order else df
+        df = df.sortWithinPartitions(*order) if order else df
+    elif order:
+        df = df.orderBy(*order)
+    return df.drop(*drop) if drop else df
 
 
-def write_csv(df: DataFrame, path: str, order=None, single_file: bool = False, mode: str = "overwrite") -> str:
+def write_csv(df: DataFrame, path: str, order=None, single_file: bool = False, mode: str = "overwrite",
+              drop=()) -> str:
     """K1: CSV with a header line; replaces ``path``."""
-    _prepare(df, order, single_file).write.mode(mode).option("header", True).csv(path)
+    _prepare(df, order, single_file, drop).write.mode(mode).option("header", True).csv(path)
     return path
 
 
-def write_json(df: DataFrame, path: str, order=None, single_file: bool = False, mode: str = "overwrite") -> str:
+def write_json(df: DataFrame, path: str, order=None, single_file: bool = False, mode: str = "overwrite",
+               drop=()) -> str:
     """K2: JSON lines; replaces ``path``."""
-    _prepare(df, order, single_file).write.mode(mode).json(path)
+    _prepare(df, order, single_file, drop).write.mode(mode).json(path)
     return path

@@ -53,9 +53,12 @@ def test_day_labels_sort_chronologically(spark, make_log):
         conn_row(dt.datetime(2018, 12, 1, 0, 30), uid="b"),
         conn_row(dt.datetime(2018, 12, 1, 1, 30), uid="c"),
     ]
-    totals = TOT.totals(scans.scan_conn(make_log(rows)), "PROTO")
+    totals = TOT.totals(scans.scan_conn(make_log(rows).repartition(3)), "PROTO").repartition(3)
     out = tempfile.mkdtemp(prefix="flowlens-test-")
     X.export_pivot(totals, out, "PROTO_", "PROTO")
+    X.export_pivot(totals, out, "MULTI_", "PROTO", single_file=False)
+    multi = spark.read.option("header", True).csv(os.path.join(out, "MULTI__PIVOT_H"))
+    assert "_bucket" not in multi.columns and multi.count() == 3
     day = spark.read.option("header", True).csv(os.path.join(out, "PROTO__PIVOT_D")).collect()
     assert [r.TS for r in day] == ["30.11.2018", "01.12.2018"]
     hour = spark.read.option("header", True).csv(os.path.join(out, "PROTO__PIVOT_H")).collect()
