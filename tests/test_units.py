@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from flowlens.operators import cluster as CL
@@ -100,3 +101,24 @@ def test_empty_result_writes_no_partition(spark, make_log):
     full = TOT.totals_all(scans.scan_conn(make_log([conn_row(T0)])))
     write_results(stamp_run(full, "2018-12-03 12:00:00"), path)
     assert read_results(spark, path).count() == 21
+
+
+def test_function_lookup_calls_the_service_once_per_ip(spark, make_log):
+    rows = [conn_row(T0 + dt.timedelta(minutes=i), resp=f"203.0.0.{i % 5}", uid=f"u{i}") for i in range(20)]
+    totals = TOT.totals(scans.scan_conn(make_log(rows)), "RESP_H")
+    info = spark.createDataFrame([], "IP string, HOSTNAME string, CITY string, REGION string, COUNTRY string, "
+                                     "ORG string, LATITUDE double, LONGITUDE double, TS_CODE timestamp_ntz")
+    looked_up = spark.sparkContext.accumulator(0)
+
+    def make_client():
+        def fetch(ips):
+            looked_up.add(len(ips))
+            return pd.DataFrame({"HOSTNAME": ["h-" + ip for ip in ips]})
+
+        return fetch
+
+    enriched, new = EN.enrich(totals, info, make_client=make_client, today="2018-12-03", limit=1000)
+    assert {r.ID_RESP_H: r.HOSTNAME for r in enriched.collect()} == {f"203.0.0.{i}": f"h-203.0.0.{i}" for i in range(5)}
+    assert new.count() == 5
+    enriched.count()
+    assert looked_up.value == 5  # one call per IP although both outputs were computed
