@@ -47,15 +47,18 @@ def main(argv=None) -> None:
     a = p.parse_args(argv)
 
     spark = _session(a.local)
+    metrics: dict = {}
     read = lambda path: spark.read.parquet(path) if path else None
     if a.job == "records":
         out = jobs.job_records(read(a.log), a.out, a.since, a.limit)
     elif a.job == "totals":
-        out = jobs.job_totals(read(a.log), a.tables, a.since, a.run_ts)
+        out = jobs.job_totals(read(a.log), a.tables, a.since, a.run_ts, metrics=metrics)
     elif a.job == "ddos":
-        out = jobs.job_ddos(read(a.log), a.tables, tuple(a.values or ("http", "ssh")), a.since, a.run_ts)
+        out = jobs.job_ddos(read(a.log), a.tables, tuple(a.values or ("http", "ssh")), a.since, a.run_ts,
+                            metrics=metrics)
     elif a.job == "scan":
-        out = jobs.job_scan(read(a.log), a.tables, tuple(a.values or ("tcp", "udp")), a.since, a.run_ts)
+        out = jobs.job_scan(read(a.log), a.tables, tuple(a.values or ("tcp", "udp")), a.since, a.run_ts,
+                            metrics=metrics)
     elif a.job == "export":
         out = jobs.job_export(spark, a.tables, a.out, a.since, a.run_id, ip_info=read(a.ip_info),
                               directory=read(a.directory), today=a.today, run_ts=a.run_ts)
@@ -64,7 +67,7 @@ def main(argv=None) -> None:
 
         run_incremental_totals(spark, a.log, a.tables, a.checkpoint)
         out = a.tables
-    print(json.dumps({"job": a.job, "output": out}))
+    print(json.dumps({"job": a.job, "output": out, **metrics}))
 
 
 if __name__ == "__main__":

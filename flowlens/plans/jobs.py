@@ -47,16 +47,16 @@ def job_records(log: DataFrame, out_dir: str, since=None, limit=None) -> list[st
 
 
 def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strategy="two_level",
-               row_id: bool = False) -> str:
+               row_id: bool = False, metrics: dict | None = None) -> str:
     """Job 5: the 21 hourly totals -> LOG_TOTAIS partitioned by TIPO and RUN_ID."""
     run_ts = run_ts or _now()
     conn = scans.scan_conn(log, since)
     res = stamp_run(TOT.totals_all(conn, strategy=strategy), run_ts, since, row_id)
-    return write_results(res, os.path.join(tables_dir, LOG_TOTAIS))
+    return write_results(res, os.path.join(tables_dir, LOG_TOTAIS), metrics=metrics)
 
 
 def _kmeans_job(conn: DataFrame, kind: str, values, tables_dir: str, table: str, since, run_ts,
-                k: int, seed: int, row_id: bool) -> str:
+                k: int, seed: int, row_id: bool, metrics: dict | None = None) -> str:
     """One per-minute aggregate for all values, checkpointed once; one model per value."""
     path = os.path.join(tables_dir, table)
     column = "SERVICE" if kind == "ddos" else "PROTO"
@@ -65,23 +65,24 @@ def _kmeans_job(conn: DataFrame, kind: str, values, tables_dir: str, table: str,
         labelled = CL.kmeans(minutes.where(F.col(column) == v), features=("COUNT",), k=k, seed=seed,
                              checkpoint=False)
         res = stamp_run(labelled.withColumn("TIPO", F.lit(v)), run_ts, since, row_id)
-        write_results(res, path)
+        write_results(res, path, metrics=metrics)
     return path
 
 
 def job_ddos(log: DataFrame, tables_dir: str, services=("http", "ssh"), since=None, run_ts=None,
-             k: int = 2, seed: int = CL.DEFAULT_SEED, row_id: bool = False) -> str:
+             k: int = 2, seed: int = CL.DEFAULT_SEED, row_id: bool = False, metrics: dict | None = None) -> str:
     """Job 6: DDoS candidates per service."""
     conn = scans.scan_conn(log, since)
-    return _kmeans_job(conn, "ddos", services, tables_dir, LOG_KMEANS_DDOS, since, run_ts or _now(), k, seed, row_id)
+    return _kmeans_job(conn, "ddos", services, tables_dir, LOG_KMEANS_DDOS, since, run_ts or _now(), k, seed, row_id,
+                       metrics)
 
 
 def job_scan(log: DataFrame, tables_dir: str, protos=("tcp", "udp"), since=None, run_ts=None,
-             k: int = 2, seed: int = CL.DEFAULT_SEED, row_id: bool = False) -> str:
+             k: int = 2, seed: int = CL.DEFAULT_SEED, row_id: bool = False, metrics: dict | None = None) -> str:
     """Job 7: port-scan candidates per protocol."""
     conn = scans.scan_conn(log, since)
     return _kmeans_job(conn, "scan", protos, tables_dir, LOG_KMEANS_SCAN_PORT, since, run_ts or _now(), k, seed,
-                       row_id)
+                       row_id, metrics)
 
 
 def job_export(spark: SparkSession, tables_dir: str, out_dir: str, since=None, run_id="latest",

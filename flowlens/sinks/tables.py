@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.functions.time import ntz_literal, parse_stamp
@@ -43,15 +43,25 @@ def stamp_run(df: DataFrame, run_ts, since=None, row_id: bool = False) -> DataFr
     return df.withColumns(cols)
 
 
-def write_results(df: DataFrame, path: str, partition_by=("TIPO", "RUN_ID")) -> str:
-    """K3: write a stamped result frame, replacing only its own partitions."""
+def write_results(df: DataFrame, path: str, partition_by=("TIPO", "RUN_ID"), metrics: dict | None = None) -> str:
+    """K3: write a stamped result frame, replacing only its own partitions.
+
+    ``metrics`` (a dict) receives ``rows`` written, observed during the
+    write itself (``DataFrame.observe``) rather than by a counting job.
+    """
     spark = df.sparkSession
+    observation = None
+    if metrics is not None:
+        observation = Observation("written")
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    if observation is not None:
+        metrics["rows"] = metrics.get("rows", 0) + observation.get["rows"]
     return path
 
 

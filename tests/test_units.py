@@ -99,8 +99,9 @@ def test_empty_result_writes_no_partition(spark, make_log):
     write_results(stamp_run(empty, "2018-12-03 12:00:00"), path)
     assert not [d for d in os.listdir(path) if d.startswith("TIPO=")]
     full = TOT.totals_all(scans.scan_conn(make_log([conn_row(T0)])))
-    write_results(stamp_run(full, "2018-12-03 12:00:00"), path)
-    assert read_results(spark, path).count() == 21
+    metrics = {}
+    write_results(stamp_run(full, "2018-12-03 12:00:00"), path, metrics=metrics)
+    assert read_results(spark, path).count() == 21 == metrics["rows"]
 
 
 def test_function_lookup_calls_the_service_once_per_ip(spark, make_log):
