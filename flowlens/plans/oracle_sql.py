@@ -187,7 +187,20 @@ def minutes_sql(kind: str, value: str) -> str:
 
 
 def two_means_sql(kind: str, value: str, feature: str = '"COUNT"') -> str:
-    body = f"""SELECT N, K, THRESHOLD, LOW_N, HIGH_N, ROUND(LOW_CENTER, 4) AS LOW_CENTER,
+    return with_ctes(_two_means_select(feature), f"m AS ({minutes_select(kind, value, round_doubles=False)})")
+
+
+def kmeans_labels_sql(kind: str, value: str) -> str:
+    """MLlib's high/normal labels, stated through the exact two-means split."""
+    keys = "ID_ORIG_H, ID_RESP_H, ID_RESP_P, PROTO, SERVICE" if kind == "ddos" else "ID_ORIG_H, ID_ORIG_P, ID_RESP_H, PROTO"
+    body = (f'SELECT {keys}, TS, "COUNT", CASE WHEN best.K = 2 THEN "COUNT" > best.THRESHOLD ELSE TRUE END AS IS_HIGH '
+            "FROM m CROSS JOIN best")
+    return with_ctes(body, f"m AS ({minutes_select(kind, value, round_doubles=False)})",
+                     f"best AS ({_two_means_select()})")
+
+
+def _two_means_select(feature: str = '"COUNT"') -> str:
+    return f"""SELECT N, K, THRESHOLD, LOW_N, HIGH_N, ROUND(LOW_CENTER, 4) AS LOW_CENTER,
   ROUND(HIGH_CENTER, 4) AS HIGH_CENTER, ROUND(COST, 4) AS COST FROM (
   SELECT CAST(tn AS BIGINT) AS N, CASE WHEN tn - nl > 0 THEN 2 ELSE 1 END AS K, x AS THRESHOLD,
     CAST(nl AS BIGINT) AS LOW_N, CAST(tn - nl AS BIGINT) AS HIGH_N,
@@ -201,7 +214,6 @@ def two_means_sql(kind: str, value: str, feature: str = '"COUNT"') -> str:
         FROM (SELECT {feature} AS x, CAST(COUNT(*) AS HUGEINT) AS n FROM m WHERE {feature} IS NOT NULL GROUP BY 1) v
         WINDOW w AS (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) c
 ) r ORDER BY K DESC, r.COST ASC, THRESHOLD ASC LIMIT 1"""
-    return with_ctes(body, f"m AS ({minutes_select(kind, value, round_doubles=False)})")
 
 
 # ------------------------------------------------------------ enrichment

@@ -201,6 +201,21 @@ for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
         register(f"kmeans_{_kind}_{_v}", None)(_kmeans(_kind, _v))
 
 
+def _kmeans_labels(kind, value):
+    keys = list(MIN.DDOS_KEYS if kind == "ddos" else MIN.SCAN_KEYS)
+
+    def run(spark, sf_dir):
+        return _kmeans(kind, value)(spark, sf_dir).select(*keys, "TS", "COUNT", "IS_HIGH")
+
+    return run
+
+
+# MLlib's labels, checked by SQL through the exact split (the 1-D optimum).
+for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
+    for _v in _values:
+        register(f"kmeans_labels_{_v}", O.kmeans_labels_sql(_kind, _v))(_kmeans_labels(_kind, _v))
+
+
 @register("kmeans_multi", None)
 def _kmeans_multi(spark, sf_dir):
     return CL.kmeans_multi(_minutes("ddos", "http")(spark, sf_dir))
