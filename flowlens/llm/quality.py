@@ -44,6 +44,7 @@ SMOOTH = 1e-3
 SAMPLE = 20_000
 HIDDEN = 32
 EPOCHS = 40
+DECAY = 1e-2
 SEED = 20
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 CACHE = 400_000
@@ -227,7 +228,7 @@ def train(x: np.ndarray, y: np.ndarray, held: np.ndarray, epochs: int = EPOCHS)
             h = np.tanh(a[rows] @ w1 + b1)
             error = (1 / (1 + np.exp(-(h @ w2 + b2[0]))) - t[rows]) / len(rows)
             back = error[:, None] * w2[None, :] * (1 - h**2)
-            grads = [a[rows].T @ back + 1e-4 * w1, back.sum(axis=0), h.T @ error + 1e-4 * w2, np.array([error.sum()])]
+            grads = [a[rows].T @ back + DECAY * w1, back.sum(axis=0), h.T @ error + DECAY * w2, np.array([error.sum()])]
             step += 1
             for i, g in enumerate(grads):
                 m[i] = 0.9 * m[i] + 0.1 * g
