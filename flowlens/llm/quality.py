@@ -255,7 +255,11 @@ def lessons(docs: DataFrame, labels: DataFrame, label_col: str, sample: int) ->
         F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     clear = clear.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").drop("z")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    picked = store(clear.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "quality-sample")
+    usable = store(clear.join(ids, "doc_id", "left_semi"), "quality-labels")
+    # Sorting only what can be among the smallest hashes keeps every task's share in proportion to the sample.
+    share = min(1.0, (1.2 * sample + 100) / max(usable.count(), 1))
+    few = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < F.lit(int(share * (1 << 31))))
+    picked = store(few.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)), "doc_id").limit(sample), "quality-sample")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.join(F.broadcast(picked), "doc_id")  # at most ``sample`` rows of 12 bytes
 
