@@ -54,3 +54,10 @@ def free_name(df: DataFrame, name: str) -> str:
 def column(name: str):
     """The column ``name`` of any frame, dots and back-ticks in it included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def smaller(batches, rows: int = 1024):
+    """The Arrow batches in slices of at most ``rows`` rows, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import column, shuffle_partitions
+from flowlens.llm.common import column, shuffle_partitions, smaller
 
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_245, 742_938_285)
@@ -182,7 +182,7 @@ SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 def _compare(batches):
     before = None  # (range, id, text, fingerprint) of the row whose next one has not come yet
     rows = []
-    for batch in batches:
+    for batch in smaller(batches):
         for b, tail, doc_id, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
             if tail and (before is None or before[0] != b):
                 continue

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import column, shuffle_partitions, store
+from flowlens.llm.common import column, shuffle_partitions, smaller, store
 
 BUCKETS = 16384
 DIM = 64
@@ -47,7 +47,7 @@ EPOCHS = 40
 DECAY = 1e-2
 SEED = 20
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-CACHE = 400_000
+CACHE = 200_000
 
 
 def index_vectors() -> np.ndarray:
@@ -112,7 +112,7 @@ def _sums(batches):
         total[sorted_ids[starts]] += np.add.reduceat(near[order], starts, axis=0, dtype=np.int64)
 
     gap = np.full(WINDOW, -1, dtype=np.int32)  # windows do not cross documents
-    for batch in batches:
+    for batch in smaller(batches):
         held, size = [], 0
         for text in batch.column(0).to_pylist():
             ids = buckets(text)
@@ -166,8 +166,8 @@ def pool(text: str | None, vectors: np.ndarray) -> np.ndarray:
     if not len(ids):
         return out
     total, squares = np.zeros(DIM + 1), np.zeros(DIM)
-    for at in range(0, len(ids), 1 << 16):
-        got = vectors[ids[at:at + (1 << 16)]].astype(np.float64)
+    for at in range(0, len(ids), 1 << 14):
+        got = vectors[ids[at:at + (1 << 14)]].astype(np.float64)
         total += got.sum(axis=0)
         squares += (got[:, :DIM] ** 2).sum(axis=0)
     n = len(ids)
@@ -270,7 +270,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def pooled(batches):
-        for batch in batches:
+        for batch in smaller(batches):
             got = [pool(t, shared.value).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary()), batch.column(2)], names=["doc_id", "x", "y"])
 
@@ -291,7 +291,7 @@ def scored(docs: DataFrame, vectors: np.ndarray, net: Network, score_col: str =
 
     def run(batches):
         table, model = shared.value
-        for batch in batches:
+        for batch in smaller(batches):
             x = np.array([pool(t, table) for t in batch.column(at).to_pylist()], dtype=np.float32).reshape(batch.num_rows, FEATURES)
             score = pa.array(model.scores(x.astype(np.float64)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, score_col])

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import discard, shuffle_partitions, store
+from flowlens.llm.common import discard, shuffle_partitions, smaller, store
 
 SEED = 42
 WIDTH = 3
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp): one row per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
 
     def run(batches):
-        for batch in batches:
+        for batch in smaller(batches):
             fps = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 

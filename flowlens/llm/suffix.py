@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import column, shuffle_partitions, store
+from flowlens.llm.common import column, shuffle_partitions, smaller, store
 
 LENGTH = 400
 SEED = 256
@@ -195,7 +195,7 @@ RUNS = "did long, hash long, seed long, ctx long, start long, n int, off int"
 def _anchors(length, seed):
     def run(batches):
         names = [c.split()[0] for c in RUNS.split(", ")]
-        for batch in batches:
+        for batch in smaller(batches):
             held, size = [], 0
             for did, hash_, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 s, c, start, n, off = runs(text.encode("utf-8", "surrogatepass"), length, seed)
@@ -226,7 +226,7 @@ def _cut(length, seed):
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.bool_(), pa.int32(), pa.binary(), pa.binary()])], names=names)
 
-        for batch in batches:
+        for batch in smaller(batches):
             for did, hash_, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 data = text.encode("utf-8", "surrogatepass")
                 for w in wanted:
@@ -364,7 +364,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def _keep(batches):
-    for batch in batches:
+    for batch in smaller(batches):
         rows = []
         for doc_id, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3))):
             data, at, kept = text.encode("utf-8", "surrogatepass"), 0, hashlib.sha256()
