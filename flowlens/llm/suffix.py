@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import column, shuffle_partitions, smaller, store
+from flowlens.llm.common import column, discard, shuffle_partitions, smaller, store
 
 LENGTH = 400
 SEED = 256
@@ -332,8 +332,10 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, group
     spark = docs.sparkSession
     p = shuffle_partitions(spark)
     anchors = store(docs.mapInArrow(_anchors(length, seed), RUNS), "suffix-anchors")
-    seeds = anchors.groupBy("seed").agg(F.count("*").alias("c"), (F.min("ctx") != F.max("ctx")).alias("several")).where("c > 1")
-    shared = store(anchors.join(seeds.drop("c"), "seed"), "suffix-shared")
+    # Stored, so that both sides of the join are plain exchanges, of which Spark can split a hot seed's.
+    seeds = store(anchors.groupBy("seed").agg(F.count("*").alias("c"), (F.min("ctx") != F.max("ctx")).alias("several")).where("c > 1").drop("c"), "suffix-seeds")
+    shared = store(anchors.join(seeds, "seed"), "suffix-shared")
+    discard(anchors, seeds)
     _release(spark)
     place = F.min(F.struct("did", "hash", "start", "n", "off")).alias("at")
     contexts = store(shared.groupBy("seed", "ctx").agg(F.count("*").alias("c"), place, F.first("several").alias("several")), "suffix-contexts")
