@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from flowlens.llm.common import column, smaller
 
 SPACE = "▁"
-CACHE = 350_000
+CACHE = 500_000
 LONGEST = 64  # longer words are not remembered
 SLICE = 1 << 20
 WHOLE = 10  # of so many runs of 1024 rows, the first slice is checked whole
