@@ -3,7 +3,7 @@
     python -m flowlens totals  --log PATH --tables DIR [--since STAMP] [--run-ts STAMP]
     python -m flowlens ddos    --log PATH --tables DIR [--values http ssh]
     python -m flowlens scan    --log PATH --tables DIR [--values tcp udp]
-    python -m flowlens records --log PATH --out DIR [--since STAMP] [--limit N]
+    python -m flowlens records --log PATH --out DIR [--since STAMP]
     python -m flowlens export  --tables DIR --out DIR [--ip-info PATH] [--directory PATH] [--today DATE]
     python -m flowlens incremental --log PATH --tables DIR --checkpoint DIR
 
@@ -14,11 +14,13 @@ locally it is a local[*] session.
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 
 from pyspark.sql import SparkSession
 
 from flowlens.plans import jobs
+from flowlens.schemas import DDOS_SERVICES, SCAN_PROTOS
 from flowlens.session import configure, local_session
 
 
@@ -28,6 +30,13 @@ def _session(local: bool) -> SparkSession:
     return configure(SparkSession.builder.getOrCreate())
 
 
+def _client(name: str | None):
+    if not name:
+        return None
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="flowlens")
     p.add_argument("job", choices=["records", "totals", "ddos", "scan", "export", "incremental"])
@@ -38,7 +47,8 @@ def main(argv=None) -> None:
     p.add_argument("--run-ts", default=None, help="run stamp (default: now)")
     p.add_argument("--run-id", default="latest", help="run to export (default: latest)")
     p.add_argument("--values", nargs="*", help="services (ddos) or protocols (scan)")
-    p.add_argument("--limit", type=int, default=None, help="record sample size (records job)")
+    p.add_argument("--most", type=int, default=100, help="columns of a source pivot beside OTHER (export job)")
+    p.add_argument("--client", default=None, help="module:function that makes a lookup client (export job)")
     p.add_argument("--ip-info", default=None, help="IP_INFO cache table (export job)")
     p.add_argument("--directory", default=None, help="IP directory table for lookups (export job)")
     p.add_argument("--today", default=None, help="day of the lookup quota (export job)")
@@ -50,18 +60,19 @@ def main(argv=None) -> None:
     metrics: dict = {}
     read = lambda path: spark.read.parquet(path) if path else None
     if a.job == "records":
-        out = jobs.job_records(read(a.log), a.out, a.since, a.limit)
+        out = jobs.job_records(read(a.log), a.out, a.since)
     elif a.job == "totals":
         out = jobs.job_totals(read(a.log), a.tables, a.since, a.run_ts, metrics=metrics)
     elif a.job == "ddos":
-        out = jobs.job_ddos(read(a.log), a.tables, tuple(a.values or ("http", "ssh")), a.since, a.run_ts,
+        out = jobs.job_ddos(read(a.log), a.tables, tuple(a.values or DDOS_SERVICES), a.since, a.run_ts,
                             metrics=metrics)
     elif a.job == "scan":
-        out = jobs.job_scan(read(a.log), a.tables, tuple(a.values or ("tcp", "udp")), a.since, a.run_ts,
+        out = jobs.job_scan(read(a.log), a.tables, tuple(a.values or SCAN_PROTOS), a.since, a.run_ts,
                             metrics=metrics)
     elif a.job == "export":
-        out = jobs.job_export(spark, a.tables, a.out, a.since, a.run_id, ip_info=read(a.ip_info),
-                              directory=read(a.directory), today=a.today, run_ts=a.run_ts)
+        out = jobs.job_export(spark, a.tables, a.out, a.since, a.run_id, ip_info=a.ip_info,
+                              directory=read(a.directory), make_client=_client(a.client), today=a.today,
+                              most=a.most, run_ts=a.run_ts)
     else:
         from flowlens.streaming import run_incremental_totals
 

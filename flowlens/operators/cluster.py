@@ -11,9 +11,8 @@
   aggregate (``silhouette_evaluator`` calls the evaluator itself).
 * ``two_means_exact`` (M6): for one feature and k=2 the optimum is a
   threshold.  Distinct values with their multiplicities are aggregated,
-  then running sums are built in two levels -- inside buckets of
-  ``floor(log2(x))`` (a window per bucket) and across the at most ~2100
-  bucket totals -- so no step moves all values into one task.
+  then running sums are built in two levels -- inside ``BUCKETS`` ranges of about equally
+  many values (a window per bucket) and across the bucket totals -- so no step moves all values into one task.
 """
 
 from __future__ import annotations
@@ -42,7 +41,7 @@ def _empty_result(df: DataFrame, k: int) -> DataFrame:
         "*",
         F.lit(None).cast("int").alias("prediction"),
         F.lit(None).cast("array<string>").alias("CENTROID"),
-        F.lit(None).cast("array<double>").alias("CENTROIDS"),
+        F.lit(None).cast("array<array<double>>").alias("CENTROIDS"),
         F.lit(None).cast("boolean").alias("IS_HIGH"),
     ).limit(0)
 
@@ -59,9 +58,9 @@ def kmeans(
     """Fit k-means on ``features`` and label every row.
 
     Adds ``prediction`` (cluster index), ``CENTROID`` (every centre as
-    text, the same array on every row), ``CENTROIDS`` (the centres of a
-    one-feature model as numbers, else each centre's norm) and ``IS_HIGH``
-    (row belongs to the centre with the largest norm).  Empty input gives
+    text, the same array on every row), ``CENTROIDS`` (the centres as numbers, one
+    array per centre) and ``IS_HIGH`` (row belongs to the centre with the
+    largest norm; false with a single centre: nothing stands out).  Empty input gives
     an empty frame with this schema; fewer distinct points than ``k``
     gives fewer centres.
     """
@@ -76,12 +75,11 @@ def kmeans(
     centres = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]  # k values, bounded
     norms = [sum(x * x for x in c) ** 0.5 for c in centres]
     high = max(range(len(centres)), key=lambda i: norms[i])
-    numeric = [c[0] for c in centres] if len(features) == 1 else norms
     out = model.transform(data).drop(FEATURES)
     return out.withColumns({
         "CENTROID": F.array(*[F.lit(_centre_text(c)) for c in centres]),
-        "CENTROIDS": F.array(*[F.lit(x).cast("double") for x in numeric]),
-        "IS_HIGH": F.col("prediction") == F.lit(high),
+        "CENTROIDS": F.array(*[F.array(*[F.lit(x).cast("double") for x in c]) for c in centres]),
+        "IS_HIGH": (F.col("prediction") == F.lit(high)) if len(centres) > 1 else F.lit(False),
     })
 
 
@@ -90,30 +88,10 @@ def kmeans_multi(df: DataFrame, features=("DURATION", "ORIG_PKTS", "ORIG_BYTES")
     return kmeans(df, features=features, dropna=True, **kw)
 
 
-def _centre_lookup(centres_per_dim: list[list[float]], dim: int, pred: Column) -> Column:
-    arr = F.array(*[F.lit(float(c[dim])) for c in centres_per_dim])
-    return F.element_at(arr, pred + 1)
-
-
-def kmeans_cost(assigned: DataFrame, features=(COUNT,), prediction: str = "prediction",
-                centres: list[list[float]] | None = None) -> DataFrame:
-    """M3: one row, WSSSE = sum of squared distances to the assigned centre.
-
-    The centres are, in order: ``centres`` if given; the model's own
-    centres carried in ``CENTROIDS`` by a one-feature ``kmeans`` result;
-    else the mean of each cluster, from one aggregate of k rows.
-    """
-    features = list(features)
-    if centres is None and len(features) == 1 and "CENTROIDS" in assigned.columns:
-        own = F.element_at(F.col("CENTROIDS"), F.col(prediction) + 1)
-        return assigned.agg(F.sum((F.col(features[0]) - own) ** 2).alias("WSSSE"))
-    if centres is None:
-        means = assigned.groupBy(prediction).agg(*[F.avg(f).alias(f"_c{i}") for i, f in enumerate(features)])
-        joined = assigned.join(F.broadcast(means), prediction)  # at most k rows
-        sq = sum(((F.col(f) - F.col(f"_c{i}")) ** 2 for i, f in enumerate(features)), F.lit(0.0))
-        return joined.agg(F.sum(sq).alias("WSSSE"))
-    pred = F.col(prediction)
-    sq = sum(((F.col(f) - _centre_lookup(centres, i, pred)) ** 2 for i, f in enumerate(features)), F.lit(0.0))
+def kmeans_cost(assigned: DataFrame, features=(COUNT,), prediction: str = "prediction") -> DataFrame:
+    """M3: one row, WSSSE = sum of squared distances to the model's own centres, carried in ``CENTROIDS``."""
+    own = F.element_at(F.col("CENTROIDS"), F.col(prediction).cast("int") + 1)
+    sq = sum(((F.col(f) - F.element_at(own, i + 1)) ** 2 for i, f in enumerate(features)), F.lit(0.0))
     return assigned.agg(F.sum(sq).alias("WSSSE"))
 
 
@@ -165,7 +143,7 @@ def silhouette(assigned: DataFrame, features=(COUNT,), prediction: str = "predic
 
 
 # ----------------------------------------------------------------- M6
-_NON_POSITIVE_BUCKET = -2000  # below floor(log2(x)) of every positive double
+BUCKETS = 256
 
 
 def two_means_exact(df: DataFrame, feature: str = COUNT, checkpoint: bool = True) -> DataFrame:
@@ -189,11 +167,14 @@ def two_means_exact(df: DataFrame, feature: str = COUNT, checkpoint: bool = True
         .withColumn("xa", F.col("x").cast(acc))
         .withColumn("s", F.col("n").cast(acc) * F.col("xa"))
         .withColumn("q", F.col("s") * F.col("xa"))
-        .withColumn("b", F.when(F.col("x") > 0, F.floor(F.log2(F.col("x")))).otherwise(F.lit(_NON_POSITIVE_BUCKET)))
     )
+    # Buckets are ranges of the value between sampled quantiles of the distinct values: about equal in size for any feature.
     if checkpoint:
         values = reliable_checkpoint(values)
-    # Level 1: totals per bucket (at most ~2100 rows) and their running sums.
+    cuts = values.agg(F.percentile_approx("x", [i / BUCKETS for i in range(1, BUCKETS)], 100 * BUCKETS)).first()[0]
+    cuts = sorted(set(cuts or []))
+    values = values.withColumn("b", F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("x"))) if cuts else F.lit(0))
+    # Level 1: totals per bucket (at most BUCKETS rows) and their running sums.
     buckets = values.groupBy("b").agg(F.sum("n").alias("bn"), F.sum("s").alias("bs"), F.sum("q").alias("bq"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()

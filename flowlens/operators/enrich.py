@@ -13,7 +13,8 @@ re-aimed two ways:
 * ``lookup``: a join against a supplied directory table (for example an
   exported geo-IP database), fully inside Spark;
 * ``lookup_with``: ``mapInPandas`` around a user-supplied batch function,
-  created once per partition and called once per Arrow batch.
+  created once per partition and called once per Arrow batch; the daily
+  quota and the limit of a run hold for this form only.
 
 Failed lookups keep the IP with null attributes and ``LOOKUP_OK = false``.
 """
@@ -31,19 +32,21 @@ from flowlens.functions.time import ntz_literal, parse_stamp, since_literal
 from flowlens.session import reliable_checkpoint
 from flowlens.schemas import COUNT, IP, IP_ATTRIBUTES, IP_INFO_TYPES, RESP_H, TS_CODE
 
-DAILY_QUOTA = 1000
-TOP_HOSTS = 10000
+DAILY_QUOTA = 1000  # calls of an external service a day (function form only)
+LOOKUP_OK = "LOOKUP_OK"
 
 
 def latest_ip_info(ip_info: DataFrame) -> DataFrame:
-    """One row per IP: the newest lookup (ties broken by the attributes)."""
+    """One row per IP: the newest successful lookup (ties broken by the attributes)."""
+    if LOOKUP_OK in ip_info.columns:  # stored attempts; rows from before attempts were stored have no flag
+        ip_info = ip_info.where(F.coalesce(F.col(LOOKUP_OK), F.lit(True)))
     cols = [c for c in (TS_CODE, *IP_ATTRIBUTES) if c in ip_info.columns]
     newest = F.max(F.struct(*cols)).alias("_newest")
     return ip_info.groupBy(IP).agg(newest).select(IP, *[F.col(f"_newest.{c}").alias(c) for c in cols])
 
 
 def lookup_quota(ip_info: DataFrame, today, daily_quota: int = DAILY_QUOTA) -> DataFrame:
-    """One row, USED = lookups stored after ``today`` 00:00, FREE = quota left."""
+    """One row, USED = attempts (failed ones too) stored after ``today`` 00:00, FREE = quota left."""
     used = ip_info.where(F.col(TS_CODE) > since_literal(ip_info, TS_CODE, today))
     return used.agg(F.count(F.lit(1)).alias("USED")).select(
         "USED", F.greatest(F.lit(daily_quota) - F.col("USED"), F.lit(0)).alias("FREE")
@@ -57,21 +60,21 @@ def distinct_hosts(data: DataFrame, field: str = RESP_H) -> DataFrame:
 
 def cache_hits(ip_info: DataFrame, hosts: DataFrame, field: str = RESP_H) -> DataFrame:
     """Cached attributes of the given hosts (IP + attributes)."""
-    latest = latest_ip_info(ip_info)
     keys = distinct_hosts(hosts, field).withColumnRenamed(field, IP)
-    return latest.join(keys, IP, "inner").select(IP, *IP_ATTRIBUTES)
+    return latest_ip_info(ip_info.join(keys, IP, "left_semi")).select(IP, *IP_ATTRIBUTES)
 
 
 def cache_misses(hosts: DataFrame, ip_info: DataFrame, field: str = RESP_H) -> DataFrame:
-    """Hosts with no cached row (left anti join), distinct."""
+    """Hosts with no cached row (left anti join), distinct; a failed attempt counts as cached."""
     cached = ip_info.select(F.col(IP).alias(field)).where(F.col(field).isNotNull())
     return distinct_hosts(hosts, field).join(cached, field, "left_anti")
 
 
 def lookup_batch(candidates: DataFrame, ip_info: DataFrame, free: int, field: str = RESP_H,
                  limit: int = DAILY_QUOTA, priority: Column | None = None) -> DataFrame:
-    """E5: the misses to look up now, at most ``min(limit, free)``.
+    """E5: the misses to ask an external service for now, at most ``min(limit, free)``.
 
+    Quota and limit protect that service; a join with a directory table has none.
     ``candidates`` may carry a COUNT column: busiest hosts go first, then
     by host, so the batch is repeatable.  Empty when any bound is 0.
     """
@@ -101,7 +104,8 @@ def lookup(batch: DataFrame, directory: DataFrame, field: str = RESP_H, run_ts=N
     Output: IP, the attributes (null when unknown), LOOKUP_OK, TS_CODE.
     """
     ips = distinct_hosts(batch, field).withColumnRenamed(field, IP)
-    d = directory.select(IP, *IP_ATTRIBUTES).dropDuplicates([IP])
+    one = F.max(F.struct(*IP_ATTRIBUTES)).alias("_a")  # the same row each time if an IP is listed twice
+    d = directory.groupBy(IP).agg(one).select(IP, "_a.*")
     found = ips.join(d.withColumn("LOOKUP_OK", F.lit(True)), IP, "left")
     out = found.select(IP, *IP_ATTRIBUTES, F.coalesce(F.col("LOOKUP_OK"), F.lit(False)).alias("LOOKUP_OK"))
     return _stamp(out, run_ts)
@@ -120,27 +124,36 @@ def lookup_with(batch: DataFrame, make_client: Callable[[], Callable[[pd.Series]
     ``make_client()`` runs once per partition and returns ``fetch(ips)``,
     which gets a pandas Series of IPs and returns a DataFrame with any of
     the attribute columns, row-aligned with the input.  Latitude and
-    longitude text is parsed with a null on failure; an exception from
-    ``fetch`` marks that batch's rows LOOKUP_OK = false instead of failing.
+    longitude text is parsed with a null on failure.  If ``fetch`` raises,
+    the batch is asked again IP by IP, and only those that raise again get LOOKUP_OK = false.
     """
     ips = distinct_hosts(batch, field).withColumnRenamed(field, IP)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fetch = make_client()
-        for part in parts:
-            out = pd.DataFrame({IP: part[IP].astype(object)})
-            try:
-                got = fetch(part[IP]).reset_index(drop=True)
-                ok = True
-            except Exception:  # a failed lookup keeps the IP, without attributes
-                got, ok = pd.DataFrame(index=range(len(part))), False
+        def answer(ips: pd.Series) -> pd.DataFrame:
+            got = fetch(ips).reset_index(drop=True)
+            out = pd.DataFrame({IP: ips.astype(object).values})
             for c in IP_ATTRIBUTES:
-                col = got[c] if c in got.columns else pd.Series([None] * len(part))
+                col = got[c] if c in got.columns else pd.Series([None] * len(ips))
                 if c in ("LATITUDE", "LONGITUDE"):
                     col = pd.to_numeric(col, errors="coerce")
                 out[c] = col.values
-            out["LOOKUP_OK"] = ok
-            yield out
+            out[LOOKUP_OK] = True
+            return out
+
+        def one(ips: pd.Series) -> pd.DataFrame:
+            try:
+                return answer(ips)
+            except Exception:  # a failed lookup keeps the IP, without attributes
+                return pd.DataFrame({IP: ips.astype(object).values, **{c: [None] for c in IP_ATTRIBUTES}, LOOKUP_OK: [False]})
+
+        for part in parts:
+            try:
+                yield answer(part[IP])
+            except Exception:
+                for i in range(len(part)):
+                    yield one(part[IP].iloc[i:i + 1])
 
     looked = _stamp(ips.mapInPandas(run, LOOKUP_SCHEMA), run_ts)
     # The result feeds both the join and the cache write: keep it in the
@@ -171,10 +184,8 @@ def attach_ip_info(data: DataFrame, info: DataFrame, field: str = RESP_H, unique
 
 
 def cache_rows(new_lookups: DataFrame) -> DataFrame:
-    """The rows to append to IP_INFO (successful lookups, cache layout)."""
-    return new_lookups.where(F.col("LOOKUP_OK")).select(
-        *[F.col(c).cast(t).alias(c) for c, t in IP_INFO_TYPES.items()]
-    )
+    """The attempts to store in IP_INFO (cache layout and LOOKUP_OK; failed ones without attributes)."""
+    return new_lookups.select(*[F.col(c).cast(t).alias(c) for c, t in IP_INFO_TYPES.items()], LOOKUP_OK)
 
 
 def enrich(data: DataFrame, ip_info: DataFrame, field: str = RESP_H, directory: DataFrame | None = None,
@@ -183,18 +194,28 @@ def enrich(data: DataFrame, ip_info: DataFrame, field: str = RESP_H, directory:
     """Attach IP attributes to ``data``, looking up what the cache lacks.
 
     Returns ``(enriched, new_cache_rows)``; ``new_cache_rows`` is None when
-    no lookup ran.  ``limit = 0`` means cache only.  ``candidates`` (default
-    ``data``) are the hosts eligible for a lookup, e.g. the top responders.
+    no lookup ran.  With ``directory`` every host that the cache lacks is joined with
+    it: no quota and no limit; the hosts found are the new rows.  With
+    ``make_client`` an external service is asked, within ``limit`` and the day's quota,
+    for ``candidates`` (default ``data``), busiest first; every attempt is a new row.
+
+    The cache is reduced to the hosts of ``data`` before its newest rows are
+    picked, and hits and misses come from one left join with it.
     """
-    hits_source = latest_ip_info(ip_info)  # one row per IP
-    if limit <= 0 or (directory is None and make_client is None):
-        return attach_ip_info(data, hits_source, field, unique=True), None
+    hosts = distinct_hosts(data, field).withColumnRenamed(field, IP)
+    if directory is not None and make_client is None:
+        latest = latest_ip_info(ip_info.join(hosts, IP, "left_semi")).select(IP, F.struct(*IP_ATTRIBUTES).alias("_hit"))
+        listed = directory.join(hosts, IP, "left_semi").groupBy(IP).agg(F.max(F.struct(*IP_ATTRIBUTES)).alias("_new"))
+        known = reliable_checkpoint(hosts.join(latest, IP, "left").join(listed, IP, "left"))  # feeds the report and the cache
+        info = known.select(IP, F.coalesce("_hit", "_new").alias("_a")).select(IP, "_a.*")
+        fresh = known.where(F.col("_hit").isNull() & F.col("_new").isNotNull()).select(IP, "_new.*", F.lit(True).alias(LOOKUP_OK))
+        return attach_ip_info(data, info, field, unique=True), cache_rows(_stamp(fresh, run_ts))
+    latest = latest_ip_info(ip_info.join(hosts, IP, "left_semi"))
+    if limit <= 0 or make_client is None:
+        return attach_ip_info(data, latest, field, unique=True), None
     free = lookup_quota(ip_info, today, daily_quota).first()["FREE"]  # one number
     batch = lookup_batch(candidates if candidates is not None else data, ip_info, free, field, limit)
-    if make_client is not None:
-        new = lookup_with(batch, make_client, field, run_ts)
-    else:
-        new = lookup(batch, directory, field, run_ts)
+    new = lookup_with(batch, make_client, field, run_ts)
     # New lookups are cache misses only, so the union is still one row per IP.
-    info = ip_info_union(hits_source, new)
+    info = ip_info_union(latest, new)
     return attach_ip_info(data, info, field, unique=True), cache_rows(new)

@@ -1,16 +1,14 @@
-"""V1-V3: counts over time by one dimension, pivoted or in long form.
-
-Pivoting an IP column makes one output column per IP, so the number of
-values has to be bounded.  ``pivot_counts`` takes explicit ``values`` or
-picks the ``top_n`` values by total COUNT (one aggregate; only those n
-values reach the driver, and n is checked against
-``spark.sql.pivotMaxValues``); the input is aggregated once to the long
-form, which both steps read.  Rows of other values are filtered out
-before the pivot.  With neither, Spark discovers the values itself (its
-own pivotMaxValues guard applies) -- fine for PROTO or SERVICE.
-``long_counts`` is the scalable shape: (bucket, value, COUNT) rows.
-
-Buckets are timestamps; a null pivot value gives a column named ``null``.
+"""V1-V3: counts over time by one dimension, in long form or pivoted.
+
+``long_counts`` is the complete result: a row for each (bucket, value), for
+any number of values, as one aggregate with map-side combine.
+
+``pivot_counts`` is the wide form: a column for each of the values the caller
+gives (or the ``most`` values with the largest totals, taken from a stored
+long form) and a column ``OTHER`` for all the rest.  So no count is lost:
+the cells of a row add up to its bucket's total.
+
+Buckets are timestamps; a null value gives a column named ``null``.
 """
 
 from __future__ import annotations
@@ -22,14 +20,25 @@ from flowlens.functions.time import bucket
 from flowlens.schemas import COUNT, TS
 from flowlens.session import reliable_checkpoint
 
+OTHER = "OTHER"
+
+
+def long_counts(df: DataFrame, dim: str, unit: str = "hour", value_col: str = COUNT,
+                time_col: str = TS, where=None) -> DataFrame:
+    """(TS bucket, dim, COUNT) rows, over all values of ``dim``."""
+    if where is not None:
+        df = df.where(where)
+    return (
+        df.select(bucket(df, time_col, unit).alias(TS), dim, value_col)
+        .groupBy(TS, dim)
+        .agg(F.sum(value_col).alias(COUNT))
+    )
+
 
-def top_values(df: DataFrame, dim: str, n: int, value_col: str = COUNT) -> list:
-    """The ``n`` values of ``dim`` with the largest total ``value_col`` (ties by value)."""
-    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    if n > limit:
-        raise ValueError(f"top_n={n} exceeds spark.sql.pivotMaxValues={limit}; use long_counts")
+def top_values(long: DataFrame, dim: str, n: int) -> list:
+    """The ``n`` values of ``dim`` with the largest total (ties by value), n rows."""
     rows = (
-        df.groupBy(dim).agg(F.sum(value_col).alias("_total"))
+        long.groupBy(dim).agg(F.sum(COUNT).alias("_total"))
         .orderBy(F.col("_total").desc_nulls_last(), F.col(dim).asc_nulls_first())
         .limit(n)
         .collect()
@@ -37,45 +46,23 @@ def top_values(df: DataFrame, dim: str, n: int, value_col: str = COUNT) -> list:
     return [r[dim] for r in rows]
 
 
-def _restrict(df: DataFrame, dim: str, values: list) -> DataFrame:
-    present = [v for v in values if v is not None]
-    cond = F.col(dim).isin(present) if present else F.lit(False)
-    if any(v is None for v in values):
-        cond = cond | F.col(dim).isNull()
-    return df.where(cond)
-
+def wide(long: DataFrame, dim: str, values: list) -> DataFrame:
+    """One row per bucket of ``long``: a column for each of ``values`` and OTHER."""
+    def is_(v):
+        return F.col(dim).isNull() if v is None else F.col(dim) == F.lit(v)
 
-def pivot_counts(df: DataFrame, dim: str, unit: str = "hour", values: list | None = None,
-                 top_n: int | None = None, value_col: str = COUNT, time_col: str = TS,
-                 where=None, checkpoint: bool = True) -> DataFrame:
-    """One row per time bucket, one column per value of ``dim``: sum of ``value_col``.
+    named = [F.sum(F.when(is_(v), F.col(COUNT))).alias("null" if v is None else str(v)) for v in values]
+    rest = F.lit(True)
+    for v in values:
+        rest = rest & ~F.coalesce(is_(v), F.lit(False))
+    return long.groupBy(TS).agg(*named, F.sum(F.when(rest, F.col(COUNT))).alias(OTHER))
 
-    With ``top_n`` the input is first reduced to the long form (bucket,
-    value, sum) -- checkpointed once -- and both the choice of values and
-    the pivot read that, so the input is aggregated once.
-    """
-    if where is not None:
-        df = df.where(where)
-    if values is None and top_n is not None:
-        long = long_counts(df, dim, unit, value_col, time_col)
-        if checkpoint:
-            long = reliable_checkpoint(long)
-        values = top_values(long, dim, top_n, COUNT)
-        return _restrict(long, dim, values).groupBy(TS).pivot(dim, values).agg(F.sum(COUNT))
-    src = df.select(bucket(df, time_col, unit).alias(TS), dim, value_col)
-    if values is not None:
-        src = _restrict(src, dim, values)
-        return src.groupBy(TS).pivot(dim, values).agg(F.sum(value_col))
-    return src.groupBy(TS).pivot(dim).agg(F.sum(value_col))
 
-
-def long_counts(df: DataFrame, dim: str, unit: str = "hour", value_col: str = COUNT,
-                time_col: str = TS, where=None) -> DataFrame:
-    """(TS bucket, dim, COUNT) rows: the unbounded-width pivot in long form."""
-    if where is not None:
-        df = df.where(where)
-    return (
-        df.select(bucket(df, time_col, unit).alias(TS), dim, value_col)
-        .groupBy(TS, dim)
-        .agg(F.sum(value_col).alias(COUNT))
-    )
+def pivot_counts(df: DataFrame, dim: str, unit: str = "hour", values: list | None = None, most: int = 100,
+                 value_col: str = COUNT, time_col: str = TS, where=None) -> DataFrame:
+    """One row per time bucket, one column per value of ``dim`` and OTHER: sums of ``value_col``."""
+    long = long_counts(df, dim, unit, value_col, time_col, where)
+    if values is None:
+        long = reliable_checkpoint(long)  # read twice: for the values and for the cells
+        values = top_values(long, dim, most)
+    return wide(long, dim, values)

@@ -16,6 +16,7 @@ from flowlens.operators import pivot as PV
 from flowlens.operators import totals as TOT
 from flowlens.operators import web as WEB
 from flowlens.schemas import COUNT, RESP_H, TIPO, TOTALS, TOTALS_BY_TIPO, TS
+from flowlens.session import discard, reliable_checkpoint
 from flowlens.sinks.files import write_csv, write_json
 from flowlens.sources import scans
 
@@ -62,40 +63,53 @@ def _labelled(pivoted: DataFrame, unit: str) -> DataFrame:
 
 
 def export_pivot(df: DataFrame, out_dir: str, name: str, dim: str, units=("hour", "day"),
-                 top_n: int | None = None, values=None, where=None, single_file=True) -> list[str]:
-    """Pivot CSVs, one per unit, named ``<name>_PIVOT_<H|D|M>``."""
+                 most: int = 100, values=None, where=None, single_file=False) -> list[str]:
+    """Per unit, ``<name>_LONG_<H|D|M>`` (every value) and ``<name>_PIVOT_<H|D|M>``.
+
+    The long form is the complete result.  The pivot has a column for each of
+    ``values`` (default: the ``most`` busiest) and OTHER for the rest.
+    """
     out = []
     for unit in units:
-        piv = PV.pivot_counts(df, dim, unit, values=values, top_n=top_n, where=where)
+        long = reliable_checkpoint(PV.long_counts(df, dim, unit, where=where))
         suffix = {"minute": "M", "hour": "H", "day": "D"}[unit]
-        # One row per time bucket: small enough for a single sorted file.
-        out.append(write_csv(_labelled(piv, unit), _p(out_dir, f"{name}_PIVOT_{suffix}"), [F.col("_bucket")],
-                             single_file=single_file, drop=("_bucket",)))
+        out.append(write_csv(_labelled(long, unit), _p(out_dir, f"{name}_LONG_{suffix}"), [F.col("_bucket"), F.col(dim)],
+                             single_file, drop=("_bucket",)))
+        wide = PV.wide(long, dim, PV.top_values(long, dim, most) if values is None else values)
+        out.append(write_csv(_labelled(wide, unit), _p(out_dir, f"{name}_PIVOT_{suffix}"), [F.col("_bucket")],
+                             single_file, drop=("_bucket",)))
+        discard(long)
     return out
 
 
-def export_totals_pivots(totals: DataFrame, out_dir: str, top_n: int = 100) -> list[str]:
+def export_totals_pivots(totals: DataFrame, out_dir: str, most: int = 100) -> list[str]:
     """V1 exports: protocol and service history, and per-source HTTP history.
 
     Each pivot reads one TIPO only, so no count is added up twice.
     """
     out = []
-    out += export_pivot(totals.where(F.col(TIPO) == "PROTO"), out_dir, "PROTO_", "PROTO")
-    out += export_pivot(totals.where(F.col(TIPO) == "SERVICE"), out_dir, "SERVICE_", "SERVICE")
+    out += export_pivot(totals.where(F.col(TIPO) == "PROTO"), out_dir, "PROTO_", "PROTO", most=most)
+    out += export_pivot(totals.where(F.col(TIPO) == "SERVICE"), out_dir, "SERVICE_", "SERVICE", most=most)
     out += export_pivot(totals.where(F.col(TIPO) == "PROTO_SERVICE_ORIG_H"), out_dir,
-                        "PROTO_SERVICE_ORIG_H_http", "ID_ORIG_H", top_n=top_n,
-                        where=F.col("SERVICE") == "http")
+                        "PROTO_SERVICE_ORIG_H_http", "ID_ORIG_H", most=most, where=F.col("SERVICE") == "http")
     return out
 
 
-def export_kmeans(results: DataFrame, out_dir: str, prefix: str, column: str, values,
-                  top_n: int = 100, single_file: bool = False) -> list[str]:
-    """X4 + V2: rows of each value as JSON, and per-minute / per-hour source pivots."""
+def export_kmeans(results: DataFrame, out_dir: str, prefix: str, column: str, values=None,
+                  most: int = 100, single_file: bool = False, timeline: str | None = None) -> list[str]:
+    """X4 + V2 + V3: rows of each value as JSON, per-minute and per-hour source pivots, and all sources' timeline.
+
+    ``values`` (default): every value of ``column`` in the results, a row per value.
+    """
     out = []
+    if values is None:
+        values = sorted(r[0] for r in results.select(column).where(F.col(column).isNotNull()).distinct().collect())
     for v in values:
         rows = results.where(F.col(column) == v)
         out.append(write_json(rows, _p(out_dir, f"{prefix}{v}"), [F.col(TS)], single_file))
-        out += export_pivot(rows, out_dir, f"{prefix}{v}", "ID_ORIG_H", units=("minute", "hour"), top_n=top_n)
+        out += export_pivot(rows, out_dir, f"{prefix}{v}", "ID_ORIG_H", units=("minute", "hour"), most=most)
+    if timeline:
+        out += export_pivot(results, out_dir, timeline, "ID_ORIG_H", units=("minute",), most=most)
     return out
 
 

@@ -16,6 +16,7 @@ is the ingest-time high-water mark (strict ``TS_CODE > since``) and
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,24 +27,26 @@ from flowlens.operators import enrich as EN
 from flowlens.operators import minutes as MIN
 from flowlens.operators import totals as TOT
 from flowlens.plans import exports as X
-from flowlens.session import reliable_checkpoint
+from flowlens.schemas import DDOS_SERVICES, SCAN_PROTOS
+from flowlens.session import discard, path_exists, reliable_checkpoint
 from flowlens.sinks.files import write_csv
-from flowlens.sinks.tables import append_rows, read_results, run_id_of, stamp_run, write_results
+from flowlens.sinks.tables import append_run, read_results, run_id_of, stamp_run, write_results
 from flowlens.sources import scans
 
 LOG_TOTAIS = "LOG_TOTAIS"
 LOG_KMEANS_DDOS = "LOG_KMEANS_DDOS"
 LOG_KMEANS_SCAN_PORT = "LOG_KMEANS_SCAN_PORT"
 IP_INFO = "IP_INFO"
+_log = logging.getLogger(__name__)
 
 
 def _now():
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def job_records(log: DataFrame, out_dir: str, since=None, limit=None) -> list[str]:
-    """Job 1: record exports and the web-name report."""
-    return X.export_records(log, out_dir, since, limit) + X.export_www(log, out_dir, since)
+def job_records(log: DataFrame, out_dir: str, since=None) -> list[str]:
+    """Job 1: record exports and the web-name report, over all rows."""
+    return X.export_records(log, out_dir, since) + X.export_www(log, out_dir, since)
 
 
 def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strategy="two_level",
@@ -52,12 +55,12 @@ def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strateg
     run_ts = run_ts or _now()
     conn = scans.scan_conn(log, since)
     res = stamp_run(TOT.totals_all(conn, strategy=strategy), run_ts, since, row_id)
-    return write_results(res, os.path.join(tables_dir, LOG_TOTAIS), metrics=metrics)
+    return write_results(res, os.path.join(tables_dir, LOG_TOTAIS), metrics=metrics, replaces={"RUN_ID": run_id_of(run_ts)})
 
 
 def _kmeans_job(conn: DataFrame, kind: str, values, tables_dir: str, table: str, since, run_ts,
                 k: int, seed: int, row_id: bool, metrics: dict | None = None) -> str:
-    """One per-minute aggregate for all values, checkpointed once; one model per value."""
+    """One per-minute aggregate for all values, stored once; one model per value, its cost in ``metrics``."""
     path = os.path.join(tables_dir, table)
     column = "SERVICE" if kind == "ddos" else "PROTO"
     minutes = reliable_checkpoint(MIN.minutes_for(conn, kind, values))
@@ -65,11 +68,14 @@ def _kmeans_job(conn: DataFrame, kind: str, values, tables_dir: str, table: str,
         labelled = CL.kmeans(minutes.where(F.col(column) == v), features=("COUNT",), k=k, seed=seed,
                              checkpoint=False)
         res = stamp_run(labelled.withColumn("TIPO", F.lit(v)), run_ts, since, row_id)
-        write_results(res, path, metrics=metrics)
+        write_results(res, path, metrics=metrics, replaces={"TIPO": v, "RUN_ID": run_id_of(run_ts)})
+        if metrics is not None:
+            metrics.setdefault("wssse", {})[v] = CL.kmeans_cost(labelled).first()["WSSSE"]
+    discard(minutes)
     return path
 
 
-def job_ddos(log: DataFrame, tables_dir: str, services=("http", "ssh"), since=None, run_ts=None,
+def job_ddos(log: DataFrame, tables_dir: str, services=DDOS_SERVICES, since=None, run_ts=None,
              k: int = 2, seed: int = CL.DEFAULT_SEED, row_id: bool = False, metrics: dict | None = None) -> str:
     """Job 6: DDoS candidates per service."""
     conn = scans.scan_conn(log, since)
@@ -77,7 +83,7 @@ def job_ddos(log: DataFrame, tables_dir: str, services=("http", "ssh"), since=No
                        metrics)
 
 
-def job_scan(log: DataFrame, tables_dir: str, protos=("tcp", "udp"), since=None, run_ts=None,
+def job_scan(log: DataFrame, tables_dir: str, protos=SCAN_PROTOS, since=None, run_ts=None,
              k: int = 2, seed: int = CL.DEFAULT_SEED, row_id: bool = False, metrics: dict | None = None) -> str:
     """Job 7: port-scan candidates per protocol."""
     conn = scans.scan_conn(log, since)
@@ -85,33 +91,56 @@ def job_scan(log: DataFrame, tables_dir: str, protos=("tcp", "udp"), since=None,
                        row_id, metrics)
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    if path_exists(spark, path):
+        return read_results(spark, path)
+    _log.warning("no table at %s: its exports are skipped", path)
+    return None
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """The IP_INFO cache at ``path``; it must be partitioned by RUN_ID, as runs are added to it."""
+    cache = spark.read.parquet(path)
+    if "RUN_ID" not in cache.columns:
+        raise ValueError(f"the IP_INFO table at {path} has no RUN_ID partitions; write it once with sinks.append_run(rows, path, 0)")
+    return cache
+
+
 def job_export(spark: SparkSession, tables_dir: str, out_dir: str, since=None, run_id="latest",
-               ip_info: DataFrame | None = None, directory: DataFrame | None = None, today=None,
-               lookup_limit: int = EN.DAILY_QUOTA, top_n: int = 100, run_ts=None) -> list[str]:
-    """Job 8: exports from the result tables, and the enriched responder report."""
+               ip_info: DataFrame | str | None = None, directory: DataFrame | None = None, make_client=None, today=None,
+               lookup_limit: int = EN.DAILY_QUOTA, most: int = 100, run_ts=None) -> list[str]:
+    """Job 8: exports from the result tables, and the enriched responder report.
+
+    ``ip_info`` is the cache: a path (new lookups become a run partition
+    there), or a frame (they go to IP_INFO under ``tables_dir``).  Hosts it lacks come from
+    ``directory``, or from the service that ``make_client`` connects to
+    (at most ``lookup_limit`` a run, within the day's quota).
+    """
     out = []
-    ddos_path = os.path.join(tables_dir, LOG_KMEANS_DDOS)
-    scan_path = os.path.join(tables_dir, LOG_KMEANS_SCAN_PORT)
-    totals_path = os.path.join(tables_dir, LOG_TOTAIS)
-    if os.path.exists(ddos_path) or "://" in ddos_path:
-        ddos = scans.scan_kmeans_log(read_results(spark, ddos_path), since, run_id)
-        out += X.export_kmeans(ddos, out_dir, "DDoS_", "SERVICE", ("http", "ssh"), top_n)
-    if os.path.exists(scan_path) or "://" in scan_path:
-        scan = scans.scan_kmeans_log(read_results(spark, scan_path), since, run_id)
-        out += X.export_kmeans(scan, out_dir, "Scan_", "PROTO", ("tcp", "udp"), top_n)
-    if os.path.exists(totals_path) or "://" in totals_path:
-        totals = scans.scan_totals(read_results(spark, totals_path), since, tipo=None, run_id=run_id)
+    run_ts = run_ts or _now()
+    cache_path = ip_info if isinstance(ip_info, str) else os.path.join(tables_dir, IP_INFO)
+    if isinstance(ip_info, str):
+        ip_info = read_cache(spark, ip_info)
+    ddos = _stored(spark, os.path.join(tables_dir, LOG_KMEANS_DDOS))
+    if ddos is not None:
+        out += X.export_kmeans(scans.scan_kmeans_log(ddos, since, run_id), out_dir, "DDoS_", "SERVICE", most=most, timeline="GRF_DDOS_IP")
+    scan = _stored(spark, os.path.join(tables_dir, LOG_KMEANS_SCAN_PORT))
+    if scan is not None:
+        out += X.export_kmeans(scans.scan_kmeans_log(scan, since, run_id), out_dir, "Scan_", "PROTO", most=most)
+    stored = _stored(spark, os.path.join(tables_dir, LOG_TOTAIS))
+    if stored is not None:
+        totals = scans.scan_totals(stored, since, tipo=None, run_id=run_id)
         out += X.export_totals(totals, out_dir)
-        out += X.export_totals_pivots(totals, out_dir, top_n)
+        out += X.export_totals_pivots(totals, out_dir, most)
         if ip_info is not None:
             resp_h = totals.where(F.col("TIPO") == "RESP_H")
-            top = TOT.top_resp_hosts(resp_h, EN.TOP_HOSTS)
-            enriched, new_rows = EN.enrich(resp_h, ip_info, directory=directory, today=today or _now().date(),
-                                           limit=lookup_limit, candidates=top, run_ts=run_ts)
+            enriched, new_rows = EN.enrich(resp_h, ip_info, directory=directory, make_client=make_client,
+                                           today=today or _now().date(), limit=lookup_limit, run_ts=run_ts)
             out.append(X.export_resp_h_info(enriched, out_dir))
             if new_rows is not None:
-                out.append(append_rows(new_rows, os.path.join(tables_dir, IP_INFO)))
+                new_rows = reliable_checkpoint(new_rows)  # the cache it came from is written to
+                out.append(append_run(new_rows, cache_path, run_id_of(run_ts)))
     return out
 
 
-__all__ = ["job_records", "job_totals", "job_ddos", "job_scan", "job_export", "run_id_of", "write_csv"]
+__all__ = ["job_records", "job_totals", "job_ddos", "job_scan", "job_export", "read_cache", "run_id_of", "write_csv"]

@@ -75,7 +75,9 @@ IP_ROWS_CTE = f"""ip_rows AS (
     CAST(s_suppkey % 180 - 90 AS DOUBLE) AS LATITUDE, CAST(s_suppkey % 360 - 180 AS DOUBLE) AS LONGITUDE,
     TIMESTAMP '{CACHE_BASE_TS}' + s_suppkey * 10 * INTERVAL 1 MINUTE AS TS_CODE
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-IP_INFO AS (SELECT IP, HOSTNAME, CITY, REGION, COUNTRY, ORG, LATITUDE, LONGITUDE, TS_CODE FROM ip_rows WHERE k % 3 <> 0),
+IP_INFO AS (SELECT IP, HOSTNAME, CITY, REGION, COUNTRY, ORG, LATITUDE, LONGITUDE, TS_CODE FROM ip_rows WHERE k % 3 <> 0
+  UNION ALL SELECT IP, 'old-' || HOSTNAME, CITY, REGION, COUNTRY, ORG, LATITUDE, LONGITUDE, TS_CODE - INTERVAL 1 DAY
+  FROM ip_rows WHERE k % 3 <> 0 AND k % 4 = 0),
 IP_DIRECTORY AS (SELECT IP, HOSTNAME, CITY, REGION, COUNTRY, ORG, LATITUDE, LONGITUDE FROM ip_rows)"""
 
 SINCE_SQL = f"TIMESTAMP '{DEFAULT_SINCE}'"
@@ -193,7 +195,7 @@ def two_means_sql(kind: str, value: str, feature: str = '"COUNT"') -> str:
 def kmeans_labels_sql(kind: str, value: str) -> str:
     """MLlib's high/normal labels, stated through the exact two-means split."""
     keys = "ID_ORIG_H, ID_RESP_H, ID_RESP_P, PROTO, SERVICE" if kind == "ddos" else "ID_ORIG_H, ID_ORIG_P, ID_RESP_H, PROTO"
-    body = (f'SELECT {keys}, TS, "COUNT", CASE WHEN best.K = 2 THEN "COUNT" > best.THRESHOLD ELSE TRUE END AS IS_HIGH '
+    body = (f'SELECT {keys}, TS, "COUNT", CASE WHEN best.K = 2 THEN "COUNT" > best.THRESHOLD ELSE FALSE END AS IS_HIGH '
             "FROM m CROSS JOIN best")
     return with_ctes(body, f"m AS ({minutes_select(kind, value, round_doubles=False)})",
                      f"best AS ({_two_means_select()})")
@@ -219,6 +221,9 @@ def _two_means_select(feature: str = '"COUNT"') -> str:
 # ------------------------------------------------------------ enrichment
 TODAY = "2018-12-03 00:00:00"
 RUN_TS = "2018-12-03 12:00:00"
+EARLIER_RUN = "2018-12-03 06:00:00"
+TOP_HOSTS = 50  # below the hosts there are, so that limit and order matter
+BATCH_LIMIT = 20
 _ATTRS = "HOSTNAME, CITY, REGION, COUNTRY, ORG, LATITUDE, LONGITUDE"
 ENRICH_CTES = (
     resp_h_totals_cte(),
@@ -227,13 +232,13 @@ ENRICH_CTES = (
     f"quota AS (SELECT COUNT(*) AS USED, GREATEST(1000 - COUNT(*), 0) AS FREE FROM IP_INFO "
     f"WHERE TS_CODE > TIMESTAMP '{TODAY}')",
     'top_hosts AS (SELECT ID_RESP_H, CAST(SUM("COUNT") AS BIGINT) AS "COUNT" FROM resp_h_totals '
-    'GROUP BY ID_RESP_H ORDER BY "COUNT" DESC, ID_RESP_H ASC LIMIT 10000)',
-    "misses AS (SELECT t.ID_RESP_H, t.\"COUNT\" FROM top_hosts t "
-    "WHERE NOT EXISTS (SELECT 1 FROM IP_INFO i WHERE i.IP = t.ID_RESP_H))",
+    'GROUP BY ID_RESP_H ORDER BY "COUNT" DESC, ID_RESP_H ASC LIMIT %d)' % TOP_HOSTS,
+    "misses AS (SELECT t.ID_RESP_H, CAST(SUM(t.\"COUNT\") AS BIGINT) AS \"COUNT\" FROM resp_h_totals t "
+    "WHERE NOT EXISTS (SELECT 1 FROM IP_INFO i WHERE i.IP = t.ID_RESP_H) GROUP BY t.ID_RESP_H)",
     'batch AS (SELECT ID_RESP_H FROM (SELECT ID_RESP_H, ROW_NUMBER() OVER (ORDER BY "COUNT" DESC, ID_RESP_H) AS rn '
-    "FROM misses) x WHERE rn <= (SELECT LEAST(1000, FREE) FROM quota))",
+    f"FROM misses) x WHERE rn <= (SELECT LEAST({BATCH_LIMIT}, FREE) FROM quota))",
     "looked AS (SELECT b.ID_RESP_H AS IP, d.HOSTNAME, d.CITY, d.REGION, d.COUNTRY, d.ORG, d.LATITUDE, d.LONGITUDE, "
-    "d.IP IS NOT NULL AS LOOKUP_OK FROM batch b LEFT JOIN IP_DIRECTORY d ON d.IP = b.ID_RESP_H)",
+    f"d.IP IS NOT NULL AS LOOKUP_OK, TIMESTAMP '{RUN_TS}' AS TS_CODE FROM misses b LEFT JOIN IP_DIRECTORY d ON d.IP = b.ID_RESP_H)",
     f"info AS (SELECT IP, {_ATTRS} FROM cache UNION ALL SELECT IP, {_ATTRS} FROM looked WHERE LOOKUP_OK)",
 )
 
@@ -252,7 +257,7 @@ ENRICH_QUERIES = {
     "resp_host_counts": 'SELECT ID_RESP_H, CAST(SUM("COUNT") AS BIGINT) AS "COUNT" FROM resp_h_totals GROUP BY ID_RESP_H',
     "top_resp_hosts": "SELECT * FROM top_hosts",
     "lookup_batch": "SELECT ID_RESP_H FROM batch",
-    "enrich_lookup": f"SELECT IP, {_ATTRS}, LOOKUP_OK FROM looked",
+    "enrich_lookup": f"SELECT IP, {_ATTRS}, LOOKUP_OK, TS_CODE FROM looked",
     "ip_info_union": f"SELECT IP, {_ATTRS} FROM info",
     "enrich_resp_hosts": f"SELECT r.*, {', '.join('c.' + a for a in _ATTRS.split(', '))} "
                          "FROM resp_h_totals r LEFT JOIN cache c ON r.ID_RESP_H = c.IP",
@@ -262,23 +267,21 @@ ENRICH_QUERIES = {
 
 
 # ----------------------------------------------------------------- pivots
-TOP_PIVOT = 20
-
-
-def _case_pivot(src: str, unit: str, dim: str, values: list) -> str:
-    cols = []
+def _case_pivot(src: str, unit: str, dim: str, values: list, stamp: str = "") -> str:
+    cols, rest = [], []
     for v in values:
-        cond = f"{dim} IS NULL" if v is None else f"{dim} = '{v}'"
+        cond = f"{dim} IS NULL" if v is None else f"coalesce({dim} = '{v}', FALSE)"
         name = "null" if v is None else v
         cols.append(f'CAST(SUM(CASE WHEN {cond} THEN "COUNT" END) AS BIGINT) AS "{name}"')
-    return f"SELECT date_trunc('{unit}', TS) AS TS, {', '.join(cols)} FROM {src} GROUP BY 1"
+        rest.append(f"NOT ({cond})")
+    cols.append(f'CAST(SUM(CASE WHEN {" AND ".join(rest)} THEN "COUNT" END) AS BIGINT) AS OTHER')
+    bucket = f"date_trunc('{unit}', TS)"
+    return f"SELECT {stamp or bucket} AS TS, {', '.join(cols)} FROM {src} GROUP BY {bucket}"
 
 
-def _top_pivot(src: str, unit: str, dim: str, n: int = TOP_PIVOT) -> str:
-    top = (f"SELECT {dim} FROM {src} GROUP BY {dim} ORDER BY SUM(\"COUNT\") DESC NULLS LAST, "
-           f"{dim} ASC NULLS FIRST LIMIT {n}")
-    return (f"PIVOT (SELECT date_trunc('{unit}', TS) AS TS, {dim}, \"COUNT\" FROM {src} "
-            f"WHERE {dim} IN ({top})) ON {dim} USING CAST(SUM(\"COUNT\") AS BIGINT) GROUP BY TS")
+def _long(src: str, unit: str, dim: str) -> str:
+    return (f"SELECT date_trunc('{unit}', TS) AS TS, {dim}, CAST(SUM(\"COUNT\") AS BIGINT) AS \"COUNT\" "
+            f"FROM {src} GROUP BY 1, {dim}")
 
 
 def _totals_cte(tipo: str, name: str, where: str = "") -> str:
@@ -289,21 +292,62 @@ def _totals_cte(tipo: str, name: str, where: str = "") -> str:
     return f"{name} AS ({body})"
 
 
-def pivot_totals_sql(tipo: str, dim: str, unit: str, values: list | None = None, where: str = "") -> str:
-    src = _totals_cte(tipo, "src", where)
-    body = _case_pivot("src", unit, dim, values) if values is not None else _top_pivot("src", unit, dim)
-    return with_ctes(body, src)
+def pivot_totals_sql(tipo: str, dim: str, unit: str, values: list, where: str = "", label: str = "") -> str:
+    """Wide form; ``label``: a strftime pattern for the bucket as text."""
+    stamp = f"strftime(date_trunc('{unit}', TS), '{label}')" if label else ""
+    return with_ctes(_case_pivot("src", unit, dim, values, stamp), _totals_cte(tipo, "src", where))
 
 
-def pivot_minutes_sql(kind: str, value: str, dim: str, unit: str) -> str:
-    return with_ctes(_top_pivot("src", unit, dim), f"src AS ({minutes_select(kind, value)})")
+def long_totals_sql(tipo: str, dim: str, unit: str, where: str = "") -> str:
+    return with_ctes(_long("src", unit, dim), _totals_cte(tipo, "src", where))
 
 
-def long_totals_sql(tipo: str, dim: str, unit: str) -> str:
-    src = _totals_cte(tipo, "src")
-    return with_ctes(
-        f"SELECT date_trunc('{unit}', TS) AS TS, {dim}, CAST(SUM(\"COUNT\") AS BIGINT) AS \"COUNT\" "
-        f"FROM src GROUP BY 1, {dim}", src)
+def long_minutes_sql(kind: str, values, dim: str, unit: str) -> str:
+    src = "\nUNION ALL\n".join(minutes_select(kind, v) for v in values)
+    return with_ctes(_long("src", unit, dim), f"src AS ({src})")
+
+
+# ------------------------------------------------- clustering, stated through the exact split
+def _kmeans_ctes(kind: str, value: str) -> tuple[str, str]:
+    return f"m AS ({minutes_select(kind, value, round_doubles=False)})", f"best AS ({_two_means_select()})"
+
+
+HIGH = 'CASE WHEN best.K = 2 THEN "COUNT" > best.THRESHOLD ELSE FALSE END'
+
+
+def kmeans_select(kind: str, value: str) -> str:
+    keys = "ID_ORIG_H, ID_RESP_H, ID_RESP_P, PROTO, SERVICE" if kind == "ddos" else "ID_ORIG_H, ID_ORIG_P, ID_RESP_H, PROTO"
+    return (f'SELECT {keys}, TS, ROUND(DURATION, 4) AS DURATION, ORIG_PKTS, ORIG_IP_BYTES, ORIG_BYTES, RESP_PKTS, RESP_IP_BYTES, RESP_BYTES, "COUNT", '
+            "CASE WHEN best.K = 2 THEN [best.LOW_CENTER, best.HIGH_CENTER] ELSE [best.LOW_CENTER] END AS CENTRES, "
+            f"{HIGH} AS IS_HIGH FROM m CROSS JOIN best")
+
+
+def kmeans_sql(kind: str, value: str) -> str:
+    return with_ctes(kmeans_select(kind, value), *_kmeans_ctes(kind, value))
+
+
+def kmeans_cost_sql(kind: str, value: str) -> str:
+    return with_ctes("SELECT COST AS WSSSE FROM best", *_kmeans_ctes(kind, value))
+
+
+def silhouette_sql(kind: str, value: str) -> str:
+    return with_ctes("""SELECT ROUND(AVG(CASE WHEN n = 1 THEN 0.0 WHEN own < far THEN 1 - own / far WHEN own > far THEN far / own - 1 ELSE 0.0 END), 4) AS SILHOUETTE
+  FROM (SELECT a.n, (a.n * x * x + a.q - 2 * x * a.s) / a.n * a.n / greatest(a.n - 1, 1) AS own, (b.n * x * x + b.q - 2 * x * b.s) / b.n AS far
+        FROM p JOIN c a ON a.h = p.h JOIN c b ON b.h <> p.h) d""", *_kmeans_ctes(kind, value),
+        f'p AS (SELECT CAST("COUNT" AS DOUBLE) AS x, {HIGH} AS h FROM m CROSS JOIN best)',
+        "c AS (SELECT h, CAST(COUNT(*) AS DOUBLE) AS n, SUM(x) AS s, SUM(x * x) AS q FROM p GROUP BY h)")
+
+
+def kmeans_multi_sql(value: str) -> str:
+    """What no choice of start changes: the rows kept, and that each is at its nearest centre, the mean of its rows."""
+    return with_ctes("SELECT ID_ORIG_H, ID_RESP_H, ID_RESP_P, PROTO, SERVICE, TS, ROUND(DURATION, 4) AS DURATION, ORIG_PKTS, ORIG_BYTES, "
+                     "TRUE AS NEAREST FROM m WHERE DURATION IS NOT NULL AND ORIG_PKTS IS NOT NULL AND ORIG_BYTES IS NOT NULL",
+                     f"m AS ({minutes_select('ddos', value, round_doubles=False)})")
+
+
+def uncounted_sql() -> str:
+    return with_ctes("SELECT * REPLACE (NULLIF(\"COUNT\", \"COUNT\") AS \"COUNT\") FROM resp_h_totals WHERE \"COUNT\" % 2 = 0",
+                     resp_h_totals_cte())
 
 
 def scan_ports_sql(value: str) -> str:

@@ -9,6 +9,8 @@ stamps are not part of any registered result.
 
 from __future__ import annotations
 
+import uuid
+import weakref
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,9 +25,11 @@ from flowlens.operators import pivot as PV
 from flowlens.operators import totals as TOT
 from flowlens.operators import web as WEB
 from flowlens.plans import oracle_sql as O
-from flowlens.schemas import RECORD_COLUMNS, TOTALS
-from flowlens.session import reliable_checkpoint
-from flowlens.sinks.tables import RUN_COLUMNS, stamp_run
+from flowlens.functions.time import label
+from flowlens.plans import jobs
+from flowlens.schemas import DDOS_KEYS, DDOS_SERVICES, RECORD_COLUMNS, SCAN_KEYS, SCAN_PROTOS, TOTALS, TOTALS_COLUMNS
+from flowlens.session import configure, ensure_checkpoint_dir
+from flowlens.sinks.tables import RUN_COLUMNS, read_results, stamp_run
 from flowlens.sources import fixtures, scans
 
 SINCE = fixtures.DEFAULT_SINCE
@@ -52,15 +56,33 @@ def rounded(df: DataFrame, places: int = 4) -> DataFrame:
     return df.select(*cols)
 
 
-_TABLES: dict[tuple[int, str], fixtures.Tables] = {}
+_SESSIONS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _once(spark: SparkSession, key, build):
+    """``build()``, kept as long as its session object lives."""
+    kept = _SESSIONS.setdefault(spark, {})
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
 
 
 def tables(spark: SparkSession, sf_dir: str) -> fixtures.Tables:
-    """Fixture tables of ``sf_dir``, built once per session (lazy DataFrames)."""
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _TABLES:
-        _TABLES[key] = fixtures.load(spark, sf_dir)
-    return _TABLES[key]
+    """Fixture tables of ``sf_dir``, built once per session (lazy DataFrames); the session gets the library's settings."""
+    return _once(spark, ("tables", sf_dir), lambda: fixtures.load(configure(spark), sf_dir))
+
+
+def stored(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A result table in the shared folder, written by its job for two runs: all rows, then those after SINCE."""
+    job, options = {jobs.LOG_TOTAIS: (jobs.job_totals, {}), jobs.LOG_KMEANS_DDOS: (jobs.job_ddos, {})}[table]
+
+    def build():
+        folder = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
+        for run_ts, since in ((O.EARLIER_RUN, None), (O.RUN_TS, SINCE)):
+            job(tables(spark, sf_dir).log, folder, since=since, run_ts=run_ts, **options)
+        return f"{folder}/{table}"
+
+    return read_results(spark, _once(spark, (table, sf_dir), build))
 
 
 def conn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,8 +175,6 @@ def _top_consumers(spark, sf_dir):
 
 
 # ------------------------------------------------------- per-minute tables
-DDOS_SERVICES = ("http", "ssh")
-SCAN_PROTOS = ("tcp", "udp")
 
 
 def _minutes(kind, value):
@@ -188,7 +208,12 @@ for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
         register(f"two_means_exact_{_v}", O.two_means_sql(_kind, _v))(_two_means(_kind, _v))
 
 
-# ----------------------------------------------------- clustering (rows-only)
+# ------------------------------------------------------------- clustering
+# Checked by SQL through the exact split, the optimum in one dimension; the
+# cluster index depends on the start and is left out, centres are sorted.
+MINUTE_MEASURES = ("DURATION", "ORIG_PKTS", "ORIG_IP_BYTES", "ORIG_BYTES", "RESP_PKTS", "RESP_IP_BYTES", "RESP_BYTES", "COUNT")
+
+
 def _kmeans(kind, value):
     def run(spark, sf_dir):
         return CL.kmeans(_minutes(kind, value)(spark, sf_dir), features=("COUNT",), k=2)
@@ -196,13 +221,17 @@ def _kmeans(kind, value):
     return run
 
 
-for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
-    for _v in _values:
-        register(f"kmeans_{_kind}_{_v}", None)(_kmeans(_kind, _v))
+def _without_index(df, kind):
+    keys = DDOS_KEYS if kind == "ddos" else SCAN_KEYS
+    return df.select(*keys, "TS", *MINUTE_MEASURES, F.sort_array(F.flatten("CENTROIDS")).alias("CENTRES"), "IS_HIGH")
+
+
+def _kmeans_rows(kind, value):
+    return lambda spark, sf_dir: _without_index(_kmeans(kind, value)(spark, sf_dir), kind)
 
 
 def _kmeans_labels(kind, value):
-    keys = list(MIN.DDOS_KEYS if kind == "ddos" else MIN.SCAN_KEYS)
+    keys = list(DDOS_KEYS if kind == "ddos" else SCAN_KEYS)
 
     def run(spark, sf_dir):
         return _kmeans(kind, value)(spark, sf_dir).select(*keys, "TS", "COUNT", "IS_HIGH")
@@ -210,23 +239,30 @@ def _kmeans_labels(kind, value):
     return run
 
 
-# MLlib's labels, checked by SQL through the exact split (the 1-D optimum).
 for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
     for _v in _values:
+        register(f"kmeans_{_kind}_{_v}", O.kmeans_sql(_kind, _v))(_kmeans_rows(_kind, _v))
         register(f"kmeans_labels_{_v}", O.kmeans_labels_sql(_kind, _v))(_kmeans_labels(_kind, _v))
 
 
-@register("kmeans_multi", None)
+@register("kmeans_multi", O.kmeans_multi_sql("http"))
 def _kmeans_multi(spark, sf_dir):
-    return CL.kmeans_multi(_minutes("ddos", "http")(spark, sf_dir))
+    """The rows clustered, and whether each is at its nearest centre (labels depend on the start)."""
+    features = ("DURATION", "ORIG_PKTS", "ORIG_BYTES")
+    point = F.array(*(F.col(c).cast("double") for c in features))
+    away = F.transform("CENTROIDS", lambda c: F.aggregate(
+        F.zip_with(c, point, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x))
+    nearest = F.element_at(away, F.col("prediction") + 1) <= F.array_min(away) * (1 + 1e-9)
+    return CL.kmeans_multi(_minutes("ddos", "http")(spark, sf_dir), features).select(
+        *DDOS_KEYS, "TS", *features, nearest.alias("NEAREST"))
 
 
-@register("kmeans_wssse", None)
+@register("kmeans_wssse", O.kmeans_cost_sql("ddos", "http"))
 def _kmeans_wssse(spark, sf_dir):
     return CL.kmeans_cost(_kmeans("ddos", "http")(spark, sf_dir), ("COUNT",))
 
 
-@register("kmeans_silhouette", None)
+@register("kmeans_silhouette", O.silhouette_sql("ddos", "http"))
 def _kmeans_silhouette(spark, sf_dir):
     return CL.silhouette(_kmeans("ddos", "http")(spark, sf_dir), ("COUNT",))
 
@@ -238,19 +274,17 @@ def _resp_h_totals(spark, sf_dir):
     return TOT.totals(conn(spark, sf_dir), "RESP_H")
 
 
-def _free(t):
-    return EN.lookup_quota(t.ip_info, O.TODAY).first()["FREE"]
-
-
-def _batch(spark, sf_dir, t=None):
-    t = t or tables(spark, sf_dir)
-    top = TOT.top_resp_hosts(TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H"), EN.TOP_HOSTS)
-    return EN.lookup_batch(top, t.ip_info, _free(t), limit=EN.DAILY_QUOTA)
+def _batch(spark, sf_dir):
+    """E5, of the function form: quota and a limit below the misses there are."""
+    t = tables(spark, sf_dir)
+    free = EN.lookup_quota(t.ip_info, O.TODAY).first()["FREE"]
+    return EN.lookup_batch(_resp_h_totals(spark, sf_dir), t.ip_info, free, limit=O.BATCH_LIMIT)
 
 
-def _looked(spark, sf_dir, t=None):
-    t = t or tables(spark, sf_dir)
-    return EN.lookup(_batch(spark, sf_dir, t), t.ip_directory, run_ts=O.RUN_TS)
+def _looked(spark, sf_dir):
+    """E6, table form: every host the cache lacks, joined with the directory."""
+    t = tables(spark, sf_dir)
+    return EN.lookup(EN.cache_misses(conn(spark, sf_dir), t.ip_info), t.ip_directory, run_ts=O.RUN_TS)
 
 
 def _enrich_query(name, fn):
@@ -262,15 +296,15 @@ _enrich_query("distinct_resp_hosts", lambda spark, d: EN.distinct_hosts(conn(spa
 _enrich_query("ip_cache_hits", lambda spark, d: EN.cache_hits(tables(spark, d).ip_info, conn(spark, d)))
 _enrich_query("ip_cache_misses", lambda spark, d: EN.cache_misses(conn(spark, d), tables(spark, d).ip_info))
 _enrich_query("resp_host_counts", lambda spark, d: TOT.resp_host_counts(_resp_h_totals(spark, d)))
-_enrich_query("top_resp_hosts", lambda spark, d: TOT.top_resp_hosts(_resp_h_totals(spark, d), EN.TOP_HOSTS))
+_enrich_query("top_resp_hosts", lambda spark, d: TOT.top_resp_hosts(_resp_h_totals(spark, d), O.TOP_HOSTS))
 _enrich_query("lookup_batch", lambda spark, d: _batch(spark, d))
-_enrich_query("enrich_lookup", lambda spark, d: _looked(spark, d).drop("TS_CODE"))
+_enrich_query("enrich_lookup", _looked)
 
 
 @register("ip_info_union", O.enrich_sql(O.ENRICH_QUERIES["ip_info_union"]))
 def _ip_info_union(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return EN.ip_info_union(EN.latest_ip_info(t.ip_info), _looked(spark, sf_dir, t))
+    return EN.ip_info_union(EN.latest_ip_info(t.ip_info), _looked(spark, sf_dir))
 
 
 @register("enrich_resp_hosts", O.enrich_sql(O.ENRICH_QUERIES["enrich_resp_hosts"]))
@@ -283,11 +317,7 @@ def _enrich_resp_hosts(spark, sf_dir):
 @register("export_resp_h_info", O.enrich_sql(O.ENRICH_QUERIES["export_resp_h_info"]))
 def _export_resp_h_info(spark, sf_dir):
     t = tables(spark, sf_dir)
-    # As the export job reads the stored totals: computed once, read twice.
-    resp_h = reliable_checkpoint(TOT.totals(scans.scan_conn(t.log, SINCE), "RESP_H"))
-    top = TOT.top_resp_hosts(resp_h, EN.TOP_HOSTS)
-    enriched, _new = EN.enrich(resp_h, t.ip_info, directory=t.ip_directory, today=O.TODAY,
-                               limit=EN.DAILY_QUOTA, candidates=top, run_ts=O.RUN_TS)
+    enriched, _new = EN.enrich(_resp_h_totals(spark, sf_dir), t.ip_info, directory=t.ip_directory, run_ts=O.RUN_TS)
     return enriched
 
 
@@ -298,56 +328,93 @@ PROTO_VALUES = ["tcp", "udp"]
 SERVICE_VALUES = [None, "dns", "http", "ssh", "ssl"]
 
 
-def _pivot_totals(tipo, dim, unit, top_n=None, service=None):
+def _pivot_totals(tipo, dim, unit, values):
+    return lambda spark, sf_dir: PV.pivot_counts(TOT.totals(conn(spark, sf_dir), tipo), dim, unit, values=values)
+
+
+def _long_totals(tipo, dim, unit, service=None):
     def run(spark, sf_dir):
-        df = TOT.totals(conn(spark, sf_dir), tipo)
         where = F.col("SERVICE") == service if service else None
-        return PV.pivot_counts(df, dim, unit, top_n=top_n, where=where)
+        return PV.long_counts(TOT.totals(conn(spark, sf_dir), tipo), dim, unit, where=where)
 
     return run
 
 
+def _long_minutes(kind, values, unit):
+    return lambda spark, sf_dir: PV.long_counts(MIN.minutes_for(conn(spark, sf_dir), kind, values), "ID_ORIG_H", unit)
+
+
 for _unit in ("hour", "day"):
     register(f"pivot_proto_{_unit}", O.pivot_totals_sql("PROTO", "PROTO", _unit, PROTO_VALUES))(
-        _pivot_totals("PROTO", "PROTO", _unit))
+        _pivot_totals("PROTO", "PROTO", _unit, PROTO_VALUES))
     register(f"pivot_service_{_unit}", O.pivot_totals_sql("SERVICE", "SERVICE", _unit, SERVICE_VALUES))(
-        _pivot_totals("SERVICE", "SERVICE", _unit))
-    register(f"pivot_http_orig_{_unit}",
-             O.pivot_totals_sql("PROTO_SERVICE_ORIG_H", "ID_ORIG_H", _unit, where="SERVICE = 'http'"))(
-        _pivot_totals("PROTO_SERVICE_ORIG_H", "ID_ORIG_H", _unit, top_n=O.TOP_PIVOT, service="http"))
+        _pivot_totals("SERVICE", "SERVICE", _unit, SERVICE_VALUES))
+    # Some values only: the rest goes to OTHER.
+    register(f"pivot_service_other_{_unit}", O.pivot_totals_sql("SERVICE", "SERVICE", _unit, SERVICE_VALUES[:3]))(
+        _pivot_totals("SERVICE", "SERVICE", _unit, SERVICE_VALUES[:3]))
+    # Per source the complete result is the long form.
+    register(f"pivot_http_orig_{_unit}", O.long_totals_sql("PROTO_SERVICE_ORIG_H", "ID_ORIG_H", _unit, where="SERVICE = 'http'"))(
+        _long_totals("PROTO_SERVICE_ORIG_H", "ID_ORIG_H", _unit, service="http"))
     register(f"long_proto_service_{_unit}", O.long_totals_sql("PROTO_SERVICE", "SERVICE", _unit))(
-        lambda spark, d, _u=_unit: PV.long_counts(TOT.totals(conn(spark, d), "PROTO_SERVICE"), "SERVICE", _u))
+        _long_totals("PROTO_SERVICE", "SERVICE", _unit))
 
 
-def _pivot_minutes(kind, value, unit):
-    def run(spark, sf_dir):
-        return PV.pivot_counts(_minutes(kind, value)(spark, sf_dir), "ID_ORIG_H", unit, top_n=O.TOP_PIVOT)
-
-    return run
+@register("pivot_proto_day_label", O.pivot_totals_sql("PROTO", "PROTO", "day", PROTO_VALUES, label="%d.%m.%Y"))
+def _pivot_label(spark, sf_dir):
+    return _pivot_totals("PROTO", "PROTO", "day", PROTO_VALUES)(spark, sf_dir).withColumn("TS", label("TS", "day"))
 
 
 for _kind, _values in (("ddos", DDOS_SERVICES), ("scan", SCAN_PROTOS)):
     for _v in _values:
         for _unit in ("minute", "hour"):
-            register(f"pivot_{_kind}_{_v}_{_unit}", O.pivot_minutes_sql(_kind, _v, "ID_ORIG_H", _unit))(
-                _pivot_minutes(_kind, _v, _unit))
+            register(f"pivot_{_kind}_{_v}_{_unit}", O.long_minutes_sql(_kind, [_v], "ID_ORIG_H", _unit))(
+                _long_minutes(_kind, [_v], _unit))
 
-register("pivot_orig_minute", O.pivot_minutes_sql("scan", "tcp", "ID_ORIG_H", "minute"))(
-    _pivot_minutes("scan", "tcp", "minute"))
+# V3: the timeline of all sources, over every clustered service.
+register("pivot_orig_minute", O.long_minutes_sql("ddos", DDOS_SERVICES, "ID_ORIG_H", "minute"))(
+    _long_minutes("ddos", DDOS_SERVICES, "minute"))
 
 
 # ------------------------------------------------- scans of stored results
-# Results as the jobs store them (stamped with a run), read back by the scans.
-@register("scan_totals", O.with_ctes(f"SELECT * FROM resp_h_totals", O.resp_h_totals_cte()))
+# Tables that the jobs wrote for two runs, read back with their partitions pruned.
+@register("scan_totals", O.with_ctes("SELECT * FROM resp_h_totals", O.resp_h_totals_cte()))
 def _scan_totals(spark, sf_dir):
-    stored = stamp_run(TOT.totals_all(conn(spark, sf_dir)), O.RUN_TS, SINCE)
-    return scans.scan_totals(stored, since=O.TODAY, tipo="RESP_H").drop(*RUN_COLUMNS)
+    """The newest run."""
+    table = stored(spark, sf_dir, jobs.LOG_TOTAIS)
+    return scans.scan_totals(table, since=O.TODAY, tipo="RESP_H", run_id="latest").select(*TOTALS_COLUMNS)
 
 
-@register("scan_kmeans_log", None)
+@register("scan_totals_since", O.with_ctes("SELECT * FROM resp_h_totals", O.resp_h_totals_cte()))
+def _scan_totals_since(spark, sf_dir):
+    """The runs strictly after the stamp of the earlier one."""
+    return scans.scan_totals(stored(spark, sf_dir, jobs.LOG_TOTAIS), since=O.EARLIER_RUN, tipo="RESP_H").select(*TOTALS_COLUMNS)
+
+
+@register("scan_kmeans_log", "\nUNION ALL\n".join(f"SELECT * FROM ({O.kmeans_sql('ddos', v)}) {v}_rows" for v in DDOS_SERVICES))
 def _scan_kmeans_log(spark, sf_dir):
-    stored = stamp_run(_kmeans("ddos", "http")(spark, sf_dir), O.RUN_TS, SINCE)
-    return scans.scan_kmeans_log(stored, since=O.TODAY)
+    return _without_index(scans.scan_kmeans_log(stored(spark, sf_dir, jobs.LOG_KMEANS_DDOS), since=O.TODAY, run_id="latest"), "ddos")
+
+
+@register("scan_results_uncounted", O.uncounted_sql())
+def _scan_results_uncounted(spark, sf_dir):
+    """Result rows without a count: here the even counts are blanked, of one kind of two."""
+    blank = F.when(F.col("COUNT") % 2 != 0, F.col("COUNT")).alias("COUNT")
+    both = _resp_h_totals(spark, sf_dir).unionByName(TOT.totals(conn(spark, sf_dir), "PROTO"))
+    rows = stamp_run(both.select(*(blank if c == "COUNT" else c for c in TOTALS_COLUMNS)), O.RUN_TS)
+    return scans.scan_results_uncounted(rows, "RESP_H", since=O.TODAY).drop(*RUN_COLUMNS)
+
+
+def _export_totals(spec):
+    def run(spark, sf_dir):
+        table = stored(spark, sf_dir, jobs.LOG_TOTAIS)
+        rows = scans.scan_totals(table, since=O.TODAY, tipo=spec.tipo, run_id="latest")
+        return rows.select(*TOTALS_COLUMNS).orderBy(*TOT.export_order(spec))
+
+    return run
+
+
+for _spec in TOTALS:
+    register("export_" + _spec.query_name, O.totals_sql(_spec))(_export_totals(_spec))
 
 
 # ----------------------------------------------------------------- access

@@ -153,6 +153,8 @@ TOTALS_BY_TIPO = {t.tipo: t for t in TOTALS}
 
 TOTALS_COLUMNS = (TS, PROTO, SERVICE, ORIG_H, ORIG_P, RESP_H, RESP_P, COUNT, *MEASURES, TIPO)
 
-# Per-minute aggregates feeding the clustering.
+# Per-minute aggregates feeding the clustering, and the values clustered by default (fixed values).
 DDOS_KEYS = (ORIG_H, RESP_H, RESP_P, PROTO, SERVICE)
 SCAN_KEYS = (ORIG_H, ORIG_P, RESP_H, PROTO)
+DDOS_SERVICES = ("http", "ssh")
+SCAN_PROTOS = ("tcp", "udp")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,8 +62,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster that setting points at shared storage and is used as is;
+    a cluster session without it raises.  Only a local session (one machine,
+    one JVM) gets a scratch folder, removed when Python exits.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,25 +72,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        configured = tempfile.mkdtemp(prefix="flowlens-ckpt-")
+        configured = _local_folder(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
-def reliable_checkpoint(df):
-    """Eager ``checkpoint()`` into the checkpoint folder, computing ``df`` once.
+def _local_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder for master {master}")
+    folder = tempfile.mkdtemp(prefix="flowlens-ckpt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
-    A reliable checkpoint of an unpersisted plan runs it twice (once for
-    the eager action, once to write the files); persisting first lets the
-    write read the blocks just computed.  The cache is dropped afterwards:
-    the returned frame reads the checkpoint files, which survive executor
-    loss.
+
+def reliable_checkpoint(df, columns=None):
+    """Write ``df`` (or only ``columns``) once as Parquet in the checkpoint folder and return a frame that reads it.
+
+    The lineage ends there, a lost executor costs a re-read, and unlike an
+    RDD checkpoint the reader still prunes columns and pushes filters down.
     """
-    from pyspark import StorageLevel
-
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    spark = df.sparkSession
+    if columns is not None:
+        df = df.select(*columns)
+    path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df) -> None:
+    """Delete the files of a frame made by ``reliable_checkpoint`` that no later job reads."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/stored-" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def path_exists(spark, path: str) -> bool:
+    """Whether ``path`` exists, asked of its own file system (local, default or named by a scheme)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

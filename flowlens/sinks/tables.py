@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,34 +44,56 @@ def stamp_run(df: DataFrame, run_ts, since=None, row_id: bool = False) -> DataFr
     return df.withColumns(cols)
 
 
-def write_results(df: DataFrame, path: str, partition_by=("TIPO", "RUN_ID"), metrics: dict | None = None) -> str:
+def write_results(df: DataFrame, path: str, partition_by=("TIPO", "RUN_ID"), metrics: dict | None = None,
+                  replaces: dict | None = None, rows_per_file: int = 2_000_000) -> str:
     """K3: write a stamped result frame, replacing only its own partitions.
 
+    ``replaces`` names the run the frame stands for (``{"RUN_ID": n}``, with
+    ``TIPO`` if it is one kind only): partitions of that run which get no
+    row this time are removed, so an empty rerun leaves nothing behind.
+    Rows are dealt by the partition columns before the write and a file holds at most
+    ``rows_per_file`` rows, so the number of files follows the data, not the
+    tasks; the deal is a REBALANCE, of which Spark splits a large kind over several tasks.
     ``metrics`` (a dict) receives ``rows`` written, observed during the
     write itself (``DataFrame.observe``) rather than by a counting job.
     """
     spark = df.sparkSession
-    observation = None
-    if metrics is not None:
-        observation = Observation("written")
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    name = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by))
+    observation = Observation("written")  # a row count and a name for each partition written
+    df = df.observe(observation, F.count(F.lit(1)).alias("rows"), F.collect_set(name).alias("partitions"))
+    dealt = df.hint("rebalance", *(F.col(c) for c in partition_by))
+    (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).parquet(path))
     try:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    if observation is not None:
-        metrics["rows"] = metrics.get("rows", 0) + observation.get["rows"]
+        written = observation.get
+    except Py4JJavaError:  # Spark saw at planning time that there is no row, and dropped the observation
+        written = {"rows": 0, "partitions": []}
+    if replaces:
+        _remove_stale(spark, path, set(written["partitions"]), partition_by, replaces)
+    if metrics is not None:
+        metrics["rows"] = metrics.get("rows", 0) + written["rows"]
     return path
 
 
-def append_rows(df: DataFrame, path: str, partition_by=()) -> str:
-    """K4: append rows (e.g. new IP lookups) to a table."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def _remove_stale(spark: SparkSession, path: str, kept: set[str], partition_by, replaces: dict) -> None:
+    """Drop the partitions that ``replaces`` names and that are not ``kept``."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    want = [f"{c}={replaces[c]}" if c in replaces else f"{c}=*" for c in partition_by]
+    for status in fs.globStatus(fs_path("/".join([path.rstrip("/"), *want]))) or []:
+        p, parts = status.getPath(), []
+        at = p
+        for _ in partition_by:
+            parts.insert(0, at.getName())
+            at = at.getParent()
+        if "/".join(parts) not in kept:
+            fs.delete(p, True)
+
+
+def append_run(df: DataFrame, path: str, run_id: int, column: str = "RUN_ID") -> str:
+    """K4: add the rows of one run (e.g. new IP lookups) as a partition of their own; a rerun replaces it."""
+    (df.withColumn(column, F.lit(run_id).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
     return path
 
 

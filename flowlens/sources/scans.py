@@ -40,9 +40,9 @@ def _run_filter(df: DataFrame, run_id) -> DataFrame:
     if run_id is None:
         return df
     if run_id == "latest":
-        # The newest run: a one-row aggregate joined back (no driver round trip).
-        latest = df.agg(F.max("RUN_ID").alias("RUN_ID"))
-        return df.join(latest, "RUN_ID", "left_semi")
+        # The newest run of each kind: a row per TIPO joined back (no driver round trip).
+        latest = df.groupBy(TIPO).agg(F.max("RUN_ID").alias("RUN_ID"))
+        return df.join(latest, [TIPO, "RUN_ID"], "left_semi")
     return df.where(F.col("RUN_ID") == F.lit(run_id))
 
 

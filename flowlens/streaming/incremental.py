@@ -4,7 +4,9 @@ The batch jobs select new rows with a stamp kept by hand.  Here the LOG
 table's file source does that bookkeeping: the query's checkpoint records
 which files were processed, so each trigger sees only new files.  Every
 micro-batch computes the 21 totals over its rows and writes them to the
-results table partitioned by TIPO and RUN_ID = batch id.  ``foreachBatch``
+table ``LOG_TOTAIS_STREAM``, apart from the batch jobs' runs, partitioned by TIPO, QUERY_ID (the id
+that the checkpoint keeps for the query, so a new checkpoint never meets an
+old one's batches) and RUN_ID = batch id.  ``foreachBatch``
 may replay a batch after a failure; the dynamic partition overwrite makes
 the replay replace that batch's partitions, so output is written once.
 
@@ -26,15 +28,22 @@ from flowlens.sinks.tables import stamp_run, write_results
 from flowlens.sources import scans
 
 
+STREAM_TABLE = "LOG_TOTAIS_STREAM"
+QUERY_ID = "sql.streaming.queryId"
+
+
 def _write_batch(tables_dir: str, strategy: str):
-    path = os.path.join(tables_dir, "LOG_TOTAIS")
+    path = os.path.join(tables_dir, STREAM_TABLE)
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         conn = scans.scan_conn(batch).persist()  # read by both levels of the totals
         try:
             stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
             res = stamp_run(TOT.totals_all(conn, strategy=strategy), stamp)
-            write_results(res.withColumn("RUN_ID", F.lit(batch_id).cast("bigint")), path)
+            res = res.withColumns({"RUN_ID": F.lit(batch_id).cast("bigint"), "QUERY_ID": F.lit(query)})
+            write_results(res, path, partition_by=("TIPO", "QUERY_ID", "RUN_ID"),
+                          replaces={"QUERY_ID": query, "RUN_ID": batch_id})
         finally:
             conn.unpersist()
 

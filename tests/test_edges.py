@@ -55,8 +55,8 @@ def test_day_labels_sort_chronologically(spark, make_log):
     ]
     totals = TOT.totals(scans.scan_conn(make_log(rows).repartition(3)), "PROTO").repartition(3)
     out = tempfile.mkdtemp(prefix="flowlens-test-")
-    X.export_pivot(totals, out, "PROTO_", "PROTO")
-    X.export_pivot(totals, out, "MULTI_", "PROTO", single_file=False)
+    X.export_pivot(totals, out, "PROTO_", "PROTO", single_file=True)
+    X.export_pivot(totals, out, "MULTI_", "PROTO")
     multi = spark.read.option("header", True).csv(os.path.join(out, "MULTI__PIVOT_H"))
     assert "_bucket" not in multi.columns and multi.count() == 3
     day = spark.read.option("header", True).csv(os.path.join(out, "PROTO__PIVOT_D")).collect()
@@ -78,9 +78,9 @@ def test_null_pivot_value_column_is_named_null(spark, make_log):
     rows = [conn_row(T0, service=None, uid="a"), conn_row(T0, service="http", uid="b")]
     totals = TOT.totals(scans.scan_conn(make_log(rows)), "SERVICE")
     piv = PV.pivot_counts(totals, "SERVICE", "hour")
-    assert set(piv.columns) == {"TS", "null", "http"}
-    piv2 = PV.pivot_counts(totals, "SERVICE", "hour", values=[None, "http"])
-    assert piv2.first()["null"] == 1
+    assert set(piv.columns) == {"TS", "null", "http", "OTHER"} and piv.first()["OTHER"] is None
+    piv2 = PV.pivot_counts(totals, "SERVICE", "hour", values=["http"])
+    assert (piv2.first()["http"], piv2.first()["OTHER"]) == (1, 1)
 
 
 def test_missing_and_duplicate_ips_keep_each_row_once(spark, make_log):
@@ -108,13 +108,16 @@ def test_failed_lookup_keeps_row_with_null_attributes(spark):
 
         return fetch
 
-    # One IP per partition so the failure affects only its own batch.
-    res = EN.lookup_with(ips.repartition(2, "ID_RESP_H"), make_client, run_ts="2018-12-03 12:00:00")
+    # Both IPs in one batch: the failure affects its own IP only.
+    res = EN.lookup_with(ips.coalesce(1), make_client, run_ts="2018-12-03 12:00:00")
     got = {r.IP: r for r in res.collect()}
     assert set(got) == {"203.0.0.1", "203.0.0.2"}
     assert got["203.0.0.2"].LOOKUP_OK is False and got["203.0.0.2"].HOSTNAME is None
-    if got["203.0.0.1"].LOOKUP_OK:  # both IPs may share one batch
-        assert got["203.0.0.1"].LATITUDE == 1.5 and got["203.0.0.1"].LONGITUDE is None
+    assert got["203.0.0.1"].LOOKUP_OK is True and got["203.0.0.1"].LATITUDE == 1.5 and got["203.0.0.1"].LONGITUDE is None
+    stored = EN.cache_rows(res)  # the failed attempt is stored, counted and not asked again
+    assert stored.count() == 2 and EN.lookup_quota(stored, "2018-12-03", 10).first().FREE == 8
+    assert EN.cache_misses(ips, stored).count() == 0
+    assert [r.IP for r in EN.latest_ip_info(stored).collect()] == ["203.0.0.1"]
 
 
 def test_quota_used_up_makes_no_lookup_but_joins_cache(spark, make_log):

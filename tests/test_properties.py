@@ -61,7 +61,7 @@ def test_exact_two_means_is_no_worse_than_mllib(spark):
         assigned = CL.kmeans(minutes, checkpoint=False)
         cost = CL.kmeans_cost(assigned).first().WSSSE
         assert exact.COST <= cost * (1 + 1e-9) + 1e-6
-        centres = sorted(assigned.first().CENTROIDS)
+        centres = sorted(c[0] for c in assigned.first().CENTROIDS)
         assert abs(centres[0] - exact.LOW_CENTER) < 1e-6 and abs(centres[-1] - exact.HIGH_CENTER) < 1e-6
 
 

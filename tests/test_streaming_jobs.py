@@ -12,6 +12,7 @@ from flowlens.schemas import LOG_COLUMNS, MEASURES
 from flowlens.sinks.tables import read_results
 from flowlens.sources import fixtures, scans
 from flowlens.streaming import run_incremental_totals
+from flowlens.streaming.incremental import STREAM_TABLE
 
 
 def test_incremental_totals_see_each_file_once(spark, sf_dir):
@@ -22,12 +23,12 @@ def test_incremental_totals_see_each_file_once(spark, sf_dir):
     second = log.where(F.col("TS") >= "2018-12-03 00:30:00")
     first.write.mode("append").parquet(log_dir)
     run_incremental_totals(spark, log_dir, tables, ckpt)
-    runs1 = read_results(spark, os.path.join(tables, "LOG_TOTAIS"))
+    runs1 = read_results(spark, os.path.join(tables, STREAM_TABLE))
     assert runs1.select("RUN_ID").distinct().count() == 1
     second.write.mode("append").parquet(log_dir)
     run_incremental_totals(spark, log_dir, tables, ckpt)
     run_incremental_totals(spark, log_dir, tables, ckpt)  # nothing new: no new run
-    stored = read_results(spark, os.path.join(tables, "LOG_TOTAIS"))
+    stored = read_results(spark, os.path.join(tables, STREAM_TABLE))
     assert stored.select("RUN_ID").distinct().count() == 2
     keys = ["TIPO", "TS", "PROTO", "SERVICE", "ID_ORIG_H", "ID_ORIG_P", "ID_RESP_H", "ID_RESP_P"]
     summed = stored.groupBy(*keys).agg(F.sum("COUNT").alias("COUNT"))

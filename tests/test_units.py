@@ -71,7 +71,9 @@ def test_directory_lookup_marks_unknown(spark):
     got = {r.IP: r for r in EN.lookup(batch, directory, run_ts="2018-12-03 12:00:00").collect()}
     assert got["203.0.0.1"].LOOKUP_OK and got["203.0.0.1"].HOSTNAME == "h1"
     assert not got["203.0.0.9"].LOOKUP_OK and got["203.0.0.9"].HOSTNAME is None
-    assert EN.cache_rows(EN.lookup(batch, directory)).count() == 1
+    assert EN.cache_rows(EN.lookup(batch, directory)).where("LOOKUP_OK").count() == 1
+    twice = directory.unionByName(directory.withColumn("HOSTNAME", F.lit("z9")))
+    assert {r.HOSTNAME for r in EN.lookup(batch, twice).collect()} == {"z9", None}  # the same row each time
 
 
 def test_totals_export_uses_each_sort_order(spark, make_log):
