@@ -7,9 +7,12 @@ point offsets.  The patterns are the contract's with possessive loops and a
 start only where a leftmost match can start, which changes no match but
 keeps the scan linear.
 
-Every seed, and every other token that looks like an identifier, is an
-occurrence with two lexical patterns: the two words before it, and the
-words on either side.  These form a graph of patterns and instances.  In
+Every seed, and every other token or plus-led group of short numbers that looks like an identifier, is an
+occurrence with three lexical patterns: the two words before it, the
+words on either side, and its own shape (letters as ``a``, digits as
+``0``).  So a card right after a phone, whose digits the base patterns read as one
+overlong number, is found by its shape, and a disguised address by its words.
+An unseen card must pass Luhn.  These form a graph of patterns and instances.  In
 each round a pattern's confidence for a kind is the share of its
 instances' scores among all its instances; patterns with at
 least ``SUPPORT`` instances' worth of support and ``CONFIDENCE`` are accepted, and score the instances they match (noisy or).  Instances
@@ -43,6 +46,7 @@ CARD = r"[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
+PLUS = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![0-9])"
 TOKEN = r"(?<!\S)[^\s0-9@(\[]*+[0-9@(\[]\S*+"
 SUPPORT = 5.0
 CONFIDENCE = 0.9
@@ -92,8 +96,8 @@ def looks(value: Column, kind: Column) -> Column:
     n = F.length(digits(value))
     return (
         F.when(kind == 0, value.rlike(r"@|[\[(](?i:at)[\])]"))
-        .when(kind == 1, value.rlike(r"^[0-9A-Fa-f]*(?:[.:][0-9A-Fa-f]*){3,7}$"))
-        .when(kind == 2, value.rlike("^[0-9 ._-]+$") & n.between(12, 19))
+        .when(kind == 1, value.rlike(r"^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}$"))  # dotted ones the base pattern decides
+        .when(kind == 2, F.when(value.rlike("^[0-9 ._-]+$") & n.between(16, 19), F.call_function("luhn_check", digits(value))).otherwise(False))
         .otherwise(value.rlike(r"^[+0-9 ()./-]+$") & n.between(7, 15))
     )
 
@@ -107,12 +111,14 @@ def other_tokens(text: Column, base: Column) -> Column:
     cut = F.transform(trimmed, lambda m: F.struct(
         F.lit(None).cast("int").alias("kind"), (m["start"] + F.length(m["head"])).alias("start"),
         (m["start"] + F.length(m["head"]) + F.length(m["core"])).alias("end"), m["core"].alias("value")))
-    plausible = F.filter(cut, lambda m: (F.length(m["value"]) >= 6) & reduce(lambda a, b: a | b, (looks(m["value"], F.lit(k)) for k in range(len(KINDS)))))
+    plus = F.transform(located(text, PLUS, F.contains(text, F.lit("+"))), lambda m: F.struct(
+        F.lit(None).cast("int").alias("kind"), m["start"], m["end"], m["value"]))
+    plausible = F.filter(F.concat(cut, plus), lambda m: (F.length(m["value"]) >= 6) & reduce(lambda a, b: a | b, (looks(m["value"], F.lit(k)) for k in range(len(KINDS)))))
     return F.filter(plausible, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
 
 
 def _around(text: Column, m: Column) -> list[Column]:
-    """The two lexical patterns of an occurrence."""
+    """The lexical patterns of an occurrence."""
     begin = F.greatest(F.lit(0), m["start"] - REACH)
     left = F.lower(F.substr(text, begin + 1, m["start"] - begin))
     right = F.lower(F.substr(text, m["end"] + 1, F.lit(REACH)))
@@ -120,7 +126,8 @@ def _around(text: Column, m: Column) -> list[Column]:
     one = F.regexp_extract(left, r"(?:\S++\s++)?\S*+$", 0)
     follow = F.regexp_extract(right, r"^\S*+(?:\s++\S++)?", 0)
     return [F.concat(F.lit("L "), F.regexp_replace(two, r"\s+", " ")),
-            F.concat(F.lit("B "), F.regexp_replace(F.concat(one, F.lit(" _ "), follow), r"\s+", " "))]
+            F.concat(F.lit("B "), F.regexp_replace(F.concat(one, F.lit(" _ "), follow), r"\s+", " ")),
+            F.concat(F.lit("S "), F.regexp_replace(F.regexp_replace(F.lower(m["value"]), r"\p{L}+", "a"), "[0-9]", "0"))]
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
