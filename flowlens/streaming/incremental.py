@@ -51,7 +51,7 @@ def _write_batch(tables_dir: str, strategy: str):
 
 
 def incremental_totals(spark: SparkSession, log_path: str, tables_dir: str, checkpoint: str,
-                       schema=LOG_SCHEMA, strategy: str = "two_level", max_files_per_trigger: int | None = None,
+                       schema=LOG_SCHEMA, strategy: str = "grouping_sets", max_files_per_trigger: int | None = None,
                        available_now: bool = True):
     """Start the streaming totals query; returns the StreamingQuery.
 
