@@ -21,6 +21,7 @@ order and number, repeated or not; an empty table gives an empty result; other c
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from flowlens.llm.common import column, smaller
 
 SPACE = "▁"
-CACHE = 500_000
+CACHE = 250_000
 LONGEST = 64  # longer words are not remembered
 SLICE = 1 << 20
 WHOLE = 10  # of so many runs of 1024 rows, the first slice is checked whole
@@ -118,7 +119,7 @@ class Vocabulary:
         found = self.parts.get(run)
         if found is None:
             found = self.merge(run)
-            if len(self.parts) >= CACHE // 2:
+            if len(self.parts) >= CACHE // 4:
                 self.parts.clear()
             if len(run) <= LONGEST:
                 self.parts[run] = found
@@ -187,6 +188,16 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, decoded) of every row."""
 
     def run(batches):
+        # The caches are many small tuples without cycles, which the cyclic collector would walk again and again.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            yield from encoded(batches)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def encoded(batches):
         v = vocabulary(path)
         for n, batch in enumerate(smaller(batches)):
             at = 0
