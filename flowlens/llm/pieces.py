@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from flowlens.llm.common import column, smaller
 
 SPACE = "▁"
-CACHE = 250_000
+CACHE = 250_000  # words remembered in each of two generations, about 250 bytes each
 LONGEST = 64  # longer words are not remembered
 SLICE = 1 << 20
 WHOLE = 10  # of so many runs of 1024 rows, the first slice is checked whole
@@ -43,9 +43,11 @@ KIND = re.compile(f"{SPACE}*\\w+|{SPACE}*[^\\w{SPACE}]+|{SPACE}+")
 class Vocabulary:
     """The pieces of a merge-type model file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         import sentencepiece
 
+        self.cache = cache
+
         self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         normal = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
@@ -119,7 +121,7 @@ class Vocabulary:
         found = self.parts.get(run)
         if found is None:
             found = self.merge(run)
-            if len(self.parts) >= CACHE // 4:
+            if len(self.parts) >= self.cache // 4:
                 self.parts.clear()
             if len(run) <= LONGEST:
                 self.parts[run] = found
@@ -141,7 +143,7 @@ class Vocabulary:
             found = tuple(self.cut(run))
             self.fresh.append((run, found))
         if len(run) <= LONGEST:
-            if len(self.young) >= CACHE:
+            if len(self.young) >= self.cache:
                 self.old, self.young = self.young, {}
             self.young[run] = found
         return found
@@ -157,13 +159,13 @@ class Vocabulary:
         return b" ".join(map(self.decimal.__getitem__, ids))
 
 
-_LOADED: dict[str, Vocabulary] = {}
+_LOADED: dict[tuple[str, int], Vocabulary] = {}
 
 
-def vocabulary(path: str) -> Vocabulary:
-    if path not in _LOADED:
-        _LOADED[path] = Vocabulary(path)
-    return _LOADED[path]
+def vocabulary(path: str, cache: int = CACHE) -> Vocabulary:
+    if (path, cache) not in _LOADED:
+        _LOADED[path, cache] = Vocabulary(path, cache)
+    return _LOADED[path, cache]
 
 
 def slices(texts: list[str]):
@@ -184,7 +186,7 @@ def _sha(data: bytes) -> str:
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: bool = True,
-            with_ids: bool = False) -> DataFrame:
+            with_ids: bool = False, cache: int = CACHE) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, decoded) of every row."""
 
     def run(batches):
@@ -198,7 +200,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 gc.enable()
 
     def encoded(batches):
-        v = vocabulary(path)
+        v = vocabulary(path, cache)
         for n, batch in enumerate(smaller(batches)):
             at = 0
             for texts in slices([t or "" for t in batch.column(1).to_pylist()]):

@@ -56,7 +56,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digests(table(spark, sf_dir, "documents"), model_path())
+    return pieces.digests(table(spark, sf_dir, "documents"), model_path(), cache=500_000)  # its workers do nothing else
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
