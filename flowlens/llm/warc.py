@@ -13,9 +13,10 @@ are never seen).  Files hold about ``FILE_BYTES``.
 ``read`` takes each file as a whole and walks it with ``salvage``: a record
 must have a version line, complete headers, a block of the stated length,
 the closing CRLF CRLF and, where the payload is there, the stated digest.
-After a failed check the reader searches for the next version line (or, in
-compressed files, the next gzip member) at which all checks hold, goes on
-from there and logs the bytes between as a quarantined gap.
+After a failed check the reader searches for the next version line or gzip
+member at which all checks hold, goes on from there and logs the bytes
+between as a quarantined gap.  So a file may mix plain and compressed records,
+its first member may be damaged, and a member may hold many records, some damaged.
 
 Defined results: a null payload is empty; a null id is written as ``null`` and
 read back as null; ids repeated within equal payloads: all rows of the
@@ -85,6 +86,8 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 HEADER = re.compile(rb"([!-9;-~]+):[ \t]*([^\r\n]*)\r\n")
 MEMBER = b"\x1f\x8b\x08"
+MARK = re.compile(re.escape(MEMBER) + rb"|" + VERSION.pattern)
+PIECE = 1 << 16  # bytes unzipped at a time
 NEEDED = (b"warc-type", b"warc-record-id", b"content-length")
 
 
@@ -122,42 +125,50 @@ def payload_of(block: bytes) -> bytes:
 
 def member_at(data: bytes, at: int) -> tuple[bytes, int] | str:
     """(content, end) of the gzip member at ``at``, else the reason."""
-    unzip = zlib.decompressobj(31)
+    unzip, view, parts, pos = zlib.decompressobj(31), memoryview(data), [], at
     try:
-        content = unzip.decompress(data[at:])
+        while not unzip.eof and pos < len(data):
+            parts.append(unzip.decompress(view[pos:pos + PIECE]))
+            pos = min(pos + PIECE, len(data))
     except zlib.error:
         return "bad gzip member"
-    return (content, len(data) - len(unzip.unused_data)) if unzip.eof else "gzip member cut off"
-
-
-def salvage(data: bytes):
-    """("record", offset, headers, block) and ("gap", start, end, reason) in order, covering ``data`` whole."""
-    zipped = data.startswith(MEMBER[:2])
-    mark = re.compile(re.escape(MEMBER)) if zipped else VERSION
-
-    def valid(at: int):
-        if not zipped:
-            return record_at(data, at)
-        got = member_at(data, at)
-        if isinstance(got, str):
-            return got
-        record = record_at(got[0], 0)
-        return record if isinstance(record, str) else (record[0], record[1], got[1])
-
-    at = 0
+    return (b"".join(parts), pos - len(unzip.unused_data)) if unzip.eof else "gzip member cut off"
+
+
+def items_at(data: bytes, at: int, members: bool) -> tuple[list[tuple], int] | str:
+    """(what the record or gzip member at ``at`` holds, its end) if it holds a valid record, else the reason."""
+    if not (members and data.startswith(MEMBER, at)):
+        got = record_at(data, at)
+        return got if isinstance(got, str) else ([("record", at, got[0], got[1])], got[2])
+    got = member_at(data, at)
+    if isinstance(got, str):
+        return got
+    content, end = got
+    items = list(salvage(content, members=False))
+    if not any(i[0] == "record" for i in items):
+        return items[0][3] if items else "empty gzip member"
+    return [i[:1] + (at,) + i[2:] if i[0] == "record" else ("gap", at, end, f"bytes {i[1]} to {i[2]} of the member: {i[3]}") for i in items], end
+
+
+def salvage(data: bytes, members: bool = True):
+    """("record", offset, headers, block) and ("gap", start, end, reason) in order, covering ``data`` whole.
+
+    Records of a gzip member have the member's offset, gaps within it the member's start and end.
+    """
+    mark = MARK if members else VERSION
+    at, got = 0, items_at(data, 0, members)
     while at < len(data):
-        got = valid(at)
         if not isinstance(got, str):
-            yield "record", at, got[0], got[1]
-            at = got[2]
+            yield from got[0]
+            at = got[1]
+            got = items_at(data, at, members)
             continue
-        end = at
-        while end < len(data):
+        end, reason = at, got
+        while end < len(data) and isinstance(got, str):
             m = mark.search(data, end + 1)
             end = m.start() if m else len(data)
-            if m and not isinstance(valid(end), str):
-                break
-        yield "gap", at, end, got
+            got = items_at(data, end, members)
+        yield "gap", at, end, reason
         at = end
 
 

@@ -322,6 +322,29 @@ def test_salvage_recovers_later_records_and_logs_gaps(zipped):
     assert not [r for r in warc.salvage(b"")] and [r[0] for r in warc.salvage(b"junk")] == ["gap"]
 
 
+def test_salvage_of_mixed_files():
+    import gzip
+
+    def ids(data):
+        return [int(r[2][b"warc-record-id"][10:-1]) for r in warc.salvage(data) if r[0] == "record"]
+
+    parts = _records(5)
+    zipped = [gzip.compress(p) for p in parts]
+    assert ids(b"\x00\x00" + zipped[0][2:] + b"".join(zipped[1:])) == [1, 2, 3, 4]  # the first member's mark is damaged
+    assert ids(b"".join(parts[:2]) + b"".join(zipped[2:])) == [0, 1, 2, 3, 4]
+    damaged = parts[2][:40] + b"??" + parts[2][42:]
+    one = gzip.compress(b"".join([*parts[:2], damaged, *parts[3:]]))  # all records in one member
+    found = list(warc.salvage(b"rubbish" + one))
+    assert ids(b"rubbish" + one) == [0, 1, 3, 4]
+    start = len(parts[0]) + len(parts[1])
+    assert [r[1:3] for r in found if r[0] == "gap"] == [(0, 7), (7, 7 + len(one))]
+    assert found[3][3].startswith(f"bytes {start} to {start + len(parts[2])} of the member: ")
+    assert ids(gzip.compress(b"") + zipped[3]) == [3]
+    inner = warc.HTTP.encode() + zipped[1]  # a gzip payload of a whole record is a payload, not a record
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:9>\r\nContent-Length: {len(inner)}\r\n\r\n"
+    assert ids(head.encode() + inner + b"\r\n\r\n" + parts[4]) == [9, 4]
+
+
 # ------------------------------------------------------------------ op 9
 def test_sentencepiece_edges(spark, odd, empty):
     import sentencepiece
