@@ -5,7 +5,7 @@ works on every row its predecessor kept, and is written as Parquet and read agai
 next.  All but the last return the columns of ``documents``:
 
 1. quality: the classifier learns from ``labels`` and the texts at hand; documents scored below 0.5 go.
-2. simhash: of each near-duplicate group the document with the smallest id stays (rows without an id stay).
+2. simhash: of each near-duplicate group the document with the smallest id stays.
 3. pii: personal data is replaced by ``[EMAIL]``, ``[IP]``, ``[CARD]`` or ``[PHONE]``.
 4. mixing: sources are flattened until the most repeated one is used twice
    as often as the least; every document is used at least once, so small sources' documents may appear twice.
@@ -30,11 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    near = simhash.near_duplicates(docs)
-    gone = near.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    named, bare = kept.where("doc_id is not null"), kept.where("doc_id is null")
-    return named.dropDuplicates(["doc_id"]).unionByName(bare).select(*docs.columns)
+    return simhash.one_of_each(docs)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

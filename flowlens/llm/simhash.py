@@ -33,10 +33,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import discard, shuffle_partitions, smaller, store
+from flowlens.llm.common import column, discard, free_name, shuffle_partitions, smaller, store
 
 SEED = 42
 WIDTH = 3
@@ -66,16 +66,18 @@ def fingerprint(text: str | None, width: int = WIDTH, seed: int = SEED) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * ones > total).tolist())
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, key: Column | None = None) -> DataFrame:
+    """(doc_id, fp): one row per row of ``docs``; ``fp`` is the fingerprint as a signed long.  ``key``: a long to carry along."""
 
     def run(batches):
         for batch in smaller(batches):
             fps = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                                             names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    more = [] if key is None else [key.alias("key")]
+    src = docs.select(column(id_col).cast("long").alias("doc_id"), column(text_col).alias("text"), *more)
+    return src.mapInArrow(run, "doc_id long, fp long" + (", key long" if more else ""))
 
 
 # ------------------------------------------------------------------ links
@@ -205,16 +207,41 @@ def components(edges: DataFrame) -> DataFrame:
         e = new
 
 
+def _members(prints: DataFrame) -> DataFrame:
+    """(fp, root) of every distinct fingerprint of ``prints``."""
+    unique = prints.select("fp").distinct()
+    roots = components(links(unique))
+    return unique.join(roots, unique["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``."""
     prints = store(fingerprints(docs, id_col, text_col, width), "simhash-fp")
-    unique = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    roots = components(links(unique.select("fp")))
-    named = unique.join(roots, unique["fp"] == roots["node"], "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+    named = _members(prints).join(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp")
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     return prints.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest id.
+
+    Of different texts of that id in one component the smallest hash decides, of
+    equal ones any row stays; a component without an id keeps a row, too.
+    """
+    own = column(id_col).cast("long")
+    number = F.coalesce(own, F.lit(2**63 - 1))  # rows without an id come last
+    key = F.xxhash64(F.coalesce(column(text_col), F.lit("")), own.isNull())
+    prints = store(fingerprints(docs, id_col, text_col, width, key), "simhash-fp")
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("number"), "key"))
+    a, b = free_name(docs, "simhash_number"), free_name(docs, "simhash_key")
+    stay = (
+        _members(prints).join(prints.groupBy("fp").agg(first.alias("first")), "fp")
+        .groupBy("root").agg(F.min("first").alias("first"))
+        .select(F.col("first.number").alias(a), F.col("first.key").alias(b))
+    )
+    kept = docs.withColumns({a: number, b: key}).join(stay, [a, b], "left_semi").dropDuplicates([a, b])
+    return kept.select(*(column(c) for c in docs.columns))
+
+
 def hex64(col):
     return F.lower(F.lpad(F.hex(col), 16, "0"))
