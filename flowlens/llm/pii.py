@@ -7,7 +7,7 @@ point offsets.  The patterns are the contract's with possessive loops and a
 start only where a leftmost match can start, which changes no match but
 keeps the scan linear.
 
-Every seed, and every other token or plus-led group of short numbers that looks like an identifier, is an
+Every seed, and every other token, group of numbers or address with a spelt-out at that looks like an identifier, is an
 occurrence with three lexical patterns: the two words before it, the
 words on either side, and its own shape (letters as ``a``, digits as
 ``0``).  So a card right after a phone, whose digits the base patterns read as one
@@ -47,6 +47,9 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 PLUS = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![0-9])"
+GROUP = r"(?:\([0-9]{2,5}\)|[0-9]{2,5})"
+GROUPS = rf"(?<![0-9A-Za-z+.-])(?:[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}|{GROUP}(?:[ .-]{GROUP}){{1,5}})(?![0-9])"
+SPELT = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(](?i:at)[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(](?i:dot)[\])]) ?[A-Za-z0-9-]++)++"
 TOKEN = r"(?<!\S)[^\s0-9@(\[]*+[0-9@(\[]\S*+"
 SUPPORT = 5.0
 CONFIDENCE = 0.9
@@ -102,8 +105,31 @@ def looks(value: Column, kind: Column) -> Column:
     )
 
 
-def other_tokens(text: Column, base: Column) -> Column:
-    """Identifier-like tokens that no base span overlaps: array<struct<kind (null), start, end, value>>."""
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others."""
+    return F.filter(spans, lambda m: ~F.exists(others, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+
+
+def _plausible(spans: Column) -> Column:
+    kinds = range(len(KINDS))
+    return F.filter(spans, lambda m: (F.length(m["value"]) >= 6) & reduce(lambda a, b: a | b, (looks(m["value"], F.lit(k)) for k in kinds)))
+
+
+def _unnamed(spans: Column) -> Column:
+    return F.transform(spans, lambda m: F.struct(F.lit(None).cast("int").alias("kind"), m["start"], m["end"], m["value"]))
+
+
+def with_other(src: DataFrame) -> DataFrame:
+    """``other``: identifier-like spans that overlap no base one and not each other, array<struct<kind (null), start, end, value>>.
+
+    Plus-led groups of numbers come first, then other groups of numbers and
+    addresses with a spelt-out at, then single tokens.
+    """
+    text, base = F.col("text"), F.col("base")
+    src = src.withColumn("plus", _apart(_plausible(_unnamed(located(text, PLUS, F.contains(text, F.lit("+"))))), base))
+    groups = located(text, GROUPS, text.rlike(r"[0-9]\)?[ .-]\(?[0-9]"))
+    spelt = located(text, SPELT, text.rlike(r"[\[(](?i:at)[\])]"))
+    src = src.withColumn("wide", F.concat("plus", _apart(_plausible(_unnamed(F.concat(groups, spelt))), F.concat(base, F.col("plus")))))
     likely = text.rlike(r"[0-9]{4}|[0-9][^A-Za-z]{1,3}[0-9]|@|[\[(](?i:at)[\])]")
     trimmed = F.transform(located(text, TOKEN, likely), lambda m: F.struct(
         m["start"], m["value"], F.regexp_extract(m["value"], r"^[^0-9A-Za-z+@]*", 0).alias("head"),
@@ -111,10 +137,8 @@ def other_tokens(text: Column, base: Column) -> Column:
     cut = F.transform(trimmed, lambda m: F.struct(
         F.lit(None).cast("int").alias("kind"), (m["start"] + F.length(m["head"])).alias("start"),
         (m["start"] + F.length(m["head"]) + F.length(m["core"])).alias("end"), m["core"].alias("value")))
-    plus = F.transform(located(text, PLUS, F.contains(text, F.lit("+"))), lambda m: F.struct(
-        F.lit(None).cast("int").alias("kind"), m["start"], m["end"], m["value"]))
-    plausible = F.filter(F.concat(cut, plus), lambda m: (F.length(m["value"]) >= 6) & reduce(lambda a, b: a | b, (looks(m["value"], F.lit(k)) for k in range(len(KINDS)))))
-    return F.filter(plausible, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    tokens = _apart(_plausible(cut), F.concat(base, F.col("wide")))
+    return src.withColumn("other", F.concat("wide", tokens)).drop("plus", "wide")
 
 
 def _around(text: Column, m: Column) -> list[Column]:
@@ -134,7 +158,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Stored thin rows: row, doc_id, hash, base, other (both with their lexical patterns)."""
     src = docs.select(column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
     src = src.select("doc_id", F.xxhash64("text").alias("hash"), "text", base_spans(F.col("text")).alias("base"))
-    src = src.withColumn("other", other_tokens(F.col("text"), F.col("base")))
+    src = with_other(src)
 
     def with_patterns(name):
         return F.transform(name, lambda m: F.struct(m["kind"], m["start"], m["end"], m["value"], F.array(*_around(F.col("text"), m)).alias("patterns")))

@@ -218,6 +218,22 @@ def test_pii_patterns_find_unseen_identifiers(spark):
     assert clean[60] == noise[0][1]
 
 
+def test_pii_patterns_find_identifiers_of_several_words(spark):
+    phones = [(n, f"do call me at +1 (523) 555-10{n:02d} by today, doc {n}") for n in range(20)]
+    mails = [(30 + n, f"please write to user{n}@mail.example.org for details, doc {n}") for n in range(20)]
+    valid = [c for c in (str(4000000000000000 + 7 * i) for i in range(900)) if brute.luhn(c)]
+    four = [" ".join(c[i:i + 4] for i in range(0, 16, 4)) for c in valid[:24]]
+    cards = [(60 + n, f"paid by card {x} on file, doc {n}") for n, x in enumerate(four[:20])]
+    new = [(90, "do call me at (743) 555-3824 by today"), (91, "please write to jo [at] example [dot] org for details"),
+           (92, "room (743) 555-3824 is not 12-34-5678"), (93, f"paid by card {four[20]} {four[21]} on file")]
+    src = docs(spark, phones + mails + cards + new)
+    spans = {r.doc_id: r.spans for r in pii.extract(src).collect()}
+    assert spans[90] == "phone:14:28" and spans[91] == "email:16:41" and spans[92] == "phone:5:19"
+    assert spans[93] == "card:13:32,card:33:52"
+    clean = {r.doc_id: r.text for r in pii.redact(src).collect()}
+    assert clean[91] == "please write to [EMAIL] for details" and clean[93] == "paid by card [CARD] [CARD] on file"
+
+
 def test_pii_shapes_find_neighbours_that_the_base_patterns_drop(spark):
     valid = [c for c in (str(4000000000000000 + 7 * i) for i in range(600)) if brute.luhn(c)]
     cards, (a, b, c) = valid[:40], valid[40:43]
