@@ -18,7 +18,8 @@ instances' scores among all its instances; patterns with at
 least ``SUPPORT`` instances' worth of support and ``CONFIDENCE`` are accepted, and score the instances they match (noisy or).  Instances
 above ``ACCEPT`` whose shape suits the kind are found, wherever they stand.
 Scores change between rounds, so an accepted instance supports further
-patterns.
+patterns, also ones that no seed meets.  Scores only rise, and the rounds
+end when none does any more.
 
 The text is read once, into a thin stored table of seeds and other
 occurrences; the rounds run on the graph alone, aggregated by pattern and by instance.
@@ -54,7 +55,7 @@ TOKEN = r"(?<!\S)[^\s0-9@(\[]*+[0-9@(\[]\S*+"
 SUPPORT = 5.0
 CONFIDENCE = 0.9
 ACCEPT = 0.9
-ROUNDS = 3
+STILL = 1e-6  # a smaller rise of a score is none
 REACH = 48
 
 
@@ -167,30 +168,33 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                             with_patterns("base").alias("base"), with_patterns("other").alias("other")), "pii-thin")
 
 
-def discover(thin: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT, confidence: float = CONFIDENCE, accept: float = ACCEPT) -> DataFrame:
-    """(value, kind): unseen instances that confident patterns match."""
+def discover(thin: DataFrame, rounds: int | None = None, support: float = SUPPORT, confidence: float = CONFIDENCE, accept: float = ACCEPT) -> DataFrame:
+    """(value, kind): unseen instances that confident patterns match.  ``rounds``: at most so many; by default as many as change a score."""
     spans = thin.select(F.explode(F.concat("base", "other")).alias("m")).select("m.*")
     graph = spans.select(F.explode("patterns").alias("pattern"), F.lower("value").alias("value"), "kind").where("length(pattern) > 3").distinct()
     graph = store(graph.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-graph")
-    # Only patterns that meet a seed matter; a pattern without enough instances can never be accepted.
-    sizes = graph.groupBy("pattern").agg(F.count("*").alias("n"), F.count("kind").alias("seeds")).where((F.col("n") >= support) & (F.col("seeds") > 0))
-    graph = store(graph.join(sizes.select("pattern", "n"), "pattern"), "pii-graph")
-    scores = graph.where("kind is not null").select("value", F.col("kind").alias("k"), F.lit(1.0).alias("score")).distinct()
-    found = scores.limit(0)
-    for _ in range(rounds):
+    # A pattern without enough instances can never be accepted; one without a seed can, by instances found before.
+    sizes = graph.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support)
+    graph = store(graph.join(sizes, "pattern"), "pii-graph")
+    seeds = graph.where("kind is not null").select("value", F.col("kind").alias("k"), F.lit(1.0).alias("score")).distinct()
+    found, done = seeds.limit(0), 0
+    while rounds is None or done < rounds:
+        scores = seeds.unionByName(found).groupBy("value", "k").agg(F.max("score").alias("score"))
         belief = (
             graph.join(scores, "value").groupBy("pattern", "k")
             .agg(F.sum("score").alias("mass"), F.max("n").alias("n"))
             .withColumn("conf", F.col("mass") / F.col("n"))
             .where((F.col("mass") >= support) & (F.col("conf") >= confidence))
         )
-        reached = (
+        reached = store(
             graph.where("kind is null").join(belief.select("pattern", "k", "conf"), "pattern")
             .where(looks(F.col("value"), F.col("k")))
-            .groupBy("value", "k").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("conf")))))).alias("score"))
-        )
-        found = store(reached, "pii-found")
-        scores = scores.where("score = 1.0").unionByName(found)
+            .groupBy("value", "k").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("conf")))))).alias("score")), "pii-found")
+        before = found.withColumnRenamed("score", "was")
+        risen = reached.join(before, ["value", "k"], "left").where(F.col("score") > F.coalesce("was", F.lit(0.0)) + STILL)
+        found, done = reached, done + 1
+        if risen.isEmpty():
+            break
     best = found.where(F.col("score") >= accept).groupBy("value").agg(F.max(F.struct("score", (-F.col("k")).alias("k"))).alias("b"))
     return best.select("value", (-F.col("b.k")).alias("kind"))
 

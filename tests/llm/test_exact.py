@@ -243,6 +243,30 @@ def test_pii_shapes_find_neighbours_that_the_base_patterns_drop(spark):
     assert spans[50] == "card:21:37,phone:3:20" and spans[51] == "card:3:19,card:20:36" and spans[52] == ""
 
 
+def _national(form, start, n):
+    return [form.format(700 + (start + i) % 200, 1000 + start + i) for i in range(n)]
+
+
+def test_pii_patterns_without_a_seed_find_the_next_ones(spark):
+    seeds = [(n, f"do call me at +1 (523) 555-1{n:03d} by today, doc {n}") for n in range(200)]
+    some = _national("({}) 555-{}", 0, 21)
+    near = [(300 + n, f"do call me at {x} by today, doc {n}") for n, x in enumerate(some[:20])]
+    # two hops: the shape of the 20 finds the 21st, which stands elsewhere
+    spans = {r.doc_id: r.spans for r in pii.extract(docs(spark, seeds + near + [(400, f"room {some[20]} is free")])).collect()}
+    assert all(spans[i] == "phone:14:28" for i, _ in near) and spans[400] == "phone:5:19"
+
+
+def test_pii_rounds_go_on_while_there_is_news(spark):
+    steps = [_national("({}) 555-{}", 0, 60), _national("{}-555-{}", 100, 6), _national("{} 555 {}", 200, 6), _national("{}.555.{}", 300, 7)]
+    places = ["do call me at {} by today", "our desk has {} for guests", "the old list says {} in print", "a torn note shows {} in pencil"]
+    items = [(n, places[0].format(f"+1 (523) 555-1{n:03d}")) for n in range(560)]
+    # the first step stands among the seeds, each later one among the steps before it
+    for n, place in enumerate(places):
+        items += [(1000 * (n + 1) + i, place.format(x)) for i, x in enumerate(sum(steps[:n + 1], []))]
+    spans = {r.doc_id: r.spans for r in pii.extract(docs(spark, items)).collect()}
+    assert all(spans[i].startswith("phone:") for i, _ in items)
+
+
 def test_redact_keeps_rows_and_columns(spark, odd):
     src = docs(spark, odd)
     out = pii.redact(src)
