@@ -131,7 +131,8 @@ def with_other(src: DataFrame) -> DataFrame:
     groups = located(text, GROUPS, text.rlike(r"[0-9]\)?[ .-]\(?[0-9]"))
     spelt = located(text, SPELT, text.rlike(r"[\[(](?i:at)[\])]"))
     src = src.withColumn("wide", F.concat("plus", _apart(_plausible(_unnamed(F.concat(groups, spelt))), F.concat(base, F.col("plus")))))
-    likely = text.rlike(r"[0-9]{4}|[0-9][^A-Za-z]{1,3}[0-9]|@|[\[(](?i:at)[\])]")
+    # Seven digits with only signs between them, an @ or at in brackets, or two colons after a hexadecimal digit.
+    likely = text.rlike(r"[0-9]{4}|[0-9][+()./_-]++[0-9]|@|[\[(](?i:at)[\])]|[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:")
     trimmed = F.transform(located(text, TOKEN, likely), lambda m: F.struct(
         m["start"], m["value"], F.regexp_extract(m["value"], r"^[^0-9A-Za-z+@]*", 0).alias("head"),
         F.regexp_extract(m["value"], r"^[^0-9A-Za-z+@]*(.*?)[^0-9A-Za-z]*$", 1).alias("core")))

@@ -267,6 +267,13 @@ def test_pii_rounds_go_on_while_there_is_news(spark):
     assert all(spans[i].startswith("phone:") for i, _ in items)
 
 
+def test_pii_finds_identifiers_whatever_else_the_text_holds(spark):
+    seeds = [(n, f"server at 10.0.0.{n} is up, row {n}") for n in range(60)] + [(60 + n, f"or dial +1 (523) 555-10{n:02d} now, row {n}") for n in range(60)]
+    new = [(200, "server at fe80::abcd:ef is up"), (201, "server at fd00::a1:b2:c3 is up"), (202, "or dial 55....01....77....3 now")]
+    spans = {r.doc_id: r.spans for r in pii.extract(docs(spark, seeds + new)).collect()}
+    assert spans[200] == "ip:10:23" and spans[201] == "ip:10:24" and spans[202] == "phone:8:27"
+
+
 def test_redact_keeps_rows_and_columns(spark, odd):
     src = docs(spark, odd)
     out = pii.redact(src)
