@@ -16,7 +16,8 @@ the closing CRLF CRLF and, where the payload is there, the stated digest.
 After a failed check the reader searches for the next version line or gzip
 member at which all checks hold, goes on from there and logs the bytes
 between as a quarantined gap.  So a file may mix plain and compressed records,
-its first member may be damaged, and a member may hold many records, some damaged.
+its first member may be damaged, and a member may hold many records, some damaged;
+of a member that is cut off or cannot be unzipped to its end, the records before the damage are kept.
 
 Defined results: a null payload is empty; a null id is written as ``null`` and
 read back as null; ids repeated within equal payloads: all rows of the
@@ -123,47 +124,80 @@ def payload_of(block: bytes) -> bytes:
     return block
 
 
-def member_at(data: bytes, at: int) -> tuple[bytes, int] | str:
-    """(content, end) of the gzip member at ``at``, else the reason."""
+def member_at(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """(content, end, damage) of the gzip member at ``at``; ``damage``: why only the content before it could be unzipped."""
     unzip, view, parts, pos = zlib.decompressobj(31), memoryview(data), [], at
     try:
         while not unzip.eof and pos < len(data):
             parts.append(unzip.decompress(view[pos:pos + PIECE]))
             pos = min(pos + PIECE, len(data))
     except zlib.error:
-        return "bad gzip member"
-    return (b"".join(parts), pos - len(unzip.unused_data)) if unzip.eof else "gzip member cut off"
-
-
-def items_at(data: bytes, at: int, members: bool) -> tuple[list[tuple], int] | str:
-    """(what the record or gzip member at ``at`` holds, its end) if it holds a valid record, else the reason."""
+        unzip, step = _unzipped(view[at:pos]), PIECE
+        while step := step // 2:  # the start of the piece, up to the bad byte
+            spare = unzip.copy()
+            try:
+                parts.append(unzip.decompress(view[pos:pos + step]))
+                pos = min(pos + step, len(data))
+            except zlib.error:
+                unzip = spare
+        return b"".join(parts), pos, "bad gzip member"
+    return b"".join(parts), pos - len(unzip.unused_data), None if unzip.eof else "gzip member cut off"
+
+
+def _unzipped(view: memoryview):
+    """A decompressor that has read ``view``."""
+    unzip = zlib.decompressobj(31)
+    for at in range(0, len(view), PIECE):
+        unzip.decompress(view[at:at + PIECE])
+    return unzip
+
+
+def _place(data: bytes, at: int, end: int, size: int) -> int:
+    """Up to where the first ``size`` bytes of the content of the member at ``at`` were read from."""
+    unzip, view, pos = zlib.decompressobj(31), memoryview(data), at
+    while size and pos < end:
+        piece = view[pos:min(pos + PIECE, end)]
+        size -= len(unzip.decompress(piece, size))
+        pos += len(piece) - len(unzip.unconsumed_tail)
+    return pos
+
+
+def items_at(data: bytes, at: int, members: bool) -> tuple[list[tuple], int, str | None] | str:
+    """(what the record or gzip member at ``at`` holds, its end, damage) if it holds a valid record, else the reason.
+
+    A member with ``damage`` ends after its last valid record.
+    """
     if not (members and data.startswith(MEMBER, at)):
         got = record_at(data, at)
-        return got if isinstance(got, str) else ([("record", at, got[0], got[1])], got[2])
-    got = member_at(data, at)
-    if isinstance(got, str):
-        return got
-    content, end = got
+        return got if isinstance(got, str) else ([("record", at, got[0], got[1])], got[2], None)
+    content, end, damage = member_at(data, at)
     items = list(salvage(content, members=False))
     if not any(i[0] == "record" for i in items):
-        return items[0][3] if items else "empty gzip member"
-    return [i[:1] + (at,) + i[2:] if i[0] == "record" else ("gap", at, end, f"bytes {i[1]} to {i[2]} of the member: {i[3]}") for i in items], end
+        return damage or (items[0][3] if items else "empty gzip member")
+    if damage:
+        size = items.pop()[1] if items[-1][0] == "gap" else len(content)
+        end = _place(data, at, end, size)
+    return [i[:1] + (at,) + i[2:] if i[0] == "record" else ("gap", at, end, f"bytes {i[1]} to {i[2]} of the member: {i[3]}") for i in items], end, damage
 
 
 def salvage(data: bytes, members: bool = True):
     """("record", offset, headers, block) and ("gap", start, end, reason) in order, covering ``data`` whole.
 
     Records of a gzip member have the member's offset, gaps within it the member's start and end.
+    The rest of a damaged member after its last valid record is a gap, of no length if nothing is left of it.
     """
     mark = MARK if members else VERSION
     at, got = 0, items_at(data, 0, members)
     while at < len(data):
         if not isinstance(got, str):
-            yield from got[0]
-            at = got[1]
+            items, at, damage = got
+            yield from items
             got = items_at(data, at, members)
-            continue
-        end, reason = at, got
+            if damage is None:
+                continue
+        else:
+            damage = got
+        end, reason = at, damage
         while end < len(data) and isinstance(got, str):
             m = mark.search(data, end + 1)
             end = m.start() if m else len(data)

@@ -392,6 +392,39 @@ def test_salvage_of_mixed_files():
     assert ids(head.encode() + inner + b"\r\n\r\n" + parts[4]) == [9, 4]
 
 
+def test_salvage_keeps_records_before_a_members_damage():
+    import gzip
+    import zlib
+
+    def found(data):
+        got = list(warc.salvage(data))
+        return [int(r[2][b"warc-record-id"][10:-1]) for r in got if r[0] == "record"], [r[1:] for r in got if r[0] == "gap"]
+
+    rng, parts = random.Random(4), []
+    for r in _records(400):  # over several pieces when zipped
+        head, body = r[:-4].split(b"HTTP/1.1", 1)
+        payload = rng.randbytes(900)
+        block = warc.HTTP.encode() + payload
+        head = head.split(b"WARC-Payload-Digest")[0] + f"WARC-Payload-Digest: sha1:{hashlib.sha1(payload).hexdigest()}\r\nContent-Length: {len(block)}\r\n\r\n".encode()
+        parts.append(head + block + b"\r\n\r\n")
+    for level in (9, 0):  # 0: records stand in the member as they are
+        one, last = gzip.compress(b"".join(parts[:399]), level), gzip.compress(_records(400)[399])
+        cut = one[:len(one) * 2 // 3]
+        ids, gaps = found(cut)
+        n = len(ids)
+        assert ids == list(range(n)) and 255 < n < 275
+        assert len(gaps) == 1 and gaps[0][1:] == (len(cut), "gzip member cut off") and len(cut) - gaps[0][0] < 1500
+        ids, gaps = found(cut + last)
+        assert ids == [*range(n), 399] and [b for _, b, _ in gaps] == [len(cut)]
+        wrong = one[:-8] + bytes(4) + one[-4:]  # only the checksum
+        ids, gaps = found(wrong + last)
+        assert ids == [*range(400)] and [(b, r) for _, b, r in gaps] == [(len(wrong), "bad gzip member")]
+    whole = zlib.compressobj(9, zlib.DEFLATED, 31)
+    half = whole.compress(b"".join(parts[:100])) + whole.flush(zlib.Z_FULL_FLUSH)
+    ids, gaps = found(half + b"\xff" * 50 + last)
+    assert ids == [*range(100), 399] and [(b, r) for _, b, r in gaps] == [(len(half) + 50, "bad gzip member")]
+
+
 # ------------------------------------------------------------------ op 9
 def test_sentencepiece_edges(spark, odd, empty):
     import sentencepiece
