@@ -7,9 +7,11 @@ the longest common extension of two positions is found by binary search.
 
 A fingerprint has the number of code points, the two hashes of the whole text,
 and the ``KEEP`` smallest scrambled hashes of its distinct spans of ``SPAN`` code points
-(the whole text if it is shorter).  Equal texts have equal fingerprints.  The
+(the whole text if it is shorter).  Texts below ``SHORT`` code points also have
+their shorter spans among them, of the widths in ``widths``, so that some span survives where half of a text does.
+Equal texts have equal fingerprints.  The
 likeness of two is the Dice share of common spans, estimated from the
-smallest hashes of their union: 1 for equal texts, about 1/2 if half is replaced, 0 if no span is shared.
+smallest hashes of their union: 1 for equal texts, about 1/2 if half is replaced (less for short texts, but above 0), 0 if no span is shared.
 
 ``with_next`` deals the rows out by ranges of the id, so that each document meets
 the next one: the cuts are quantiles of the id, and the first document
@@ -37,6 +39,7 @@ from flowlens.llm.common import column, shuffle_partitions, smaller
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_245, 742_938_285)
 SPAN = 16
+SHORT = 64
 KEEP = 64
 NULL_ID = -(2**63)
 
@@ -108,12 +111,19 @@ def smallest(values: np.ndarray, keep: int) -> np.ndarray:
     return np.unique(values)[:keep]
 
 
+def widths(n: int) -> list[int]:
+    """The widths of the spans of a text of ``n`` code points; one at least is no more than half of a short one."""
+    if n >= SHORT:
+        return [SPAN]
+    return sorted({min(SPAN, n), min(4, n), *([1] if n < 8 else [])})
+
+
 class Fingerprint:
     def __init__(self, text: str):
         p = Prefixes(text)
         self.prefixes = p
         if p.n:
-            spans = p.spans(min(SPAN, p.n))
+            spans = np.concatenate([p.spans(w) for w in widths(p.n)])
             scrambled = (spans * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
             self.marks = smallest(scrambled.astype(np.uint32), KEEP)
         else:

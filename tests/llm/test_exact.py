@@ -153,6 +153,14 @@ def test_prefix_hashes_answer_spans_and_extensions():
         assert prefixhash.common_extension(pa_, i, pb, j) == common
 
 
+def test_likeness_of_half_kept_short_texts():
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-+*/"
+    for n in range(2, len(letters)):
+        a = prefixhash.Fingerprint(letters[:n]).text
+        assert prefixhash.likeness(a, prefixhash.Fingerprint(prefixhash.edited(letters[:n], "àéîõü" * 20)).text) > 0, n
+        assert prefixhash.likeness(a, prefixhash.Fingerprint("漢字" * n).text) == 0
+
+
 # ------------------------------------------------------------------ op 5
 RESULT5 = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
