@@ -48,6 +48,7 @@ DECAY = 1e-2
 SEED = 20
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 CACHE = 200_000
+PIECE = 1 << 17  # tokens summed at a time
 
 
 def index_vectors() -> np.ndarray:
@@ -93,7 +94,7 @@ def _sums(batches):
     index = index_vectors()
     total = np.zeros((BUCKETS, DIM + 1), dtype=np.int64)
 
-    def add(ids: np.ndarray) -> None:
+    def add(ids: np.ndarray, borrowed: list[range]) -> None:
         if not len(ids):
             return
         real = ids >= 0
@@ -105,6 +106,11 @@ def _sums(batches):
             near[:-d, :DIM] += vectors[d:]
         order = np.argsort(ids, kind="stable")
         order = order[np.count_nonzero(~real):]
+        if borrowed:
+            own = np.ones(len(ids), dtype=bool)
+            for r in borrowed:
+                own[r.start:r.stop] = False
+            order = order[own[order]]
         if not len(order):
             return
         sorted_ids = ids[order]
@@ -113,17 +119,23 @@ def _sums(batches):
 
     gap = np.full(WINDOW, -1, dtype=np.int32)  # windows do not cross documents
     for batch in smaller(batches):
-        held, size = [], 0
+        held, size, borrowed = [], 0, []  # borrowed: places of tokens that belong to another piece
         for text in batch.column(0).to_pylist():
             ids = buckets(text)
-            for at in range(0, len(ids), 1 << 17):  # a long text goes in pieces; windows at a piece's edge are cut
-                held += [ids[at:at + (1 << 17)], gap]
-                size += len(held[-2])
-                if size >= 1 << 17:
-                    add(np.concatenate(held))
-                    held, size = [], 0
+            for at in range(0, len(ids), PIECE):  # a long text goes in pieces, each with the tokens on either side
+                low, end = max(0, at - WINDOW), min(at + PIECE, len(ids))
+                high = min(end + WINDOW, len(ids))
+                if low < at:
+                    borrowed.append(range(size, size + at - low))
+                if end < high:
+                    borrowed.append(range(size + end - low, size + high - low))
+                held += [ids[low:high], gap]
+                size += high - low + WINDOW
+                if size >= PIECE:
+                    add(np.concatenate(held), borrowed)
+                    held, size, borrowed = [], 0, []
         if held:
-            add(np.concatenate(held))
+            add(np.concatenate(held), borrowed)
     for slab in range(BUCKETS // SLAB):
         part = total[slab * SLAB:(slab + 1) * SLAB]
         if part.any():

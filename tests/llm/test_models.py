@@ -59,6 +59,35 @@ def test_word_vectors_do_not_depend_on_partitions(spark, odd):
     assert (a == quality.word_vectors(docs(spark, odd).repartition(7))).all()
 
 
+def test_word_sums_cross_the_pieces_of_a_long_text(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 50, n)) for n in (3, 700, 1, 100, 101, 102, 205, 2000)]
+    index, want = quality.index_vectors().astype(np.int64), np.zeros((quality.BUCKETS, quality.DIM + 1), dtype=np.int64)
+    for ids in map(quality.buckets, texts):
+        for i, x in enumerate(ids):
+            want[x, quality.DIM] += 1
+            for j in range(max(0, i - quality.WINDOW), min(len(ids), i + quality.WINDOW + 1)):
+                if j != i:
+                    want[x, :quality.DIM] += index[ids[j]]
+    long = " ".join(f"w{x}" for x in rng.integers(0, 50, 140_000))
+    for piece, docs_ in ((100, texts), (1, texts), (quality.PIECE, [long])):
+        monkeypatch.setattr(quality, "PIECE", piece if docs_ is texts else 1 << 17)
+        got = np.zeros_like(want)
+        for b in quality._sums([pa.RecordBatch.from_arrays([pa.array(docs_)], names=["text"])]):
+            at = b.column(0)[0].as_py() * quality.SLAB
+            got[at:at + quality.SLAB] += np.frombuffer(b.column(1)[0].as_py(), dtype=np.int64).reshape(quality.SLAB, -1)
+        if docs_ is texts:
+            assert (got == want).all()
+        else:
+            monkeypatch.setattr(quality, "PIECE", 1 << 20)  # in one piece
+            for b in quality._sums([pa.RecordBatch.from_arrays([pa.array(docs_)], names=["text"])]):
+                at = b.column(0)[0].as_py() * quality.SLAB
+                got[at:at + quality.SLAB] -= np.frombuffer(b.column(1)[0].as_py(), dtype=np.int64).reshape(quality.SLAB, -1)
+            assert not got.any()
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, quality.FEATURES)).astype(np.float32)
