@@ -7,7 +7,7 @@ point offsets.  The patterns are the contract's with possessive loops and a
 start only where a leftmost match can start, which changes no match but
 keeps the scan linear.
 
-Every seed, and every other token, group of numbers or address with a spelt-out at that looks like an identifier, is an
+Every seed, and every other token, group of numbers or address with a spelt-out at (with brackets, or with a spelt-out dot, too) that looks like an identifier, is an
 occurrence with three lexical patterns: the two words before it, the
 words on either side, and its own shape (letters as ``a``, digits as
 ``0``).  So a card right after a phone, whose digits the base patterns read as one
@@ -50,7 +50,12 @@ PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PLUS = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![0-9])"
 GROUP = r"(?:\([0-9]{2,5}\)|[0-9]{2,5})"
 GROUPS = rf"(?<![0-9A-Za-z+.-])(?:[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}|{GROUP}(?:[ .-]{GROUP}){{1,5}})(?![0-9])"
-SPELT = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(](?i:at)[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(](?i:dot)[\])]) ?[A-Za-z0-9-]++)++"
+LABEL = r"[A-Za-z0-9-]++"
+DOT = r" ?[\[(](?i:dot)[\])] ?| (?i:dot) "
+SPELT = rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(](?i:at)[\])] ?{LABEL}(?:(?: ?\. ?|{DOT}){LABEL})++"
+# The same without brackets; every part has a letter, so that no number is part of it.
+NAMED = rf"(?=[0-9.-]*+[A-Za-z]){LABEL}(?:\.{LABEL})*+"
+SAID = rf"(?<![^\s\"'(<\[])(?=[0-9._%+-]*+[A-Za-z])[A-Za-z0-9._%+-]++ (?i:at) {NAMED}(?:(?:{DOT}){NAMED})++"
 TOKEN = r"(?<!\S)[^\s0-9@(\[]*+[0-9@(\[]\S*+"
 SUPPORT = 5.0
 CONFIDENCE = 0.9
@@ -99,7 +104,7 @@ def looks(value: Column, kind: Column) -> Column:
     """Whether a token may be an identifier of the kind at all."""
     n = F.length(digits(value))
     return (
-        F.when(kind == 0, value.rlike(r"@|[\[(](?i:at)[\])]"))
+        F.when(kind == 0, value.rlike(r"@|[\[(](?i:at)[\])]| (?i:at) "))
         .when(kind == 1, value.rlike(r"^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}$"))  # dotted ones the base pattern decides
         .when(kind == 2, F.when(value.rlike("^[0-9 ._-]+$") & n.between(16, 19), F.call_function("luhn_check", digits(value))).otherwise(False))
         .otherwise(value.rlike(r"^[+0-9 ()./-]+$") & n.between(7, 15))
@@ -124,13 +129,15 @@ def with_other(src: DataFrame) -> DataFrame:
     """``other``: identifier-like spans that overlap no base one and not each other, array<struct<kind (null), start, end, value>>.
 
     Plus-led groups of numbers come first, then other groups of numbers and
-    addresses with a spelt-out at, then single tokens.
+    addresses with a spelt-out at, those without brackets last, then single tokens.
     """
     text, base = F.col("text"), F.col("base")
     src = src.withColumn("plus", _apart(_plausible(_unnamed(located(text, PLUS, F.contains(text, F.lit("+"))))), base))
     groups = located(text, GROUPS, text.rlike(r"[0-9]\)?[ .-]\(?[0-9]"))
     spelt = located(text, SPELT, text.rlike(r"[\[(](?i:at)[\])]"))
     src = src.withColumn("wide", F.concat("plus", _apart(_plausible(_unnamed(F.concat(groups, spelt))), F.concat(base, F.col("plus")))))
+    said = located(text, SAID, text.rlike(r"[ \[(](?i:dot)[ \])]") & text.rlike(" (?i:at) "))
+    src = src.withColumn("wide", F.concat("wide", _apart(_plausible(_unnamed(said)), F.concat(base, F.col("wide")))))
     # Seven digits with only signs between them, an @ or at in brackets, or two colons after a hexadecimal digit.
     likely = text.rlike(r"[0-9]{4}|[0-9][+()./_-]++[0-9]|@|[\[(](?i:at)[\])]|[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:")
     trimmed = F.transform(located(text, TOKEN, likely), lambda m: F.struct(

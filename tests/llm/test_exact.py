@@ -282,6 +282,15 @@ def test_pii_finds_identifiers_whatever_else_the_text_holds(spark):
     assert spans[200] == "ip:10:23" and spans[201] == "ip:10:24" and spans[202] == "phone:8:27"
 
 
+def test_pii_finds_addresses_spelt_out_without_brackets(spark):
+    mails = [(n, f"please write to user{n}@mail.example.org for details, doc {n}") for n in range(60)]
+    phones = [(100 + n, f"call bob at +1 (523) 555-10{n:02d} dot, doc {n}") for n in range(60)]
+    new = [(200, "please write to jo at example dot com for details"), (201, "please write to jo.b AT mail.example DOT co [dot] uk for details"),
+           (202, "please write to jo (at) example dot com for details"), (203, "call bob at 743-555-3824 dot"), (204, "look at that dot on the map")]
+    spans = {r.doc_id: r.spans for r in pii.extract(docs(spark, mails + phones + new)).collect()}
+    assert [spans[i] for i in range(200, 205)] == ["email:16:37", "email:16:52", "email:16:39", "phone:12:24", ""]
+
+
 def test_redact_keeps_rows_and_columns(spark, odd):
     src = docs(spark, odd)
     out = pii.redact(src)
