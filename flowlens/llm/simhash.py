@@ -12,10 +12,11 @@ that differ in at most three bits agree in at least three blocks, so each
 of the 20 choices of three blocks is a join key of about 32 bits, and pairs
 of a key are verified by their Hamming distance.  A key's members are
 linked to the smallest member of their local component (a star, never all
-pairs).  A key with over ``GROUP`` members is cut again: of the 32 bits it
+pairs).  A key with over ``GROUP`` members (counted by an aggregate before any
+task holds them) is cut again: of the 32 bits it
 leaves open, seven sub-blocks are made, and close pairs agree in four of
 them; such a key leaves at most 15 bits open, so at most 2**15 distinct
-fingerprints can share it.  That bound holds at every size.
+fingerprints can share it.  That bound holds at every size, and for all that a task holds of a key.
 
 ``components`` joins the links by alternating large-star and small-star
 steps, each written to the shared folder.
@@ -125,7 +126,7 @@ def stars(fps: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.nda
 
 
 def _groups(batches):
-    """(table, key, members) of each run of equal (table, key) in a sorted stream, members in pieces."""
+    """(table, key, members) of whole runs of equal (table, key) in a sorted stream."""
     rest = None
     for batch in batches:
         c, k, f = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -142,50 +143,44 @@ def _groups(batches):
         yield rest
 
 
-LINK_SCHEMA = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+LINK_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _linker(limit: int | None):
-    """Per key: star edges (kind -1), or for keys over ``limit`` rows of finer keys (kind = finer table)."""
+def _linker(batches):
+    """The star edges of each key."""
+    for c, k, f in _groups(batches):
+        starts = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (k[1:] != k[:-1])]))
+        sizes = np.diff(np.append(starts, len(c)))
+        two = starts[sizes == 2]
+        x, y = f[two].view(np.uint64), f[two + 1].view(np.uint64)
+        ok = np.bitwise_count(x ^ y) <= MAX_BITS
+        left, right = [f[two + 1][ok]], [f[two][ok]]
+        for at, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            a, b = stars(f[at:at + n].view(np.uint64))
+            left.append(a.view(np.int64)), right.append(b.view(np.int64))
+        out = [np.concatenate(v) for v in (left, right)]
+        for at in range(0, len(out[0]), CHUNK):
+            yield pa.RecordBatch.from_arrays([pa.array(v[at:at + CHUNK], pa.int64()) for v in out], schema=LINK_SCHEMA)
 
-    def run(batches):
-        for c, k, f in _groups(batches):
-            starts = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (k[1:] != k[:-1])]))
-            sizes = np.diff(np.append(starts, len(c)))
-            kinds, left, right = [], [], []
-            two = starts[sizes == 2]
-            x, y = f[two].view(np.uint64), f[two + 1].view(np.uint64)
-            ok = np.bitwise_count(x ^ y) <= MAX_BITS
-            kinds.append(np.full(int(ok.sum()), -1)), left.append(f[two + 1][ok]), right.append(f[two][ok])
-            for at, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                members = f[at:at + n]
-                if limit is None or n <= limit:
-                    a, b = stars(members.view(np.uint64))
-                    kinds.append(np.full(len(a), -1)), left.append(a.view(np.int64)), right.append(b.view(np.int64))
-                    continue
-                for i, mask in enumerate(sub_masks(MASKS[int(c[at])])):
-                    kinds.append(np.full(n, int(c[at]) * 64 + i))
-                    left.append(members & np.int64(_signed(mask))), right.append(members)
-            out = [np.concatenate(v) for v in (kinds, left, right)]
-            for at in range(0, len(out[0]), CHUNK):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0][at:at + CHUNK], pa.int32()), *(pa.array(v[at:at + CHUNK], pa.int64()) for v in out[1:])],
-                    schema=LINK_SCHEMA)
-
-    return run
+
+def block_keys(fps: DataFrame, group: int = GROUP) -> DataFrame:
+    """(c, k, fp): table, key and member; keys over ``group`` members are replaced by their finer ones, of tables from 64 on."""
+    spark = fps.sparkSession
+    keys = F.explode(F.array(*(
+        F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k")) for i, m in enumerate(MASKS))))
+    rows = fps.select("fp", keys.alias("x")).select("x.c", "x.k", "fp")
+    large = store(rows.groupBy("c", "k").agg(F.count("*").alias("n")).where(F.col("n") > group).select("c", "k"), "simhash-large")
+    finer = spark.createDataFrame([(i, 64 * (i + 1) + j, _signed(m)) for i, mask in enumerate(MASKS) for j, m in enumerate(sub_masks(mask))],
+                                  "c int, finer int, mask long")
+    cut = rows.join(large, ["c", "k"], "left_semi").join(F.broadcast(finer), "c").select(
+        F.col("finer").alias("c"), F.col("fp").bitwiseAND(F.col("mask")).alias("k"), "fp")
+    return rows.join(large, ["c", "k"], "left_anti").unionByName(cut)
 
 
 def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
     """Edges (a, b) that connect exactly the distinct fingerprints ``fp`` within three bits of each other."""
     p = shuffle_partitions(fps.sparkSession)
-    schema = "kind int, a long, b long"
-    keys = F.explode(F.array(*(
-        F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k")) for i, m in enumerate(MASKS))))
-    rows = fps.select("fp", keys.alias("x")).select("x.c", "x.k", "fp")
-    first = store(rows.repartition(p, "c", "k").sortWithinPartitions("c", "k", "fp").mapInArrow(_linker(group), schema), "simhash-links")
-    finer = first.where("kind >= 0").select(F.col("kind").alias("c"), F.col("a").alias("k"), F.col("b").alias("fp"))
-    second = finer.repartition(p, "c", "k").sortWithinPartitions("c", "k", "fp").mapInArrow(_linker(None), schema)
-    return first.where("kind < 0").select("a", "b").unionByName(second.select("a", "b"))
+    return block_keys(fps, group).repartition(p, "c", "k").sortWithinPartitions("c", "k", "fp").mapInArrow(_linker, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

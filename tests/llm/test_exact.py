@@ -341,6 +341,17 @@ def test_simhash_links_keep_every_component(spark):
         assert Counter(map(frozenset, groups.values())) == want
 
 
+def test_simhash_no_task_gets_a_large_key(spark):
+    rng = random.Random(9)
+    prints = {rng.getrandbits(31) << 33 for _ in range(3000)}  # all agree in the low blocks
+    df = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
+    keys = simhash.block_keys(df, group=100).groupBy("c", "k").count().cache()
+    assert keys.where("c < 64").agg(F.max("count")).first()[0] <= 100
+    assert keys.where("c >= 64").count() > 0 and keys.agg(F.max("count")).first()[0] < 3000
+    fed = simhash.links(df, group=100)._jdf.queryExecution().optimizedPlan().toString()
+    assert fed.count("MapInArrow") == 1
+
+
 # ------------------------------------------------------------------ op 8
 PAGE = "page_id long, url string, html string, payload string, size int"
 
