@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import mixing, pii, pieces, prefixhash, quality, simhash, suffix, topk, urlfilter, warc
+from flowlens.llm import convtrie, katz, mixing, pii, pieces, prefixhash, quality, simhash, spelling, suffix, topk, urlfilter, warc
 from flowlens.llm.common import table
 
 MODEL = "piece_bpe_32k.model"
@@ -63,6 +63,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_top_k, op2_quality, op3_url_filter, op4_fingerprints, op5_suffix_dedup, op6_pii, op7_simhash, op8_warc,
-        op9_sentencepiece, op10_mixing, pipeline)}
+        op9_sentencepiece, op10_mixing, op11_spelling, op12_conversation_trie, op13_katz, pipeline)}
 
 
 TOP_K = """
@@ -90,4 +102,5 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": TOP_K, "op3_url_filter": urlfilter.ORACLE, "op8_warc": warc.ORACLE}
+    return {"op1_top_k": TOP_K, "op3_url_filter": urlfilter.ORACLE, "op8_warc": warc.ORACLE,
+            "op11_spelling": spelling.ORACLE, "op12_conversation_trie": convtrie.ORACLE}
