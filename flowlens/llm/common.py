@@ -20,23 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def store(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return a frame that reads it."""
+def store(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and return a frame that reads it (``stored_at``: its folder)."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write if partition_by is None else df.write.partitionBy(partition_by)).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
 
 
-def discard(*frames: DataFrame) -> None:
-    """Delete the files of stored frames that no later job reads."""
+def discard(*frames: DataFrame, part: str | None = None) -> None:
+    """Delete the files (or those of the partition ``part``) of frames made by ``store`` that no later job reads."""
     for df in frames:
         spark = df.sparkSession
-        jvm = spark._jvm
-        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-        for folder in folders:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at if part is None else f"{df.stored_at}/{part}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

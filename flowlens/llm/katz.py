@@ -20,7 +20,7 @@ distinct words, and the text as numbers of them).  A block asks for each of its
 its keys, sorted, are cut by their leading bits into *buckets*, whose number follows the corpus so that a bucket
 holds about ``BLOCK`` keys.  A task holds one bucket: it sums the counts of all blocks, and answers each block.  One block of those
 with a pair answers for it when a context's sums are made, in buckets again.  The tables of counts and of contexts' weights are
-stored, partitioned by kind.  All buckets take every key of their range from every block once, so a frequent word or pair is one
+stored, partitioned by kind; what no later step reads is deleted.  All buckets take every key of their range from every block once, so a frequent word or pair is one
 key a block like any other, and no task grows with it.
 
 Words and pairs are known by 64-bit hashes (XXH64; among n different keys a collision has the chance n*n / 2**65).
@@ -32,18 +32,15 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import column, smaller, store
-from flowlens.session import ensure_checkpoint_dir
+from flowlens.llm.common import column, discard, smaller, store
 
-BLOCK = 2_000_000
+BLOCK = 1_500_000
 K = 5
 START, END = (np.uint64(xxhash.xxh64_intdigest(m)) for m in (b" start", b" end"))  # no word has a blank
 WORDS, PAIRS = 1, 2
@@ -114,6 +111,17 @@ def _unpacked(data: bytes, kind, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True), dtype=kind) if n else np.zeros(0, kind)
 
 
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte by byte: the leading bytes of near keys vanish."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return _packed(steps.view(np.uint8).reshape(len(keys), 8).T)
+
+
+def _unpacked_keys(data: bytes, n: int) -> np.ndarray:
+    steps = np.ascontiguousarray(_unpacked(data, np.uint8, 8 * n).reshape(8, n).T)
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+
+
 BLOCKS = "ids array<long>, lengths array<int>, learns array<boolean>, size long, words binary, codes binary"
 BLOCKS_ARROW = pa.schema([("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("learns", pa.list_(pa.bool_())),
                           ("size", pa.int64()), ("words", pa.binary()), ("codes", pa.binary())])
@@ -219,7 +227,7 @@ def _asks(buckets: int):
                 for b in range(buckets):
                     low, high = int(cuts[b]), int(cuts[b + 1])
                     if low < high:
-                        out.append((kind, b, row["block"], high - low, keys[low:high].tobytes(), _packed(counts[low:high].astype(np.uint32))))
+                        out.append((kind, b, row["block"], high - low, _packed_keys(keys[low:high]), _packed(counts[low:high].astype(np.uint32))))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), ASKED.types)], schema=ASKED)
 
@@ -237,7 +245,7 @@ def _answer(table: pa.Table) -> pa.Table:
     table = table.sort_by("block")
     kind, bucket = table["kind"][0].as_py(), table["bucket"][0].as_py()
     sizes = table["n"].to_pylist()
-    keys = np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in table["keys"].to_pylist()])
+    keys = np.concatenate([_unpacked_keys(k, n) for k, n in zip(table["keys"].to_pylist(), sizes)])
     counts = np.concatenate([_unpacked(c, np.uint32, n) for c, n in zip(table["counts"].to_pylist(), sizes)])
     unique, place = np.unique(keys, return_inverse=True)
     total = np.bincount(place, weights=counts, minlength=len(unique)).astype(np.int64)  # exact below 2**53
@@ -262,8 +270,9 @@ def _told(rows: list[dict], kind: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(counts), np.concatenate(owns)
 
 
-STATE = "kind string, bucket int, block long, n long, a binary, b binary, c binary, d binary"
-STATED = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), *((x, pa.binary()) for x in "abcd")])
+STATE = "kind string, bucket int, block long, n long, a binary, b binary, c binary, d binary, ids array<long>, lengths array<int>, learns array<boolean>"
+STATED = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), *((x, pa.binary()) for x in "abcd"),
+                    ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("learns", pa.list_(pa.bool_()))])
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
@@ -311,12 +320,12 @@ def _block_state(model: Model, buckets: int):
         for b in range(buckets):
             part = codes[int(cuts[b]):int(cuts[b + 1])]
             if len(part):
-                out.append(("context", b, row["block"], len(part), block.words[part].tobytes(), gone[part].tobytes(), after[part].tobytes(),
-                            _packed(np.packbits(wanted[part]))))
+                out.append(("context", b, row["block"], len(part), _packed_keys(block.words[part]), _packed(gone[part]), after[part].tobytes(),
+                            _packed(np.packbits(wanted[part])), None, None, None))
         waiting = np.stack([block.doc[waits], where[block.context[waits]], seen[waits]]).astype(np.int32)
         sums = np.stack([known, base, score])
         out.append(("sums", -1, row["block"], len(waits), sums.tobytes(), _packed(waiting),
-                    before_count(count, codes, wanted).tobytes(), None))
+                    before_count(count, codes, wanted).tobytes(), None, row["ids"], row["lengths"], row["learns"]))
         return _table(out, STATED)
 
     return run
@@ -327,22 +336,26 @@ def before_count(count: np.ndarray, codes: np.ndarray, wanted: np.ndarray) -> np
     return count[codes[wanted[codes]]].astype(np.int64)
 
 
+WEIGHTS = "bucket int, block long, n long, gone binary, after binary"
+WEIGHED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("gone", pa.binary()), ("after", pa.binary())])
+
+
 def _context_sums(table: pa.Table) -> pa.Table:
     """One bucket of contexts: sums over all blocks, given back to the blocks that wait for them."""
     table = table.sort_by("block")
     sizes = table["n"].to_pylist()
-    keys, gone, after = (np.concatenate([np.frombuffer(x, dtype=t) for x in table[c].to_pylist()])
-                         for c, t in (("a", np.uint64), ("b", np.float64), ("c", np.float64)))
+    keys = np.concatenate([_unpacked_keys(a, n) for a, n in zip(table["a"].to_pylist(), sizes)])
+    gone = np.concatenate([_unpacked(b, np.float64, n) for b, n in zip(table["b"].to_pylist(), sizes)])
+    after = np.concatenate([np.frombuffer(c, dtype=np.float64) for c in table["c"].to_pylist()])
     unique, place = np.unique(keys, return_inverse=True)
     gone, after = (np.bincount(place, weights=w, minlength=len(unique))[place] for w in (gone, after))
     out, at = [], 0
     for block, n, d in zip(table["block"].to_pylist(), sizes, table["d"].to_pylist()):
         want = np.unpackbits(_unpacked(d, np.uint8, -(-n // 8)), count=n).astype(bool)
         if want.any():
-            out.append(("weights", table["bucket"][0].as_py(), block, int(want.sum()), None, gone[at:at + n][want].tobytes(),
-                        after[at:at + n][want].tobytes(), None))
+            out.append((table["bucket"][0].as_py(), block, int(want.sum()), gone[at:at + n][want].tobytes(), after[at:at + n][want].tobytes()))
         at += n
-    return _table(out, STATED)
+    return _table(out, WEIGHED)
 
 
 SCORES = "doc_id long, learns boolean, n_tokens long, n_known long, base_score double, score double"
@@ -359,7 +372,7 @@ def _finished(model: Model):
         known, base, score = np.frombuffer(row["a"], dtype=np.float64).reshape(3, n)
         if row["n"]:
             doc, at, seen = _unpacked(row["b"], np.int32, 3 * row["n"]).reshape(3, -1)
-            gone, after = (np.concatenate([np.frombuffer(r[c], dtype=np.float64) for r in told]) for c in "bc")
+            gone, after = (np.concatenate([np.frombuffer(r[c], dtype=np.float64) for r in told]) for c in ("gone", "after"))
             whole, weight = model.weights(np.frombuffer(row["c"], dtype=np.int64), gone, after)
             more = np.where(seen == 1, -np.log10(whole)[at], np.log10(weight)[at])
             score = score + np.bincount(doc, weights=more, minlength=n)
@@ -391,11 +404,14 @@ def katz(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str
     answers = store(made.mapInArrow(_asks(buckets), ASKS).groupBy("kind", "bucket").applyInArrow(_answer, ANSWERS), "katz-counts")
     model = learnt(answers)
     told = answers.where("block >= 0").drop("stats").groupBy("block")
-    path = f"{ensure_checkpoint_dir(spark)}/katz-state-{uuid.uuid4().hex}"
-    made.groupBy("block").cogroup(told).applyInArrow(_block_state(model, buckets), STATE).write.partitionBy("kind").parquet(path)
-    state = spark.read.schema(STATE).parquet(path)
-    weights = state.where("kind = 'context'").groupBy("bucket").applyInArrow(_context_sums, STATE)
-    sums = state.where("kind = 'sums'").select("block", "n", "a", "b", "c").join(made.select("block", "ids", "lengths", "learns"), "block")
+    state = made.groupBy("block").cogroup(told).applyInArrow(_block_state(model, buckets), STATE)
+    state = store(state, "katz-state", partition_by="kind")
+    discard(made, answers)
+    # the kind is a folder: only its own files are read
+    contexts, sums = (state.where(F.col("kind") == kind).drop("kind") for kind in ("context", "sums"))
+    weights = store(contexts.select("bucket", "block", "n", "a", "b", "c", "d").groupBy("bucket").applyInArrow(_context_sums, WEIGHTS), "katz-weights")
+    discard(state, part="kind=context")
+    sums = sums.select("block", "n", "a", "b", "c", "ids", "lengths", "learns")
     rows = sums.groupBy("block").cogroup(weights.groupBy("block")).applyInArrow(_finished(model), SCORES)
     return rows.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
