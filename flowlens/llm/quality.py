@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +52,17 @@ CACHE = 200_000
 PIECE = 1 << 17  # tokens summed at a time
 
 
-def index_vectors() -> np.ndarray:
-    """The fixed ternary vectors: NONZERO entries of each row are +1 or -1."""
+def index_entries() -> tuple[np.ndarray, np.ndarray]:
+    """The fixed ternary vectors: the places of the NONZERO entries of each row, and their signs."""
     rng = np.random.Generator(np.random.PCG64(SEED))
-    out = np.zeros((BUCKETS, DIM), dtype=np.int8)
     places = np.argsort(rng.random((BUCKETS, DIM)), axis=1)[:, :NONZERO]
-    signs = rng.integers(0, 2, (BUCKETS, NONZERO), dtype=np.int8) * 2 - 1
+    return places, rng.integers(0, 2, (BUCKETS, NONZERO), dtype=np.int8) * 2 - 1
+
+
+def index_vectors() -> np.ndarray:
+    """The same as a table."""
+    places, signs = index_entries()
+    out = np.zeros((BUCKETS, DIM), dtype=np.int8)
     np.put_along_axis(out, places, signs, axis=1)
     return out
 
@@ -66,56 +72,58 @@ def _bucket(token: str) -> int:
 
 
 REPEAT, CAPITALS = _bucket("\x00repeat"), _bucket("\x00capitals")
-_KNOWN: dict[str, tuple[int, ...]] = {}
 
 
-def _ids(token: str) -> tuple[int, ...]:
-    got = (_bucket(token), CAPITALS) if len(token) > 1 and token.isupper() else (_bucket(token),)
-    if len(_KNOWN) >= CACHE:
-        _KNOWN.clear()
-    _KNOWN[token] = got
-    return got
+class _Known(dict):
+    """The bucket of each token, doubled, plus one for an all-capitals word."""
+
+    def __missing__(self, token: str) -> int:
+        self[token] = code = 2 * _bucket(token) + (len(token) > 1 and token.isupper())
+        return code
+
+
+_KNOWN = _Known()
 
 
 def buckets(text: str | None) -> np.ndarray:
     """The bucket of every token of the whole text, marks included, in order."""
-    out: list[int] = []
-    get, last = _KNOWN.get, ""
-    for token in TOKEN.findall(text or ""):
-        out += get(token) or _ids(token)
-        if token == last:
-            out.append(REPEAT)
-        last = token
-    return np.array(out, dtype=np.int32)
+    tokens = TOKEN.findall(text or "")
+    if len(_KNOWN) >= CACHE:
+        _KNOWN.clear()
+    codes = np.fromiter(map(_KNOWN.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+    capitals = (codes & 1).astype(bool)
+    again = np.zeros(len(tokens), dtype=bool)
+    again[1:] = np.fromiter(map(eq, tokens[1:], tokens), dtype=bool, count=max(0, len(tokens) - 1))
+    if not capitals.any() and not again.any():
+        return codes >> 1
+    place = np.cumsum(1 + capitals + again) - again - capitals - 1
+    out = np.empty(len(tokens) + int(capitals.sum() + again.sum()), dtype=np.int32)
+    out[place] = codes >> 1
+    out[place[capitals] + 1] = CAPITALS
+    out[(place + capitals + 1)[again]] = REPEAT
+    return out
 
 
 # ----------------------------------------------------------- word vectors
 def _sums(batches):
-    index = index_vectors()
+    places, signs = index_entries()
+    steps = (2 * places + (signs < 0)).astype(np.int32)  # a place's cells for +1 and -1
     total = np.zeros((BUCKETS, DIM + 1), dtype=np.int64)
 
     def add(ids: np.ndarray, borrowed: list[range]) -> None:
-        if not len(ids):
-            return
         real = ids >= 0
-        vectors = np.where(real[:, None], index[ids], 0).astype(np.int8)
-        near = np.zeros((len(ids), DIM + 1), dtype=np.int8)
-        near[:, DIM] = 1
+        own = real.copy()
+        for r in borrowed:
+            own[r.start:r.stop] = False
+        total[:, DIM] += np.bincount(ids[own], minlength=BUCKETS)
+        cells = []
         for d in range(1, WINDOW + 1):
-            near[d:, :DIM] += vectors[:-d]
-            near[:-d, :DIM] += vectors[d:]
-        order = np.argsort(ids, kind="stable")
-        order = order[np.count_nonzero(~real):]
-        if borrowed:
-            own = np.ones(len(ids), dtype=bool)
-            for r in borrowed:
-                own[r.start:r.stop] = False
-            order = order[own[order]]
-        if not len(order):
-            return
-        sorted_ids = ids[order]
-        starts = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
-        total[sorted_ids[starts]] += np.add.reduceat(near[order], starts, axis=0, dtype=np.int64)
+            for centre, other in ((slice(d, None), slice(None, -d)), (slice(None, -d), slice(d, None))):
+                both = own[centre] & real[other]
+                near = ids[other][both]
+                cells.append(((2 * DIM * ids[centre][both])[:, None] + steps[near]).ravel())
+        sums = np.bincount(np.concatenate(cells), minlength=2 * BUCKETS * DIM).reshape(BUCKETS, DIM, 2)
+        total[:, :DIM] += sums[:, :, 0] - sums[:, :, 1]
 
     gap = np.full(WINDOW, -1, dtype=np.int32)  # windows do not cross documents
     for batch in smaller(batches):
@@ -171,25 +179,32 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 FEATURES = 2 * DIM + 2
 
 
-def pool(text: str | None, vectors: np.ndarray) -> np.ndarray:
-    """Mean and deviation of the weighted word vectors, mean weight, and length of one document."""
+def pool(text: str | None, vectors: np.ndarray, squares: np.ndarray | None = None) -> np.ndarray:
+    """Mean and deviation of the weighted word vectors, mean weight, and length of one document.
+
+    ``squares``: those of ``vectors``, if the caller pools many texts.
+    """
     ids = buckets(text)
     out = np.zeros(FEATURES, dtype=np.float32)
     if not len(ids):
         return out
-    total, squares = np.zeros(DIM + 1), np.zeros(DIM)
-    for at in range(0, len(ids), 1 << 14):
-        got = vectors[ids[at:at + (1 << 14)]].astype(np.float64)
-        total += got.sum(axis=0)
-        squares += (got[:, :DIM] ** 2).sum(axis=0)
-    n = len(ids)
-    mean = total / n
+    unique, counts = np.unique(ids, return_counts=True)
+    counts, n = counts.astype(np.float64), len(ids)
+    mean = counts @ vectors[unique] / n
+    square = counts @ (vectors[unique, :DIM].astype(np.float64) ** 2 if squares is None else squares[unique]) / n
     out[:DIM], out[DIM] = mean[:DIM], mean[DIM]
-    out[DIM + 1:2 * DIM + 1] = np.sqrt(np.maximum(squares / n - mean[:DIM] ** 2, 0))
+    out[DIM + 1:2 * DIM + 1] = np.sqrt(np.maximum(square - mean[:DIM] ** 2, 0))
     out[-1] = np.log1p(n) / 10
     return out
 
 
+def pooler(vectors: np.ndarray):
+    """``pool`` with the table and its squares at hand in 64 bits (17 MB)."""
+    wide = vectors.astype(np.float64)
+    squares = wide[:, :DIM] ** 2
+    return lambda text: pool(text, wide, squares)
+
+
 # ---------------------------------------------------------------- network
 @dataclass
 class Network:
@@ -282,8 +297,9 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def pooled(batches):
+        pooled_ = pooler(shared.value)
         for batch in smaller(batches):
-            got = [pool(t, shared.value).tobytes() for t in batch.column(1).to_pylist()]
+            got = [pooled_(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary()), batch.column(2)], names=["doc_id", "x", "y"])
 
     taught = lessons(docs, labels, label_col, sample)
@@ -303,8 +319,9 @@ def scored(docs: DataFrame, vectors: np.ndarray, net: Network, score_col: str =
 
     def run(batches):
         table, model = shared.value
+        pooled = pooler(table)
         for batch in smaller(batches):
-            x = np.array([pool(t, table) for t in batch.column(at).to_pylist()], dtype=np.float32).reshape(batch.num_rows, FEATURES)
+            x = np.array([pooled(t) for t in batch.column(at).to_pylist()], dtype=np.float32).reshape(batch.num_rows, FEATURES)
             score = pa.array(model.scores(x.astype(np.float64)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, score_col])
 

@@ -362,27 +362,30 @@ def merge_spans(spans) -> list[tuple[int, int]]:
     return out
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
 def _keep(batches):
     for batch in smaller(batches):
         rows = []
         for doc_id, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            data, at, kept = text.encode("utf-8", "surrogatepass"), 0, hashlib.sha256()
+            data, at, kept = text.encode("utf-8", "surrogatepass"), 0, []
             merged = merge_spans((s["a"], s["b"]) for s in spans or ())
             for a, b in merged:
-                kept.update(data[at:a])
+                kept.append(data[at:a])
                 at = b
-            kept.update(data[at:])
-            rows.append((doc_id, len(data), sum(b - a for a, b in merged), len(merged), kept.hexdigest()))
-        kinds = [pa.int64()] * 4 + [pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)],
+            left = b"".join([*kept, data[at:]])
+            rows.append((doc_id, len(data), sum(b - a for a, b in merged), len(merged), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "replace")))
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)],
                                          names=[c.split()[0] for c in RESULT.split(", ")])
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, seed: int = SEED, group: int = GROUP) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of every row.
+
+    ``kept`` is the text that is left (a character of which a span's end took some bytes shows as U+FFFD; the hash is of the bytes).
+    """
     src = docs.select(column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
     src = src.select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("did"), F.xxhash64("text").alias("hash"), "text")
     gone = removed_spans(src.select("did", "hash", "text"), length, seed, group)
