@@ -24,13 +24,13 @@ OTHER = "OTHER"
 
 
 def long_counts(df: DataFrame, dim: str, unit: str = "hour", value_col: str = COUNT,
-                time_col: str = TS, where=None) -> DataFrame:
-    """(TS bucket, dim, COUNT) rows, over all values of ``dim``."""
+                time_col: str = TS, where=None, keys=()) -> DataFrame:
+    """(TS bucket, dim, COUNT) rows, over all values of ``dim``; ``keys``: further columns to count apart by."""
     if where is not None:
         df = df.where(where)
     return (
-        df.select(bucket(df, time_col, unit).alias(TS), dim, value_col)
-        .groupBy(TS, dim)
+        df.select(bucket(df, time_col, unit).alias(TS), dim, value_col, *keys)
+        .groupBy(TS, dim, *keys)
         .agg(F.sum(value_col).alias(COUNT))
     )
 
@@ -46,8 +46,8 @@ def top_values(long: DataFrame, dim: str, n: int) -> list:
     return [r[dim] for r in rows]
 
 
-def wide(long: DataFrame, dim: str, values: list) -> DataFrame:
-    """One row per bucket of ``long``: a column for each of ``values`` and OTHER."""
+def wide(long: DataFrame, dim: str, values: list, keys=()) -> DataFrame:
+    """One row per bucket (and ``keys``) of ``long``: a column for each of ``values`` and OTHER."""
     def is_(v):
         return F.col(dim).isNull() if v is None else F.col(dim) == F.lit(v)
 
@@ -55,7 +55,7 @@ def wide(long: DataFrame, dim: str, values: list) -> DataFrame:
     rest = F.lit(True)
     for v in values:
         rest = rest & ~F.coalesce(is_(v), F.lit(False))
-    return long.groupBy(TS).agg(*named, F.sum(F.when(rest, F.col(COUNT))).alias(OTHER))
+    return long.groupBy(TS, *keys).agg(*named, F.sum(F.when(rest, F.col(COUNT))).alias(OTHER))
 
 
 def pivot_counts(df: DataFrame, dim: str, unit: str = "hour", values: list | None = None, most: int = 100,

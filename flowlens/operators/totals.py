@@ -22,6 +22,7 @@ from flowlens.schemas import (
     MEASURES,
     ORIG_P,
     RESP_H,
+    RESP_P,
     TIPO,
     TOTALS,
     TOTALS_BY_TIPO,
@@ -108,6 +109,28 @@ def export_order(spec: TotalSpec) -> list[Column]:
     return [F.col(k).asc_nulls_first() for k in keys]
 
 
+def export_keys(specs=TOTALS) -> dict[str, Column]:
+    """Columns that sort rows of several totals at once: within each TIPO in that total's export order.
+
+    The i-th key of a total is its i-th sort column; texts and numbers have a column each, so that they keep their own order.
+    """
+    orders = {s.tipo: list(s.export_sort) + [d for d in s.dims if d not in s.export_sort] for s in specs}
+    numbers = {ORIG_P, RESP_P}
+    out = {}
+    for i in range(max(map(len, orders.values()))):
+        for kind, wanted in (("time", lambda c: c == TS), ("number", numbers.__contains__), ("text", lambda c: c != TS and c not in numbers)):
+            by_column: dict[str, list[str]] = {}
+            for tipo, order in orders.items():
+                if i < len(order) and wanted(order[i]):
+                    by_column.setdefault(order[i], []).append(tipo)
+            if by_column:
+                key = F
+                for column, tipos in by_column.items():
+                    key = key.when(F.col(TIPO).isin(tipos), F.col(column))
+                out[f"_{kind}{i}"] = key
+    return out
+
+
 def _totals_two_level(conn: DataFrame, specs, unit: str, heavy=(ORIG_P,)) -> DataFrame:
     """Grouping sets in two levels, split on a high-cardinality dimension.
 

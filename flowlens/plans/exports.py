@@ -17,7 +17,7 @@ from flowlens.operators import totals as TOT
 from flowlens.operators import web as WEB
 from flowlens.schemas import COUNT, RESP_H, TIPO, TOTALS, TOTALS_BY_TIPO, TS
 from flowlens.session import discard, reliable_checkpoint
-from flowlens.sinks.files import write_csv, write_json
+from flowlens.sinks.files import write_csv, write_parts
 from flowlens.sources import scans
 
 
@@ -45,16 +45,12 @@ def export_www(log: DataFrame, out_dir: str, since=None, single_file=False) -> l
 
 
 def export_totals(totals: DataFrame, out_dir: str, tipos=None, single_file=False) -> list[str]:
-    """One CSV per TIPO, in that total's sort order.
-
-    ``totals`` is typically the LOG_TOTAIS table partitioned by TIPO, so
-    each export reads only its own partition.
-    """
-    out = []
-    for spec in TOTALS if tipos is None else [TOTALS_BY_TIPO[t] for t in tipos]:
-        df = totals.where(F.col(TIPO) == spec.tipo)
-        out.append(write_csv(df, _p(out_dir, spec.tipo), TOT.export_order(spec), single_file))
-    return out
+    """X3 with T1: a CSV folder per TIPO, each in that total's sort order, from one sort and one write of all of them."""
+    specs = TOTALS if tipos is None else [TOTALS_BY_TIPO[t] for t in tipos]
+    names = [s.tipo for s in specs]
+    keys = TOT.export_keys(specs)
+    rows = totals.where(F.col(TIPO).isin(names)).withColumns(keys)
+    return write_parts(rows, out_dir, TIPO, str, [F.col(k).asc_nulls_first() for k in keys], single_file=single_file, drop=tuple(keys), expected=names)
 
 
 def _labelled(pivoted: DataFrame, unit: str) -> DataFrame:
@@ -95,19 +91,34 @@ def export_totals_pivots(totals: DataFrame, out_dir: str, most: int = 100) -> li
     return out
 
 
-def export_kmeans(results: DataFrame, out_dir: str, prefix: str, column: str, values=None,
-                  most: int = 100, single_file: bool = False, timeline: str | None = None) -> list[str]:
-    """X4 + V2 + V3: rows of each value as JSON, per-minute and per-hour source pivots, and all sources' timeline.
+def export_pivots_by(df: DataFrame, out_dir: str, name, by: str, dim: str, units=("minute", "hour"), most: int = 100,
+                     single_file=False) -> list[str]:
+    """X5 for every value of ``by`` at once: per unit one aggregate, one write of all long forms and one of all pivots.
 
-    ``values`` (default): every value of ``column`` in the results, a row per value.
+    The pivots share their columns: the ``most`` busiest of all values together, and OTHER.
     """
     out = []
-    if values is None:
-        values = sorted(r[0] for r in results.select(column).where(F.col(column).isNotNull()).distinct().collect())
-    for v in values:
-        rows = results.where(F.col(column) == v)
-        out.append(write_json(rows, _p(out_dir, f"{prefix}{v}"), [F.col(TS)], single_file))
-        out += export_pivot(rows, out_dir, f"{prefix}{v}", "ID_ORIG_H", units=("minute", "hour"), most=most)
+    for unit in units:
+        long = reliable_checkpoint(PV.long_counts(df, dim, unit, keys=(by,)))
+        suffix = {"minute": "M", "hour": "H", "day": "D"}[unit]
+        for rows, kind, order in ((long, "LONG", ["_bucket", dim]), (PV.wide(long, dim, PV.top_values(long, dim, most), keys=(by,)), "PIVOT", ["_bucket"])):
+            out += write_parts(_labelled(rows, unit), out_dir, by, lambda v, k=kind: f"{name(v)}_{k}_{suffix}",
+                               [F.col(c) for c in order], single_file=single_file, drop=("_bucket", by))
+        discard(long)
+    return out
+
+
+def export_kmeans(results: DataFrame, out_dir: str, prefix: str, column: str,
+                  most: int = 100, single_file: bool = False, timeline: str | None = None) -> list[str]:
+    """X4 + V2 + V3: rows of each value of ``column`` as JSON, per-minute and per-hour source pivots, and all sources' timeline.
+
+    The number of jobs does not grow with the number of values.
+    """
+    def name(value: str) -> str:
+        return f"{prefix}{value}"
+
+    out = write_parts(results, out_dir, column, name, [F.col(TS)], fmt="json", single_file=single_file)
+    out += export_pivots_by(results, out_dir, name, column, "ID_ORIG_H", most=most, single_file=single_file)
     if timeline:
         out += export_pivot(results, out_dir, timeline, "ID_ORIG_H", units=("minute",), most=most)
     return out

@@ -30,7 +30,7 @@ from flowlens.plans import exports as X
 from flowlens.schemas import DDOS_SERVICES, SCAN_PROTOS
 from flowlens.session import discard, path_exists, reliable_checkpoint
 from flowlens.sinks.files import write_csv
-from flowlens.sinks.tables import append_run, read_results, run_id_of, stamp_run, write_results
+from flowlens.sinks.tables import ResultTable, append_run, run_id_of, stamp_run, write_results
 from flowlens.sources import scans
 
 LOG_TOTAIS = "LOG_TOTAIS"
@@ -91,9 +91,9 @@ def job_scan(log: DataFrame, tables_dir: str, protos=SCAN_PROTOS, since=None, ru
                        row_id, metrics)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def _stored(spark: SparkSession, path: str) -> ResultTable | None:
     if path_exists(spark, path):
-        return read_results(spark, path)
+        return ResultTable(spark, path)
     _log.warning("no table at %s: its exports are skipped", path)
     return None
 

@@ -356,3 +356,11 @@ def scan_ports_sql(value: str) -> str:
         f"SELECT {keys}, date_trunc('minute', TS) AS TS, {MINUTE_MEASURES_SQL}, "
         f"COUNT(DISTINCT ID_RESP_P) AS DISTINCT_RESP_P FROM conn WHERE PROTO = '{value}' "
         f"GROUP BY {keys}, date_trunc('minute', TS)")
+
+
+def stored_runs_sql() -> str:
+    """Kinds of the two stored runs; rows of those of the newer one."""
+    kinds = ", ".join(f"('{t.tipo}')" for t in TOTALS)
+    earlier, later = (f"epoch_ms(TIMESTAMP '{r}')" for r in (EARLIER_RUN, RUN_TS))
+    return (f"WITH counted AS (SELECT TIPO, CAST(COUNT(*) AS BIGINT) AS N FROM ({totals_all_sql()}) t GROUP BY TIPO), kinds(TIPO) AS (VALUES {kinds}) "
+            f"SELECT TIPO, {later} AS RUN_ID, N FROM kinds LEFT JOIN counted USING (TIPO) UNION ALL SELECT TIPO, {earlier}, NULL FROM kinds")

@@ -29,7 +29,7 @@ from flowlens.functions.time import label
 from flowlens.plans import jobs
 from flowlens.schemas import DDOS_KEYS, DDOS_SERVICES, RECORD_COLUMNS, SCAN_KEYS, SCAN_PROTOS, TOTALS, TOTALS_COLUMNS
 from flowlens.session import configure, ensure_checkpoint_dir
-from flowlens.sinks.tables import RUN_COLUMNS, read_results, stamp_run
+from flowlens.sinks.tables import RUN_COLUMNS, ResultTable, run_id_of, stamp_run, write_results
 from flowlens.sources import fixtures, scans
 
 SINCE = fixtures.DEFAULT_SINCE
@@ -72,17 +72,29 @@ def tables(spark: SparkSession, sf_dir: str) -> fixtures.Tables:
     return _once(spark, ("tables", sf_dir), lambda: fixtures.load(configure(spark), sf_dir))
 
 
-def stored(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+LOG_UNCOUNTED = "LOG_UNCOUNTED"
+
+
+def _uncounted(log: DataFrame, folder: str, since, run_ts) -> None:
+    """A run whose even counts are blank, of two kinds."""
+    c = scans.scan_conn(log, since)
+    both = TOT.totals(c, "RESP_H").unionByName(TOT.totals(c, "PROTO"))
+    blank = F.when(F.col("COUNT") % 2 != 0, F.col("COUNT")).alias("COUNT")
+    rows = stamp_run(both.select(*(blank if name == "COUNT" else name for name in TOTALS_COLUMNS)), run_ts)
+    write_results(rows, f"{folder}/{LOG_UNCOUNTED}", replaces={"RUN_ID": run_id_of(run_ts)})
+
+
+def stored(spark: SparkSession, sf_dir: str, table: str) -> ResultTable:
     """A result table in the shared folder, written by its job for two runs: all rows, then those after SINCE."""
-    job, options = {jobs.LOG_TOTAIS: (jobs.job_totals, {}), jobs.LOG_KMEANS_DDOS: (jobs.job_ddos, {})}[table]
+    job = {jobs.LOG_TOTAIS: jobs.job_totals, jobs.LOG_KMEANS_DDOS: jobs.job_ddos, LOG_UNCOUNTED: _uncounted}[table]
 
     def build():
         folder = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
         for run_ts, since in ((O.EARLIER_RUN, None), (O.RUN_TS, SINCE)):
-            job(tables(spark, sf_dir).log, folder, since=since, run_ts=run_ts, **options)
+            job(tables(spark, sf_dir).log, folder, since=since, run_ts=run_ts)
         return f"{folder}/{table}"
 
-    return read_results(spark, _once(spark, (table, sf_dir), build))
+    return ResultTable(spark, _once(spark, (table, sf_dir), build))
 
 
 def conn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -397,11 +409,17 @@ def _scan_kmeans_log(spark, sf_dir):
 
 @register("scan_results_uncounted", O.uncounted_sql())
 def _scan_results_uncounted(spark, sf_dir):
-    """Result rows without a count: here the even counts are blanked, of one kind of two."""
-    blank = F.when(F.col("COUNT") % 2 != 0, F.col("COUNT")).alias("COUNT")
-    both = _resp_h_totals(spark, sf_dir).unionByName(TOT.totals(conn(spark, sf_dir), "PROTO"))
-    rows = stamp_run(both.select(*(blank if c == "COUNT" else c for c in TOTALS_COLUMNS)), O.RUN_TS)
-    return scans.scan_results_uncounted(rows, "RESP_H", since=O.TODAY).drop(*RUN_COLUMNS)
+    """Result rows without a count: here the even counts are blank, of one kind of two and one run of two."""
+    table = stored(spark, sf_dir, LOG_UNCOUNTED)
+    return scans.scan_results_uncounted(table, "RESP_H", since=O.EARLIER_RUN).drop(*RUN_COLUMNS)
+
+
+@register("stored_runs", O.stored_runs_sql())
+def _stored_runs(spark, sf_dir):
+    """The runs and kinds of a table by its manifests, and the rows that reading each kind of the newest run gives."""
+    table = stored(spark, sf_dir, jobs.LOG_TOTAIS)
+    counted = table.read(run_id="latest").groupBy("TIPO", "RUN_ID").agg(F.count("*").alias("N"))
+    return table.runs(since=O.TODAY).join(counted, ["TIPO", "RUN_ID"], "left")
 
 
 def _export_totals(spec):

@@ -8,7 +8,11 @@ meant for small, already-aggregated exports only.
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _prepare(df: DataFrame, order, single_file: bool, drop=()) -> DataFrame:
@@ -38,3 +42,33 @@ def write_json(df: DataFrame, path: str, order=None, single_file: bool = False,
     """K2: JSON lines; replaces ``path``."""
     _prepare(df, order, single_file, drop).write.mode(mode).json(path)
     return path
+
+
+def write_parts(df: DataFrame, out_dir: str, by: str, name, order, fmt: str = "csv", single_file: bool = False, drop=(),
+                expected=()) -> list[str]:
+    """One export folder for each value of ``by``, all in one write job; returns their paths.
+
+    One sort by ranges of (``by``, ``order``), written with a folder a value: a small value is one file, a large one
+    several, in order.  The job writes to a folder beside the exports; each value's folder is then
+    moved to ``out_dir``/``name(value)``, where it replaces an older one.  ``name`` takes the value as text.  Exports of
+    ``expected`` values that get no row are removed.  Rows without a value are not exported; the column stays in them.
+    """
+    spark = df.sparkSession
+    folder = "_part"
+    rows = df.where(F.col(by).isNotNull()).withColumn(folder, F.col(by).cast("string"))
+    keys = [F.col(folder), *order]
+    rows = (rows.repartition(folder) if single_file else rows.repartitionByRange(*keys)).sortWithinPartitions(*keys)
+    staged = f"{out_dir.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    rows.drop(*drop).write.partitionBy(folder).option("header", True).format(fmt).save(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {unquote(s.getPath().getName().split("=", 1)[1]): s.getPath() for s in fs.globStatus(path(f"{staged}/{folder}=*")) or []}
+    out = []
+    for value in sorted({*found, *expected}):
+        target = path(f"{out_dir.rstrip('/')}/{name(value)}")
+        fs.delete(target, True)
+        if value in found:
+            fs.rename(found[value], target)
+            out.append(target.toString())
+    fs.delete(path(staged), True)
+    return out

@@ -1,8 +1,8 @@
 """S2-S6 scans and P1-P3 record views.
 
 Every scan is a filter on a lazy DataFrame, so Catalyst pushes the
-predicates into the Parquet reader (and prunes ``TIPO``/``RUN_ID``
-partitions when the table is partitioned that way).  Nothing is cached
+predicates into the Parquet reader.  Scans of a ``ResultTable`` resolve kinds and runs from its manifests
+before any file is listed, so only the wanted folders are scanned.  Nothing is cached
 here: the caller decides, and column pruning keeps working.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.time import since_literal
 from flowlens.schemas import COUNT, KIND_CONN, RECORD_COLUMNS, TIPO, TS, TS_CODE, UID
+from flowlens.sinks.tables import ResultTable
 
 
 def scan_since(log: DataFrame, since) -> DataFrame:
@@ -31,29 +32,34 @@ def scan_conn(log: DataFrame, since=None) -> DataFrame:
     return scan_kind(log, KIND_CONN, since)
 
 
-def scan_results_uncounted(results: DataFrame, tipo: str, since=None) -> DataFrame:
+def scan_results_uncounted(results: DataFrame | ResultTable, tipo: str, since=None) -> DataFrame:
     """Result rows of one kind that carry no ``COUNT``."""
-    return scan_kind(results, tipo, since).where(F.col(COUNT).isNull())
+    rows = results.read(tipo, since) if isinstance(results, ResultTable) else scan_kind(results, tipo, since)
+    return rows.where(F.col(COUNT).isNull())
 
 
 def _run_filter(df: DataFrame, run_id) -> DataFrame:
     if run_id is None:
         return df
     if run_id == "latest":
-        # The newest run of each kind: a row per TIPO joined back (no driver round trip).
+        # A frame has no manifests: a row per TIPO joined back.
         latest = df.groupBy(TIPO).agg(F.max("RUN_ID").alias("RUN_ID"))
         return df.join(latest, [TIPO, "RUN_ID"], "left_semi")
     return df.where(F.col("RUN_ID") == F.lit(run_id))
 
 
-def scan_totals(totals: DataFrame, since=None, tipo: str | None = "RESP_H", run_id=None) -> DataFrame:
+def scan_totals(totals: DataFrame | ResultTable, since=None, tipo: str | None = "RESP_H", run_id=None) -> DataFrame:
     """Stored totals newer than ``since``, one TIPO (``None`` = all), one run."""
+    if isinstance(totals, ResultTable):
+        return totals.read(tipo, since, run_id)
     df = totals if tipo is None else totals.where(F.col(TIPO) == F.lit(tipo))
     return _run_filter(scan_since(df, since), run_id)
 
 
-def scan_kmeans_log(results: DataFrame, since=None, run_id=None) -> DataFrame:
+def scan_kmeans_log(results: DataFrame | ResultTable, since=None, run_id=None) -> DataFrame:
     """Stored clustering results newer than ``since`` (optionally one run)."""
+    if isinstance(results, ResultTable):
+        return results.read(None, since, run_id)
     return _run_filter(scan_since(results, since), run_id)
 
 
