@@ -17,7 +17,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -46,6 +46,31 @@ def _empty_result(df: DataFrame, k: int) -> DataFrame:
     ).limit(0)
 
 
+def fit(data: DataFrame, features=(COUNT,), k: int = 2, seed: int = DEFAULT_SEED, max_iter: int = 20,
+        tol: float = 1e-4) -> PipelineModel | None:
+    """The fitted pipeline (assembler and k-means), or None for no row.  ``data`` has no null feature and is read some 20 times."""
+    if data.isEmpty():
+        return None
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
+    return Pipeline(stages=[assembler, KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=FEATURES)]).fit(data)
+
+
+def assign(data: DataFrame, model: PipelineModel | None, k: int = 2) -> DataFrame:
+    """M4: every row of ``data`` labelled by ``model``, fitted on these rows or on earlier ones; see ``kmeans`` for the columns."""
+    if model is None:
+        return _empty_result(data, k)
+    centres = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]  # k values, bounded
+    norms = [sum(x * x for x in c) ** 0.5 for c in centres]
+    high = max(range(len(centres)), key=lambda i: norms[i])
+    features = model.stages[0].getInputCols()
+    out = model.transform(data.dropna(subset=features)).drop(FEATURES)
+    return out.withColumns({
+        "CENTROID": F.array(*[F.lit(_centre_text(c)) for c in centres]),
+        "CENTROIDS": F.array(*[F.array(*[F.lit(x).cast("double") for x in c]) for c in centres]),
+        "IS_HIGH": (F.col("prediction") == F.lit(high)) if len(centres) > 1 else F.lit(False),
+    })
+
+
 def kmeans(
     df: DataFrame,
     features=(COUNT,),
@@ -54,6 +79,7 @@ def kmeans(
     max_iter: int = 20,
     checkpoint: bool = True,
     dropna: bool = True,
+    tol: float = 1e-4,
 ) -> DataFrame:
     """Fit k-means on ``features`` and label every row.
 
@@ -64,23 +90,10 @@ def kmeans(
     an empty frame with this schema; fewer distinct points than ``k``
     gives fewer centres.
     """
-    features = list(features)
-    data = df.dropna(subset=features) if dropna else df
+    data = df.dropna(subset=list(features)) if dropna else df
     if checkpoint:
         data = reliable_checkpoint(data)
-    if data.isEmpty():
-        return _empty_result(data, k)
-    assembler = VectorAssembler(inputCols=features, outputCol=FEATURES)
-    model = Pipeline(stages=[assembler, KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES)]).fit(data)
-    centres = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]  # k values, bounded
-    norms = [sum(x * x for x in c) ** 0.5 for c in centres]
-    high = max(range(len(centres)), key=lambda i: norms[i])
-    out = model.transform(data).drop(FEATURES)
-    return out.withColumns({
-        "CENTROID": F.array(*[F.lit(_centre_text(c)) for c in centres]),
-        "CENTROIDS": F.array(*[F.array(*[F.lit(x).cast("double") for x in c]) for c in centres]),
-        "IS_HIGH": (F.col("prediction") == F.lit(high)) if len(centres) > 1 else F.lit(False),
-    })
+    return assign(data, fit(data, features, k, seed, max_iter, tol), k)
 
 
 def kmeans_multi(df: DataFrame, features=("DURATION", "ORIG_PKTS", "ORIG_BYTES"), **kw) -> DataFrame:
@@ -88,6 +101,14 @@ def kmeans_multi(df: DataFrame, features=("DURATION", "ORIG_PKTS", "ORIG_BYTES")
     return kmeans(df, features=features, dropna=True, **kw)
 
 
+def centre_means(assigned: DataFrame, features) -> DataFrame:
+    """Per cluster: ``prediction``, N, its centre and the mean of its rows.  At a fixed point of Lloyd's method the two are
+    equal (``kmeans`` with ``tol=0`` and enough rounds ends there)."""
+    own = F.element_at("CENTROIDS", F.col("prediction").cast("int") + 1)
+    means = F.array(*(F.avg(F.col(f).cast("double")) for f in features))
+    return assigned.groupBy("prediction").agg(F.count(F.lit(1)).alias("N"), F.any_value(own).alias("CENTRE"), means.alias("MEAN"))
+
+
 def kmeans_cost(assigned: DataFrame, features=(COUNT,), prediction: str = "prediction") -> DataFrame:
     """M3: one row, WSSSE = sum of squared distances to the model's own centres, carried in ``CENTROIDS``."""
     own = F.element_at(F.col("CENTROIDS"), F.col(prediction).cast("int") + 1)

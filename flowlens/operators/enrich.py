@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.time import ntz_literal, parse_stamp, since_literal
 from flowlens.session import reliable_checkpoint
+from flowlens.sinks.quota import QuotaBook
 from flowlens.schemas import COUNT, IP, IP_ATTRIBUTES, IP_INFO_TYPES, RESP_H, TS_CODE
 
 DAILY_QUOTA = 1000  # calls of an external service a day (function form only)
@@ -190,14 +191,15 @@ def cache_rows(new_lookups: DataFrame) -> DataFrame:
 
 def enrich(data: DataFrame, ip_info: DataFrame, field: str = RESP_H, directory: DataFrame | None = None,
            today=None, limit: int = DAILY_QUOTA, daily_quota: int = DAILY_QUOTA,
-           candidates: DataFrame | None = None, run_ts=None, make_client=None):
+           candidates: DataFrame | None = None, run_ts=None, make_client=None, book: QuotaBook | None = None):
     """Attach IP attributes to ``data``, looking up what the cache lacks.
 
     Returns ``(enriched, new_cache_rows)``; ``new_cache_rows`` is None when
     no lookup ran.  With ``directory`` every host that the cache lacks is joined with
     it: no quota and no limit; the hosts found are the new rows.  With
     ``make_client`` an external service is asked, within ``limit`` and the day's quota,
-    for ``candidates`` (default ``data``), busiest first; every attempt is a new row.
+    for ``candidates`` (default ``data``), busiest first; every attempt is a new row.  With ``book`` the
+    run's calls are reserved before they are made, so that overlapping runs keep to the quota together.
 
     The cache is reduced to the hosts of ``data`` before its newest rows are
     picked, and hits and misses come from one left join with it.
@@ -214,6 +216,8 @@ def enrich(data: DataFrame, ip_info: DataFrame, field: str = RESP_H, directory:
     if limit <= 0 or make_client is None:
         return attach_ip_info(data, latest, field, unique=True), None
     free = lookup_quota(ip_info, today, daily_quota).first()["FREE"]  # one number
+    if book is not None:
+        free = book.reserve(today, str(run_ts), min(limit, free))
     batch = lookup_batch(candidates if candidates is not None else data, ip_info, free, field, limit)
     new = lookup_with(batch, make_client, field, run_ts)
     # New lookups are cache misses only, so the union is still one row per IP.

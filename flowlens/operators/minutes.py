@@ -59,6 +59,31 @@ def minutes_for(conn: DataFrame, kind: str, values) -> DataFrame:
     raise ValueError(f"kind must be 'ddos' or 'scan', not {kind!r}")
 
 
+LG_SKETCH = 12  # 2**12 registers: a standard error of about 1.6 per cent beyond the sizes that a sketch holds exactly
+PORT_KEYS = ("ID_ORIG_H", "ID_RESP_H", PROTO)
+
+
+def port_sketches(conn: DataFrame, proto: str, keys=PORT_KEYS, lg: int = LG_SKETCH) -> DataFrame:
+    """Per ``keys`` and minute: COUNT, and a mergeable sketch of the target ports (RESP_P_SKETCH), of bounded size for any number of ports.
+
+    Exact distinct counts do not add up over minutes; sketches do (``union_sketches``), so minutes can be stored and rolled up.
+    """
+    check_columns(conn, (TS, *keys, RESP_P), "connection records")
+    rows = conn.where(F.col(PROTO) == F.lit(proto)).select(*keys, bucket(conn, TS, "minute").alias(TS), RESP_P)
+    return rows.groupBy(*keys, TS).agg(F.count(F.lit(1)).alias(COUNT), F.hll_sketch_agg(RESP_P, F.lit(lg)).alias("RESP_P_SKETCH"))
+
+
+def union_sketches(sketches: DataFrame, unit: str = "hour", keys=PORT_KEYS) -> DataFrame:
+    """Minutes of ``port_sketches`` rolled up to ``unit``; ``distinct_ports`` reads the number of ports."""
+    rows = sketches.withColumn(TS, bucket(sketches, TS, unit))
+    return rows.groupBy(*keys, TS).agg(F.sum(COUNT).alias(COUNT), F.hll_union_agg("RESP_P_SKETCH").alias("RESP_P_SKETCH"))
+
+
+def distinct_ports(sketches: DataFrame) -> DataFrame:
+    """``sketches`` with DISTINCT_RESP_P, the (estimated) number of target ports, in place of the sketch."""
+    return sketches.withColumn("DISTINCT_RESP_P", F.hll_sketch_estimate("RESP_P_SKETCH")).drop("RESP_P_SKETCH")
+
+
 # Export order of the per-minute tables.
 def minutes_order():
     return [F.col("ID_ORIG_H"), F.col(TS), F.col(COUNT)]

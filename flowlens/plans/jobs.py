@@ -29,11 +29,16 @@ from flowlens.operators import totals as TOT
 from flowlens.plans import exports as X
 from flowlens.schemas import DDOS_SERVICES, SCAN_PROTOS
 from flowlens.session import discard, path_exists, reliable_checkpoint
+from flowlens.sinks.cache import LookupCache
 from flowlens.sinks.files import write_csv
+from flowlens.sinks.models import ModelStore
+from flowlens.sinks.quota import QuotaBook
+from flowlens.sinks.state import TotalsState
 from flowlens.sinks.tables import ResultTable, append_run, run_id_of, stamp_run, write_results
 from flowlens.sources import scans
 
 LOG_TOTAIS = "LOG_TOTAIS"
+LOG_TOTAIS_ALL = "LOG_TOTAIS_ALL"
 LOG_KMEANS_DDOS = "LOG_KMEANS_DDOS"
 LOG_KMEANS_SCAN_PORT = "LOG_KMEANS_SCAN_PORT"
 IP_INFO = "IP_INFO"
@@ -50,23 +55,32 @@ def job_records(log: DataFrame, out_dir: str, since=None) -> list[str]:
 
 
 def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strategy="grouping_sets",
-               row_id: bool = False, metrics: dict | None = None) -> str:
-    """Job 5: the 21 hourly totals -> LOG_TOTAIS partitioned by TIPO and RUN_ID."""
+               row_id: bool = False, metrics: dict | None = None, merge: bool = False) -> str:
+    """Job 5: the 21 hourly totals -> LOG_TOTAIS partitioned by TIPO and RUN_ID.
+
+    ``merge``: the run's totals are also added to the all-time totals LOG_TOTAIS_ALL, once: a rerun adds nothing to them.
+    """
     run_ts = run_ts or _now()
     conn = scans.scan_conn(log, since)
     res = stamp_run(TOT.totals_all(conn, strategy=strategy), run_ts, since, row_id)
-    return write_results(res, os.path.join(tables_dir, LOG_TOTAIS), metrics=metrics, replaces={"RUN_ID": run_id_of(run_ts)})
+    path = write_results(res, os.path.join(tables_dir, LOG_TOTAIS), metrics=metrics, replaces={"RUN_ID": run_id_of(run_ts)})
+    if merge:
+        run = run_id_of(run_ts)
+        TotalsState(log.sparkSession, os.path.join(tables_dir, LOG_TOTAIS_ALL)).merge(ResultTable(log.sparkSession, path).read(run_id=run), f"RUN_ID={run}")
+    return path
 
 
 def _kmeans_job(conn: DataFrame, kind: str, values, tables_dir: str, table: str, since, run_ts,
                 k: int, seed: int, row_id: bool, metrics: dict | None = None) -> str:
     """One per-minute aggregate for all values, stored once; one model per value, its cost in ``metrics``."""
-    path = os.path.join(tables_dir, table)
+    path, models = os.path.join(tables_dir, table), _models(conn.sparkSession, tables_dir, table)
     column = "SERVICE" if kind == "ddos" else "PROTO"
     minutes = reliable_checkpoint(MIN.minutes_for(conn, kind, values))
     for v in values:
-        labelled = CL.kmeans(minutes.where(F.col(column) == v), features=("COUNT",), k=k, seed=seed,
-                             checkpoint=False)
+        rows = minutes.where(F.col(column) == v)
+        model = CL.fit(rows, k=k, seed=seed)
+        models.save(model, v, run_id_of(run_ts))
+        labelled = CL.assign(rows, model, k)
         res = stamp_run(labelled.withColumn("TIPO", F.lit(v)), run_ts, since, row_id)
         write_results(res, path, metrics=metrics, replaces={"TIPO": v, "RUN_ID": run_id_of(run_ts)})
         if metrics is not None:
@@ -91,6 +105,27 @@ def job_scan(log: DataFrame, tables_dir: str, protos=SCAN_PROTOS, since=None, ru
                        row_id, metrics)
 
 
+def _models(spark: SparkSession, tables_dir: str, table: str) -> ModelStore:
+    return ModelStore(spark, os.path.join(tables_dir, table + "_MODELS"))
+
+
+def job_label(log: DataFrame, tables_dir: str, kind: str, values, since=None, run_ts=None, model_run: int | str = "latest",
+              metrics: dict | None = None) -> str:
+    """Label the minutes after ``since`` with the models of an earlier run of job 6 (``ddos``) or 7 (``scan``).
+
+    The rows become a run of the same results table; nothing is fitted, and nothing is read but the new rows.
+    """
+    table = {"ddos": LOG_KMEANS_DDOS, "scan": LOG_KMEANS_SCAN_PORT}[kind]
+    run_ts = run_ts or _now()
+    models, path = _models(log.sparkSession, tables_dir, table), os.path.join(tables_dir, table)
+    column = "SERVICE" if kind == "ddos" else "PROTO"
+    minutes = MIN.minutes_for(scans.scan_conn(log, since), kind, values)
+    labelled = [CL.assign(minutes.where(F.col(column) == v), models.load(v, model_run)).withColumn("TIPO", F.lit(v)) for v in values]
+    for v, rows in zip(values, labelled):
+        write_results(stamp_run(rows, run_ts, since), path, metrics=metrics, replaces={"TIPO": v, "RUN_ID": run_id_of(run_ts)})
+    return path
+
+
 def _stored(spark: SparkSession, path: str) -> ResultTable | None:
     if path_exists(spark, path):
         return ResultTable(spark, path)
@@ -99,11 +134,11 @@ def _stored(spark: SparkSession, path: str) -> ResultTable | None:
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """The IP_INFO cache at ``path``; it must be partitioned by RUN_ID, as runs are added to it."""
-    cache = spark.read.parquet(path)
-    if "RUN_ID" not in cache.columns:
+    """The IP_INFO cache at ``path``, compacted or not; it must be partitioned by RUN_ID, as runs are added to it."""
+    cache = LookupCache(spark, path)
+    if cache.is_empty():
         raise ValueError(f"the IP_INFO table at {path} has no RUN_ID partitions; write it once with sinks.append_run(rows, path, 0)")
-    return cache
+    return cache.read()
 
 
 def job_export(spark: SparkSession, tables_dir: str, out_dir: str, since=None, run_id="latest",
@@ -135,7 +170,8 @@ def job_export(spark: SparkSession, tables_dir: str, out_dir: str, since=None, r
         if ip_info is not None:
             resp_h = totals.where(F.col("TIPO") == "RESP_H")
             enriched, new_rows = EN.enrich(resp_h, ip_info, directory=directory, make_client=make_client,
-                                           today=today or _now().date(), limit=lookup_limit, run_ts=run_ts)
+                                           today=today or _now().date(), limit=lookup_limit, run_ts=run_ts,
+                                           book=QuotaBook(spark, os.path.join(tables_dir, "IP_QUOTA"), EN.DAILY_QUOTA))
             out.append(X.export_resp_h_info(enriched, out_dir))
             if new_rows is not None:
                 new_rows = reliable_checkpoint(new_rows)  # the cache it came from is written to
@@ -143,4 +179,4 @@ def job_export(spark: SparkSession, tables_dir: str, out_dir: str, since=None, r
     return out
 
 
-__all__ = ["job_records", "job_totals", "job_ddos", "job_scan", "job_export", "read_cache", "run_id_of", "write_csv"]
+__all__ = ["job_records", "job_totals", "job_ddos", "job_scan", "job_label", "job_export", "read_cache", "run_id_of", "write_csv"]

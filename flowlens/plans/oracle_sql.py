@@ -364,3 +364,22 @@ def stored_runs_sql() -> str:
     earlier, later = (f"epoch_ms(TIMESTAMP '{r}')" for r in (EARLIER_RUN, RUN_TS))
     return (f"WITH counted AS (SELECT TIPO, CAST(COUNT(*) AS BIGINT) AS N FROM ({totals_all_sql()}) t GROUP BY TIPO), kinds(TIPO) AS (VALUES {kinds}) "
             f"SELECT TIPO, {later} AS RUN_ID, N FROM kinds LEFT JOIN counted USING (TIPO) UNION ALL SELECT TIPO, {earlier}, NULL FROM kinds")
+
+
+def kmeans_later_sql(kind: str, value: str) -> str:
+    """Minutes after SINCE at the nearest of the two centres of the rows up to SINCE."""
+    keys = "ID_ORIG_H, ID_RESP_H, ID_RESP_P, PROTO, SERVICE" if kind == "ddos" else "ID_ORIG_H, ID_ORIG_P, ID_RESP_H, PROTO"
+    fit = minutes_select(kind, value, round_doubles=False).replace("FROM conn", "FROM earlier")
+    body = (f'SELECT {keys}, TS, "COUNT", CASE WHEN K = 2 THEN [LOW_CENTER, HIGH_CENTER] ELSE [LOW_CENTER] END AS CENTRES, '
+            'CASE WHEN K = 2 THEN abs("COUNT" - HIGH_CENTER) < abs("COUNT" - LOW_CENTER) ELSE FALSE END AS IS_HIGH FROM later CROSS JOIN best')
+    return with_ctes(body, f"earlier AS (SELECT * FROM LOG WHERE TIPO = 'CONN' AND TS_CODE <= {SINCE_SQL})", f"m AS ({fit})",
+                     f"best AS ({_two_means_select()})", f"later AS ({minutes_select(kind, value, round_doubles=False)})")
+
+
+def kmeans_multi_fixed_sql(value: str) -> str:
+    return kmeans_multi_sql(value).replace("AS NEAREST", "AS FIXED")
+
+
+def scan_hours_ports_sql(value: str) -> str:
+    return with_ctes(f"SELECT ID_ORIG_H, ID_RESP_H, PROTO, date_trunc('hour', TS) AS TS, COUNT(*) AS \"COUNT\", COUNT(DISTINCT ID_RESP_P) AS DISTINCT_RESP_P "
+                     f"FROM conn WHERE PROTO = '{value}' GROUP BY ALL")

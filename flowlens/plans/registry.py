@@ -28,8 +28,10 @@ from flowlens.plans import oracle_sql as O
 from flowlens.functions.time import label
 from flowlens.plans import jobs
 from flowlens.schemas import DDOS_KEYS, DDOS_SERVICES, RECORD_COLUMNS, SCAN_KEYS, SCAN_PROTOS, TOTALS, TOTALS_COLUMNS
-from flowlens.session import configure, ensure_checkpoint_dir
-from flowlens.sinks.tables import RUN_COLUMNS, ResultTable, run_id_of, stamp_run, write_results
+from flowlens.session import configure, ensure_checkpoint_dir, reliable_checkpoint
+from flowlens.sinks.cache import LookupCache
+from flowlens.sinks.state import TotalsState
+from flowlens.sinks.tables import RUN_COLUMNS, ResultTable, append_run, run_id_of, stamp_run, write_results
 from flowlens.sources import fixtures, scans
 
 SINCE = fixtures.DEFAULT_SINCE
@@ -208,6 +210,12 @@ def _scan_ports(spark, sf_dir):
     return MIN.scan_minutes(conn(spark, sf_dir), "tcp", distinct_resp_ports=True)
 
 
+@register("scan_hours_tcp_ports", O.scan_hours_ports_sql("tcp"))
+def _scan_hours_ports(spark, sf_dir):
+    """Distinct target ports an hour, from the union of the minutes' sketches."""
+    return MIN.distinct_ports(MIN.union_sketches(MIN.port_sketches(conn(spark, sf_dir), "tcp")))
+
+
 def _two_means(kind, value):
     def run(spark, sf_dir):
         return CL.two_means_exact(_minutes(kind, value)(spark, sf_dir), "COUNT")
@@ -269,6 +277,17 @@ def _kmeans_multi(spark, sf_dir):
         *DDOS_KEYS, "TS", *features, nearest.alias("NEAREST"))
 
 
+@register("kmeans_multi_fixed", O.kmeans_multi_fixed_sql("http"))
+def _kmeans_multi_fixed(spark, sf_dir):
+    """A proof for any start: Lloyd's method run to its end, each row of which is at a centre that is the mean of its rows."""
+    features = ("DURATION", "ORIG_PKTS", "ORIG_BYTES")
+    rows = CL.kmeans_multi(_minutes("ddos", "http")(spark, sf_dir), features, tol=0.0, max_iter=200)
+    rows = reliable_checkpoint(rows)
+    apart = F.array_max(F.zip_with("CENTRE", "MEAN", lambda a, b: F.abs(a - b) / (1 + F.abs(b))))
+    means = CL.centre_means(rows, features).select("prediction", (apart < 1e-9).alias("FIXED"))
+    return rows.join(means, "prediction").select(*DDOS_KEYS, "TS", *features, "FIXED")
+
+
 @register("kmeans_wssse", O.kmeans_cost_sql("ddos", "http"))
 def _kmeans_wssse(spark, sf_dir):
     return CL.kmeans_cost(_kmeans("ddos", "http")(spark, sf_dir), ("COUNT",))
@@ -300,7 +319,7 @@ def _looked(spark, sf_dir):
 
 
 def _enrich_query(name, fn):
-    register(name, O.enrich_sql(O.ENRICH_QUERIES[name]))(fn)
+    register(name, O.enrich_sql(O.ENRICH_QUERIES[name.removesuffix("_compacted")]))(fn)
 
 
 _enrich_query("lookups_today", lambda spark, d: EN.lookup_quota(tables(spark, d).ip_info, O.TODAY))
@@ -435,6 +454,59 @@ for _spec in TOTALS:
     register("export_" + _spec.query_name, O.totals_sql(_spec))(_export_totals(_spec))
 
 
+# ------------------------------------- state, models and cache that outlive a run
+@register("totals_merged", O.totals_all_sql())
+def _totals_merged(spark, sf_dir):
+    """All-time totals from three runs by ingest time, the second of them replayed."""
+    rows = conn(spark, sf_dir)
+    low, high = rows.agg(F.min("TS_CODE"), F.max("TS_CODE")).first()
+    cuts = [low + (high - low) / 3, low + 2 * (high - low) / 3]
+    runs = [rows.where(F.col("TS_CODE") <= cuts[0]), rows.where((F.col("TS_CODE") > cuts[0]) & (F.col("TS_CODE") <= cuts[1])),
+            rows.where(F.col("TS_CODE") > cuts[1])]
+    state = TotalsState(spark, f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}")
+    for n in (0, 1, 1, 2):
+        state.merge(TOT.totals_all(runs[n]), f"RUN_ID={n}")
+    return state.read()
+
+
+def _labelled_later(kind, value):
+    keys = list(DDOS_KEYS if kind == "ddos" else SCAN_KEYS)
+
+    def run(spark, sf_dir):
+        log = tables(spark, sf_dir).log
+        folder = f"{ensure_checkpoint_dir(spark)}/later-{uuid.uuid4().hex}"
+        earlier = log.where(F.col("TS_CODE") <= F.lit(SINCE).cast(log.schema["TS_CODE"].dataType))
+        job = jobs.job_ddos if kind == "ddos" else jobs.job_scan
+        job(earlier, folder, (value,), run_ts=O.EARLIER_RUN)
+        path = jobs.job_label(log, folder, kind, (value,), since=SINCE, run_ts=O.RUN_TS)
+        rows = ResultTable(spark, path).read(value, run_id=run_id_of(O.RUN_TS))
+        return rows.select(*keys, "TS", "COUNT", F.sort_array(F.flatten("CENTROIDS")).alias("CENTRES"), "IS_HIGH")
+
+    return run
+
+
+for _kind, _value in (("ddos", "http"), ("scan", "tcp")):
+    register(f"kmeans_later_{_value}", O.kmeans_later_sql(_kind, _value))(_labelled_later(_kind, _value))
+
+
+def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IP_INFO, written as two runs by lookup time, the first half of which is compacted into the bucketed table."""
+    def build():
+        rows, path = tables(spark, sf_dir).ip_info, f"{ensure_checkpoint_dir(spark)}/cache-{uuid.uuid4().hex}"
+        old = F.col("TS_CODE") <= F.lit(O.TODAY).cast(rows.schema["TS_CODE"].dataType)
+        for n, part in enumerate((old, ~old)):
+            append_run(rows.where(part).withColumn(EN.LOOKUP_OK, F.lit(True)), path, n)
+        LookupCache(spark, path).compact(before=O.TODAY, buckets=8)
+        return path
+
+    return LookupCache(spark, _once(spark, ("cache", sf_dir), build)).read()
+
+
+_enrich_query("ip_cache_hits_compacted", lambda spark, d: EN.cache_hits(compacted(spark, d), conn(spark, d)))
+_enrich_query("ip_cache_misses_compacted", lambda spark, d: EN.cache_misses(conn(spark, d), compacted(spark, d)))
+_enrich_query("lookups_today_compacted", lambda spark, d: EN.lookup_quota(compacted(spark, d), O.TODAY))
+
+
 # ----------------------------------------------------------------- access
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)

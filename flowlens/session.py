@@ -59,6 +59,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (``addPyFile``), for sessions whose workers cannot import it from their own path."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="flowlens-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "flowlens"), "zip", os.path.dirname(here), os.path.basename(here)))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in spark.checkpoint.dir.
 

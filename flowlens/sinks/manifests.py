@@ -52,7 +52,7 @@ class Manifests:
 
     def partitions(self, folder: str, depth: int) -> list[list[str]]:
         """The names below ``folder``, ``depth`` levels down, of folders that hold files."""
-        found = self.fs.globStatus(self._p(folder, *["*=*"] * depth)) if depth else None
+        found = self.fs.globStatus(self._p(folder, *["*=*"] * depth))
         out = []
         for s in found or []:
             at, names = s.getPath(), []

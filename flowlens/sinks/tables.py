@@ -114,6 +114,13 @@ class ResultTable:
         rows = [(kind, int(run.rsplit("=", 1)[1])) for run in self._runs(since) for kind in self.manifests.newest(run)[1]["kinds"]]
         return self.spark.createDataFrame(rows, "TIPO string, RUN_ID long")
 
+    def run(self, name: str) -> DataFrame:
+        """All rows of the run of this name."""
+        rows = self.manifests.frame([self.manifests.newest(name)[1]])
+        if rows is None:
+            raise ValueError(f"the table at {self.path} has no run {name}")
+        return rows
+
     def read(self, tipo: str | None = None, since=None, run_id=None) -> DataFrame:
         """Rows of one kind (None: all) of the runs later than ``since``; ``run_id``: one run, or ``"latest"``, the newest of each kind.
 

@@ -7,11 +7,11 @@ micro-batch computes the 21 totals over its rows and writes them to the
 table ``LOG_TOTAIS_STREAM``, apart from the batch jobs' runs, partitioned by TIPO, QUERY_ID (the id
 that the checkpoint keeps for the query, so a new checkpoint never meets an
 old one's batches) and RUN_ID = batch id.  ``foreachBatch``
-may replay a batch after a failure; the dynamic partition overwrite makes
-the replay replace that batch's partitions, so output is written once.
+may replay a batch after a failure; the replay publishes that batch's
+run anew, so output counts once.
 
-Like the batch job, each run's totals cover that run's rows only; a reader
-sums COUNT and the measures over runs for all-time totals.
+Like the batch job, each run's totals cover that run's rows only.  With ``merge`` every
+micro-batch is also added to the all-time totals ``LOG_TOTAIS_STREAM_ALL``, once, however often it is replayed.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from flowlens.operators import totals as TOT
 from flowlens.schemas import LOG_SCHEMA
-from flowlens.sinks.tables import stamp_run, write_results
+from flowlens.sinks.state import TotalsState
+from flowlens.sinks.tables import ResultTable, stamp_run, write_results
 from flowlens.sources import scans
 
 
@@ -32,7 +33,7 @@ STREAM_TABLE = "LOG_TOTAIS_STREAM"
 QUERY_ID = "sql.streaming.queryId"
 
 
-def _write_batch(tables_dir: str, strategy: str):
+def _write_batch(tables_dir: str, strategy: str, merge: bool = False):
     path = os.path.join(tables_dir, STREAM_TABLE)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -44,6 +45,9 @@ def _write_batch(tables_dir: str, strategy: str):
             res = res.withColumns({"RUN_ID": F.lit(batch_id).cast("bigint"), "QUERY_ID": F.lit(query)})
             write_results(res, path, partition_by=("TIPO", "QUERY_ID", "RUN_ID"),
                           replaces={"QUERY_ID": query, "RUN_ID": batch_id})
+            if merge:
+                run, spark = f"QUERY_ID={query},RUN_ID={batch_id}", batch.sparkSession
+                TotalsState(spark, path + "_ALL").merge(ResultTable(spark, path).run(run), run)
         finally:
             conn.unpersist()
 
@@ -52,7 +56,7 @@ def _write_batch(tables_dir: str, strategy: str):
 
 def incremental_totals(spark: SparkSession, log_path: str, tables_dir: str, checkpoint: str,
                        schema=LOG_SCHEMA, strategy: str = "grouping_sets", max_files_per_trigger: int | None = None,
-                       available_now: bool = True):
+                       available_now: bool = True, merge: bool = False):
     """Start the streaming totals query; returns the StreamingQuery.
 
     ``checkpoint`` must be on shared storage (it is the high-water mark).
@@ -63,7 +67,7 @@ def incremental_totals(spark: SparkSession, log_path: str, tables_dir: str, chec
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(log_path)
-    writer = stream.writeStream.foreachBatch(_write_batch(tables_dir, strategy)).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(_write_batch(tables_dir, strategy, merge)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
