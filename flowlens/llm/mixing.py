@@ -3,12 +3,13 @@
 A source's share p of all tokens becomes the weight p**a / sum of p**a.  The
 exponent a (1: as found, 0: all sources equal) is bisected until the weights'
 entropy reaches a target share of its maximum, or until the most repeated
-source is repeated ``repetition`` times; with both, the exponent that keeps to both.
+source is repeated ``repetition`` times (as often as budget * weight / tokens of the source, on average); with both, the exponent that keeps to both.
 Measuring is an aggregate over the table of sources; no list of sources
 comes to the driver.
 
 The budget is in tokens.  Without one it is the smallest at which every
-source is used whole at least once, so no document is lost.
+source is used whole at least once, so no document is lost, and the limit is 2 by default.  A budget that repeats
+even the corpus as it is more often than a given limit is an error: both cannot hold.
 
 Documents fall into blocks by hash.  In each epoch a source's blocks are
 permuted by a hash of (seed, epoch, block).  A source spends its budget on
@@ -43,8 +44,9 @@ def tokens(text):
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
-def _measure(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
-    """(share of the largest entropy, repetitions of the most against the least repeated source) at each exponent."""
+def _measure(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
+    """(share of the largest entropy, repetitions of the most against the least repeated source, and of the most
+    if the budget is the corpus) at each exponent."""
     p = F.col("p")
     out = []
     for a in exponents:
@@ -57,15 +59,15 @@ def _measure(shares: DataFrame, exponents: list[float]) -> list[tuple[float, flo
     for i in range(len(exponents)):
         z, wl, most, least = row[1 + 4 * i:5 + 4 * i]
         entropy = (math.log(z) - wl / z) / math.log(n) if n > 1 else 1.0
-        got.append((entropy, most / least))
+        got.append((entropy, most / least, most / z))
     return got
 
 
-def bisect(shares: DataFrame, entropy: float | None, repetition: float | None) -> float:
+def bisect(shares: DataFrame, entropy: float | None, repetition: float | None, turns: float | None = None) -> float:
     """The smallest exponent in [0, 1] that keeps to the repetition limit, but no smaller than the entropy needs.
 
     Entropy falls and repetition falls as the exponent grows.  With an
-    entropy target alone: the largest exponent that reaches it.
+    entropy target alone: the largest exponent that reaches it.  ``turns``: the budget in corpora, if it is fixed.
     """
     if shares.isEmpty():
         return 1.0
@@ -86,7 +88,9 @@ def bisect(shares: DataFrame, entropy: float | None, repetition: float | None) -
         return low if upward else high
 
     wanted = 0.0 if entropy is None else search(lambda m: m[0] >= entropy, True)
-    allowed = 0.0 if repetition is None else search(lambda m: m[1] <= repetition, False)
+    if repetition is not None and turns is not None and turns > repetition * (1 + 1e-9):
+        raise ValueError(f"a budget of {turns:g} times the corpus repeats sources more than {repetition:g} times")
+    allowed = 0.0 if repetition is None else search(lambda m: (m[1] if turns is None else m[2] * turns) <= repetition, False)
     return max(wanted, allowed)
 
 
@@ -104,7 +108,7 @@ def _order(key, epoch):
     return F.xxhash64(key, epoch, F.lit(SEED))
 
 
-def schedule(rows: DataFrame, blocks: int, entropy: float | None = None, repetition: float | None = REPETITION,
+def schedule(rows: DataFrame, blocks: int, entropy: float | None = None, repetition: float | str | None = "default",
              budget: float | None = None) -> DataFrame:
     """(source, epoch, block, at, cut, weight): the blocks used, in order of ``at`` (0 to 1); of a block with ``cut``
     only documents whose order is not above it.  ``rows``: stored (key, source, n_tokens)."""
@@ -114,7 +118,9 @@ def schedule(rows: DataFrame, blocks: int, entropy: float | None = None, repetit
     corpus = sources.agg(F.sum("total")).first()[0] or 0
     shares = store(sources.withColumn("p", F.col("total") / F.lit(float(max(corpus, 1)))), "mix-shares")
     spoken = shares.where("total > 0")
-    a = bisect(spoken, entropy, repetition)
+    if repetition == "default":
+        repetition = REPETITION if budget is None else None
+    a = bisect(spoken, entropy, repetition, None if budget is None else budget / max(corpus, 1))
     z, least = spoken.agg(F.sum(F.pow("p", F.lit(a))), F.min(F.pow("p", F.lit(a - 1)))).first()
     whole = corpus * (z or 1.0) / (least or 1.0) if budget is None else budget
     weight = F.when(F.col("total") > 0, F.pow("p", F.lit(a)) / F.lit(z or 1.0)).otherwise(0.0)

@@ -51,7 +51,9 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.archive_path(spark)
     warc.write(table(spark, sf_dir, "pages"), path)
-    records, _ = warc.read(spark, path, payloads=False)
+    records, gaps = warc.read(spark, path, payloads=False)
+    if not gaps.isEmpty():
+        raise ValueError(f"the archives just written at {path} have damaged records: {gaps.first()}")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

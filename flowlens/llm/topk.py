@@ -45,10 +45,13 @@ FEW = 64
 
 def integers(df: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
     """(id, v array<int>, dim): the usable vectors, one row per id."""
-    v = column(vector_col)
-    scaled = F.transform(v, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
-    usable = F.forall(v, lambda x: F.coalesce(F.abs(x.cast("double")) * scale < 2.0**31, F.lit(False)))
-    src = df.select(column(id_col).cast("long").alias("id"), F.when(usable, scaled).alias("s"))
+    v = F.transform(column(vector_col), lambda x: x.cast("double") * F.lit(float(scale)))
+    finite = F.forall(v, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)))
+    # no score is above the larger of the two vectors' squared lengths
+    square = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
+    scaled = F.transform(v, lambda x: F.floor(x))
+    exact = F.when(square < 2.0**62, scaled).otherwise(F.raise_error(F.lit("a vector's scores may leave the range of a long")).cast("array<bigint>"))
+    src = df.select(column(id_col).cast("long").alias("id"), F.when(finite, exact).alias("s"))
     src = src.where("id is not null and s is not null").select("id", F.transform("s", lambda x: x.cast("int")).alias("v"))
     return src.groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
 

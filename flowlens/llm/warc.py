@@ -36,10 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import column, ensure_checkpoint_dir, store
+from flowlens.llm.common import column, discard, ensure_checkpoint_dir, store
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 16 << 20
+CLASS_BITS = 3  # a class of records takes up to 8 times the bytes of the one below; the lowest ends at 4 KB
 DATE = "2000-01-01T00:00:00Z"
 CRLF = "\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -56,11 +57,15 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
           revisit_bytes: int = REVISIT_BYTES) -> None:
-    """Write the archive files of ``pages`` to the folder ``path``."""
-    rows = records(pages, id_col, url_col, payload_col)
-    thin = store(rows.select("id", "size", "digest"), "warc-digests")
-    total = thin.agg(F.count("*").alias("n"), F.sum("size").alias("b")).first()
-    mean = 600 + (total["b"] or 0) / max(total["n"], 1)
+    """Write the archive files of ``pages`` to the folder ``path``, in a folder for each class of record sizes.
+
+    No file is over ``FILE_BYTES``, but for a single record that is.
+    """
+    # The most a record can take, and its class by that: a class's files hold as many records as fit at its upper end.
+    heft = F.col("size") + 3 * F.octet_length(F.coalesce("url", F.lit(""))) + 700
+    rows = records(pages, id_col, url_col, payload_col).withColumn("class", F.least(F.greatest(F.ceil(F.log2(heft) / CLASS_BITS), F.lit(4)), F.lit(9)))
+    thin = store(rows.select("id", "size", "digest", "class"), "warc-digests")
+    classes = sorted(r[0] for r in thin.select("class").distinct().collect())  # six at most
     keep = store(
         thin.where(F.col("size") >= revisit_bytes).groupBy("digest", "size")
         .agg(F.max("id").alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n"), "warc-keep")
@@ -79,8 +84,11 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         F.when(again, F.concat(F.lit(f"{CRLF}WARC-Profile: {PROFILE}{CRLF}WARC-Refers-To: <urn:page:"),
                                F.col("keep").cast("string"), F.lit(">"))).otherwise(""),
         F.lit(f"{CRLF}Content-Type: application/http; msgtype=response{CRLF}Content-Length: "), length.cast("string"))
-    out = rows.select(F.concat(head, F.lit(CRLF * 2), block).alias("value"))
-    (out.write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", max(1, int(FILE_BYTES / mean))).text(path))
+    out = rows.select("class", F.concat(head, F.lit(CRLF * 2), block).alias("value"))
+    for c in classes:
+        (out.where(F.col("class") == c).select("value").write.option("lineSep", CRLF * 2)
+         .option("maxRecordsPerFile", max(1, FILE_BYTES >> CLASS_BITS * c)).text(f"{path}/size-{c}"))
+    discard(thin, keep)
 
 
 # ------------------------------------------------------------------- read
@@ -252,9 +260,12 @@ def _read(payloads: bool):
     return run
 
 
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
 def read(spark: SparkSession, path: str, payloads: bool = True) -> tuple[DataFrame, DataFrame]:
     """(records, gaps) of the archive files in ``path``; without ``payloads`` the payload column is null."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).schema(FILES).load(path).select("path", "content")
     rows = files.mapInArrow(_read(payloads), READ_SCHEMA)
     return rows.where("reason is null").drop("end", "reason"), rows.where("reason is not null").select("file", "offset", "end", "reason")
 

@@ -76,6 +76,14 @@ def test_top_k_large_values_stay_exact(spark):
     assert {tuple(r) for r in topk.top_k(vectors(spark, items)).collect()} == brute.top_k(items)
 
 
+def test_top_k_refuses_scores_beyond_a_long(spark):
+    items = [(i, [float(i), 1.0]) for i in range(20)]
+    assert {tuple(r) for r in topk.top_k(vectors(spark, items + [(99, [2.0**22, -2.0**22])])).collect()} == brute.top_k(items + [(99, [2.0**22, -2.0**22])])
+    for odd in ([2.0**23, 0.5], [1e30, 1.0]):
+        with pytest.raises(Exception, match="range of a long"):
+            topk.top_k(vectors(spark, items + [(99, odd)])).collect()
+
+
 # ------------------------------------------------------------------ op 3
 URLS = [None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?q#f", "http://example.com", "http://example.com/en", "http://example.com/en/",
         "http://notexample.com/en/", "http://a.b.example.com/en/1", "http://x.www.example.com/en/", "http://net/es/", "http://a.net/fr/#x", "http://a.net/de/",
@@ -356,6 +364,20 @@ def test_simhash_no_task_gets_a_large_key(spark):
 PAGE = "page_id long, url string, html string, payload string, size int"
 
 
+def test_warc_files_are_bounded_whatever_the_sizes(spark, tmp_path):
+    """Tiny pages and large ones in one range."""
+    import os
+
+    pages = spark.range(0, 21_000, 1, 2).select(
+        F.col("id").alias("page_id"), F.lit("http://x/").alias("url"),
+        F.when(F.col("id") % 200 == 0, F.concat(F.repeat(F.lit("y"), 400_000), F.col("id").cast("string"))).otherwise(F.lit("tiny")).alias("html"))
+    warc.write(pages, str(tmp_path / "a"))
+    sizes = [os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(tmp_path / "a") for f in files if f.startswith("part-")]
+    assert max(sizes) <= warc.FILE_BYTES and len(sizes) < 60
+    records, gaps = warc.read(spark, str(tmp_path / "a"), payloads=False)
+    assert records.count() == 21_000 and gaps.isEmpty()
+
+
 def test_warc_edges(spark, tmp_path):
     big, fake = "é" * 600, "WARC/1.1\r\nWARC-Type: response\r\n\r\n" * 50
     items = [(1, "http://a/ b\n", big), (2, None, big), (3, "u", big[:-1]), (4, "u", None), (5, "u", ""), (6, "u", "x" * 999), (7, "u", "x" * 999),

@@ -147,6 +147,25 @@ def test_mixing_spends_its_budget(spark):
     assert -sum(x * math.log(x) for x in w) / math.log(2) >= 0.999
 
 
+def test_mixing_keeps_the_repetition_limit_under_a_budget(spark):
+    """Sources of very different sizes, budgets below and above the corpus."""
+    pairs = [(i, " ".join(["w"] * 10)) for i in range(400)]
+    df = docs(spark, pairs).withColumn("source", F.when(F.col("doc_id") < 10, "b").when(F.col("doc_id") < 60, "c").otherwise("a"))
+    own = {"a": 3400, "b": 100, "c": 500}
+    for budget, limit in ((1500.0, 1.0), (4000.0, 1.5), (7000.0, 2.0), (4000.0, 1.0)):
+        spent = Counter()
+        times = Counter()
+        for r in mixing.mixture(df, budget=budget, repetition=limit).collect():
+            spent[r.source] += r.n_tokens
+            times[r.doc_id] += 1
+        assert max(times.values()) <= math.ceil(limit) and all(spent[s] <= limit * own[s] + 1e-6 for s in own)
+        assert 0.97 * budget <= sum(spent.values()) <= budget + 1e-6
+    with pytest.raises(ValueError, match="repeats sources more than 2 times"):
+        mixing.mixture(df, budget=20_000.0, repetition=2.0)
+    free = Counter(r.source for r in mixing.mixture(df, budget=20_000.0).collect())  # no limit was asked for
+    assert 1997 <= sum(free.values()) <= 2000
+
+
 def test_mixing_edges(spark, odd, empty):
     df = docs(spark, odd).withColumn("source", F.when(F.col("doc_id") == 9, None).when(F.length("text") < 8, "blank").otherwise(F.col("source")))
     out = mixing.mix(df)
