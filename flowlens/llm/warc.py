@@ -65,7 +65,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     heft = F.col("size") + 3 * F.octet_length(F.coalesce("url", F.lit(""))) + 700
     rows = records(pages, id_col, url_col, payload_col).withColumn("class", F.least(F.greatest(F.ceil(F.log2(heft) / CLASS_BITS), F.lit(4)), F.lit(9)))
     thin = store(rows.select("id", "size", "digest", "class"), "warc-digests")
-    classes = sorted(r[0] for r in thin.select("class").distinct().collect())  # six at most
+    classes = sorted(r[0] for r in thin.select("class").distinct().collect()) or [4]  # six at most
     keep = store(
         thin.where(F.col("size") >= revisit_bytes).groupBy("digest", "size")
         .agg(F.max("id").alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n"), "warc-keep")
