@@ -233,7 +233,7 @@ def test_registered_names(spark):
     import __spark_entry__ as e
 
     names = [n for n in e.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in e.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in e.queries()
     assert {"op1_top_k", "op3_url_filter", "op8_warc"} <= set(e.oracle_sql())
 
 
