@@ -23,6 +23,12 @@ end when none does any more.
 
 The text is read once, into a thin stored table of seeds and other
 occurrences; the rounds run on the graph alone, aggregated by pattern and by instance.
+Joins on patterns are salted by the instance, as one shape may hold a large share of all.
+
+Texts longer than ``PIECE`` code points are cut into pieces of about that length, at
+blanks that no pattern can span, so the time for a text grows with its length even if it is full of
+identifiers (a long stretch without such a blank stays one piece).  Words around an occurrence are
+looked for up to ``REACH`` code points from it, over the pieces' edges.
 
 Defined results: null text counts as empty (no spans); base spans of
 different kinds may overlap, found ones never overlap a base one; repeated rows and copies
@@ -37,7 +43,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import column, free_name, store
+from flowlens.llm.common import column, discard, free_name, store
 
 # Kinds in order, and the patterns of their base matches.
 KINDS = ("email", "ip", "card", "phone")
@@ -62,6 +68,18 @@ CONFIDENCE = 0.9
 ACCEPT = 0.9
 STILL = 1e-6  # a smaller rise of a score is none
 REACH = 48
+SALTS = 16
+PIECE = 4096
+# After a blank other than a space, or a space between two words that are neither an at nor a dot and of which
+# the first ends, or the second begins, with a letter (or a comma).
+CUT = (r"(?<=[^\S ])|(?<=[A-Za-z,;] )(?<!(?i:at|dot) )(?![\[(.]|(?i:at|dot))"
+       r"|(?<=[^\s\])}.] )(?<!(?i:at|dot) )(?=[A-Za-z])(?!(?i:at|dot))")
+
+
+def cut_up(text: Column) -> Column:
+    """array<string>: the text in pieces of at least ``PIECE`` code points (but the last); an empty text is one piece."""
+    return F.when(F.length(text) <= PIECE, F.array(text)).otherwise(
+        F.regexp_extract_all(text, F.lit(rf"(?s).{{{PIECE},}}?(?:{CUT}|\z)|.+"), F.lit(0)))
 
 
 def located(text: Column, pattern: str, likely: Column) -> Column:
@@ -150,11 +168,12 @@ def with_other(src: DataFrame) -> DataFrame:
     return src.withColumn("other", F.concat("wide", tokens)).drop("plus", "wide")
 
 
-def _around(text: Column, m: Column) -> list[Column]:
-    """The lexical patterns of an occurrence."""
-    begin = F.greatest(F.lit(0), m["start"] - REACH)
-    left = F.lower(F.substr(text, begin + 1, m["start"] - begin))
-    right = F.lower(F.substr(text, m["end"] + 1, F.lit(REACH)))
+def _around(near: Column, shift: Column, m: Column) -> list[Column]:
+    """The lexical patterns of an occurrence.  ``near``: its piece with ``REACH`` code points on either side, ``shift`` of them before."""
+    at, end = m["start"] + shift, m["end"] + shift
+    begin = F.greatest(F.lit(0), at - REACH)
+    left = F.lower(F.substr(near, begin + 1, at - begin))
+    right = F.lower(F.substr(near, end + 1, F.lit(REACH)))
     two = F.regexp_extract(left, r"(?:\S++\s++){0,2}\S*+$", 0)
     one = F.regexp_extract(left, r"(?:\S++\s++)?\S*+$", 0)
     follow = F.regexp_extract(right, r"^\S*+(?:\s++\S++)?", 0)
@@ -164,27 +183,45 @@ def _around(text: Column, m: Column) -> list[Column]:
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Stored thin rows: row, doc_id, hash, base, other (both with their lexical patterns)."""
+    """Stored thin rows, one for each piece of a text: row, doc_id, hash, piece (its number), offset, base, other (both with their lexical patterns)."""
     src = docs.select(column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
-    src = src.select("doc_id", F.xxhash64("text").alias("hash"), "text", base_spans(F.col("text")).alias("base"))
-    src = with_other(src)
+    src = src.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("hash"), cut_up(F.col("text")).alias("pieces"))
+    ends = F.aggregate("pieces", F.array(F.lit(0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p))))
+    src = src.withColumn("offsets", ends)
+
+    def part(p, i):
+        before = F.when(i > 0, F.right(F.get("pieces", i - 1), F.lit(REACH))).otherwise(F.lit(""))
+        after = F.coalesce(F.left(F.get("pieces", i + 1), F.lit(REACH)), F.lit(""))
+        return F.struct(p.alias("text"), F.get("offsets", i).alias("offset"), before.alias("before"), after.alias("after"))
+
+    src = src.select("row", "doc_id", "hash", F.posexplode(F.transform("pieces", part)).alias("piece", "p")).select(
+        "row", "doc_id", "hash", "piece", "p.offset", "p.text",
+        F.length("p.before").alias("shift"), F.concat("p.before", "p.text", "p.after").alias("near"))
+    src = with_other(src.withColumn("base", base_spans(F.col("text"))))
 
     def with_patterns(name):
-        return F.transform(name, lambda m: F.struct(m["kind"], m["start"], m["end"], m["value"], F.array(*_around(F.col("text"), m)).alias("patterns")))
+        return F.transform(name, lambda m: F.struct(
+            m["kind"], (m["start"] + F.col("offset")).alias("start"), (m["end"] + F.col("offset")).alias("end"), m["value"],
+            F.array(*_around(F.col("near"), F.col("shift"), m)).alias("patterns")))
 
-    return store(src.select(F.monotonically_increasing_id().alias("row"), "doc_id", "hash",
+    return store(src.select("row", "doc_id", "hash", "piece", "offset",
                             with_patterns("base").alias("base"), with_patterns("other").alias("other")), "pii-thin")
 
 
 def discover(thin: DataFrame, rounds: int | None = None, support: float = SUPPORT, confidence: float = CONFIDENCE, accept: float = ACCEPT) -> DataFrame:
     """(value, kind): unseen instances that confident patterns match.  ``rounds``: at most so many; by default as many as change a score."""
     spans = thin.select(F.explode(F.concat("base", "other")).alias("m")).select("m.*")
-    graph = spans.select(F.explode("patterns").alias("pattern"), F.lower("value").alias("value"), "kind").where("length(pattern) > 3").distinct()
-    graph = store(graph.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-graph")
+    graph = spans.select(F.explode("patterns").alias("pattern"), F.lower("value").alias("value"), "kind").where("length(pattern) > 3")
+    bit = F.coalesce(*(F.when(F.col("kind") == k, 1 << k) for k in range(len(KINDS))), F.lit(0))
+    graph = graph.groupBy("pattern", "value").agg(F.bit_or(bit).alias("seen"))  # the kinds that it is a seed of
+    edges = store(graph.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS))), "pii-edges")
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
     # A pattern without enough instances can never be accepted; one without a seed can, by instances found before.
-    sizes = graph.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support)
-    graph = store(graph.join(sizes, "pattern"), "pii-graph")
-    seeds = graph.where("kind is not null").select("value", F.col("kind").alias("k"), F.lit(1.0).alias("score")).distinct()
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support)
+    graph = store(edges.join(sizes.select("pattern", "n", salts), ["pattern", "salt"]), "pii-graph")
+    discard(edges)
+    kinds = F.array_compact(F.array(*(F.when(F.col("seen").bitwiseAND(1 << k) != 0, k) for k in range(len(KINDS)))))
+    seeds = graph.where("seen > 0").select("value", F.explode(kinds).alias("k"), F.lit(1.0).alias("score")).distinct()
     found, done = seeds.limit(0), 0
     while rounds is None or done < rounds:
         scores = seeds.unionByName(found).groupBy("value", "k").agg(F.max("score").alias("score"))
@@ -195,7 +232,7 @@ def discover(thin: DataFrame, rounds: int | None = None, support: float = SUPPOR
             .where((F.col("mass") >= support) & (F.col("conf") >= confidence))
         )
         reached = store(
-            graph.where("kind is null").join(belief.select("pattern", "k", "conf"), "pattern")
+            graph.where("seen = 0").join(belief.select("pattern", "k", "conf", salts), ["pattern", "salt"])
             .where(looks(F.col("value"), F.col("k")))
             .groupBy("value", "k").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("conf")))))).alias("score")), "pii-found")
         before = found.withColumnRenamed("score", "was")
@@ -222,8 +259,9 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **l
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of base spans), spans (base and found) of every row."""
     thin = occurrences(docs, id_col, text_col)
     more = found_spans(thin, discover(thin, **limits), ["row"])
-    rows = thin.join(more, "row", "left")
-    plain = F.transform("base", lambda m: F.struct(m["kind"], m["start"], m["end"]))
+    spans = F.transform("base", lambda m: F.struct(m["kind"], m["start"], m["end"]))
+    rows = thin.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.flatten(F.collect_list(spans))).alias("base")).join(more, "row", "left")
+    plain = F.col("base")
     every = F.when(F.col("found").isNull(), plain).otherwise(F.array_sort(F.concat(plain, F.col("found"))))
 
     def of(k: int):
@@ -236,23 +274,31 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **l
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """``docs`` with every span, base and found, replaced by ``[KIND]`` (overlapping spans by that of the first)."""
     thin = occurrences(docs, id_col, text_col)
-    by = ["doc_id", "hash"]
-    more = found_spans(thin, discover(thin, **limits), by).select(F.col("doc_id").alias("pii_id"), F.col("hash").alias("pii_hash"), F.col("found").alias("pii_found"))
-    text = F.coalesce(column(text_col), F.lit(""))
-    joined = docs.join(more, column(id_col).cast("long").eqNullSafe(F.col("pii_id")) & (F.xxhash64(text) == F.col("pii_hash")), "left")
-    base = F.transform(base_spans(text), lambda m: F.struct(m["start"], m["end"], m["kind"]))
-    found = F.transform(F.coalesce("pii_found", F.array().cast("array<struct<kind:int,start:int,end:int>>")), lambda m: F.struct(m["start"], m["end"], m["kind"]))
-    name = free_name(docs, "pii_spans")
-    joined = joined.withColumn(name, F.array_sort(F.concat(base, found)))
+    by = ["doc_id", "hash", "piece", "offset"]
+    key, digest, extra = (free_name(docs, name) for name in ("pii_id", "pii_hash", "pii_found"))
+    inside = F.transform("found", lambda m: F.struct((m["start"] - F.col("offset")).alias("start"), (m["end"] - F.col("offset")).alias("end"), m["kind"]))
+    more = (
+        found_spans(thin, discover(thin, **limits), by)
+        .groupBy(F.col("doc_id").alias(key), F.col("hash").alias(digest))
+        .agg(F.map_from_entries(F.collect_list(F.struct("piece", inside))).alias(extra))
+    )
+    text = column(text_col)
+    joined = docs.join(more, column(id_col).cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(digest)), "left")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    nothing = F.array().cast("array<struct<start:int,end:int,kind:int>>")
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def cleaned(piece, i):
+        base = F.transform(base_spans(piece), lambda m: F.struct(m["start"], m["end"], m["kind"]))
+
+        def step(acc, m):
+            kept = F.substr(piece, acc["at"] + 1, m["start"] - acc["at"])
+            fresh = F.struct(m["end"].alias("at"), F.concat(acc["out"], F.array(kept, F.get(names, m["kind"]))).alias("out"))
+            merged = F.struct(F.greatest(acc["at"], m["end"]).alias("at"), acc["out"].alias("out"))
+            return F.when((m["start"] >= acc["at"]) | (acc["at"] == 0), fresh).otherwise(merged)
 
-    def step(acc, m):
-        kept = F.substr(text, acc["at"] + 1, m["start"] - acc["at"])
-        fresh = F.struct(m["end"].alias("at"), F.concat(acc["out"], F.array(kept, F.get(names, m["kind"]))).alias("out"))
-        merged = F.struct(F.greatest(acc["at"], m["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when((m["start"] >= acc["at"]) | (acc["at"] == 0), fresh).otherwise(merged)
+        spans = F.array_sort(F.concat(base, F.coalesce(F.element_at(extra, i), nothing)))
+        return F.aggregate(spans, begin, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(piece, acc["at"] + 1, F.length(piece))))
 
-    rebuilt = F.aggregate(F.col(name), empty, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"] + 1, F.length(text))))
-    clean = F.when(F.size(name) > 0, rebuilt).otherwise(column(text_col))
-    return joined.withColumn(text_col, clean).select(*(column(c) for c in docs.columns))
+    clean = F.array_join(F.transform(cut_up(text), cleaned), "")
+    return joined.withColumn(text_col, F.when(text.isNotNull(), clean)).select(*(column(c) for c in docs.columns))

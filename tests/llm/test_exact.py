@@ -299,6 +299,29 @@ def test_pii_finds_addresses_spelt_out_without_brackets(spark):
     assert [spans[i] for i in range(200, 205)] == ["email:16:37", "email:16:52", "email:16:39", "phone:12:24", ""]
 
 
+def test_pii_pieces_change_nothing(spark, monkeypatch):
+    rng = random.Random(31)
+    words = ["jo", "example", "com", " at ", " dot ", "[at]", "(dot)", " AT", "data ", "12", "4000 0000", "+1 ", "(523)", "555-1234", "10.0.0.7", "a@b.co", ".", ",", " ", " ", " ", "\n", "\t", "-", "é", "x"]
+    noise = [(1000 + n, "".join(rng.choice(words) for _ in range(rng.randint(0, 200)))) for n in range(400)]
+    phones = [(n, f"do call me at +1 (523) 555-10{n:02d} by today, doc {n}") for n in range(20)]
+    mails = [(30 + n, f"please write to user{n}@mail.example.org for details, doc {n}") for n in range(20)]
+    new = [(90, "do call me at (743) 555-3824 by today " * 5), (91, "please write to jo [at] example [dot] org for details, " * 5),
+           (92, "please write to jo at example dot com for details")]
+    src = docs(spark, noise + phones + mails + new)
+    whole, clean = rows(pii.extract(src)), rows(pii.redact(src))
+    assert len([s for *_, s in whole.elements() if s.count("phone") == 5]) >= 1
+    monkeypatch.setattr(pii, "PIECE", 20)
+    assert max(r.n for r in src.select(F.size(pii.cut_up(F.col("text"))).alias("n")).collect()) > 10
+    assert rows(pii.extract(src)) == whole and rows(pii.redact(src)) == clean
+
+
+def test_pii_a_text_full_of_identifiers(spark):
+    many = [(1, " ".join(f"user{n}@mail{n % 97}.example.org" for n in range(20000))), (2, None), (3, "")]
+    assert pii_rows(pii.extract(docs(spark, many))) == pii_want([(i, t or "") for i, t in many])
+    clean = {r.doc_id: r.text for r in pii.redact(docs(spark, many)).collect()}
+    assert clean == {1: " ".join(["[EMAIL]"] * 20000), 2: None, 3: ""}
+
+
 def test_redact_keeps_rows_and_columns(spark, odd):
     src = docs(spark, odd)
     out = pii.redact(src)
