@@ -328,6 +328,9 @@ def test_redact_keeps_rows_and_columns(spark, odd):
     assert out.columns == src.columns and out.count() == len(odd)
     got = {r.doc_id: r.text for r in out.collect()}
     assert got[14].startswith("mail [EMAIL], [EMAIL]@q.rr or [PHONE] and [CARD] from [IP] not 10.0.0.256") and got[1] == odd[0][1]
+    clash = pii.redact(src.withColumns({"pii_id": F.lit(7), "PII_FOUND": F.lit("x"), "piece": F.lit(1), "found": F.lit(2)}))
+    assert clash.columns == [*src.columns, "pii_id", "PII_FOUND", "piece", "found"]
+    assert {r.doc_id: r.text for r in clash.where("pii_id = 7 and PII_FOUND = 'x' and piece = 1 and found = 2").collect()} == got
 
 
 # ------------------------------------------------------------------ op 7
