@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.functions import bloom
 from flowlens.functions.time import ntz_literal, parse_stamp, since_literal
 from flowlens.session import reliable_checkpoint
 from flowlens.sinks.quota import QuotaBook
@@ -71,6 +72,17 @@ def cache_misses(hosts: DataFrame, ip_info: DataFrame, field: str = RESP_H) -> D
     return distinct_hosts(hosts, field).join(cached, field, "left_anti")
 
 
+def possible_hits(ip_info: DataFrame, hosts: DataFrame, field: str = RESP_H) -> DataFrame:
+    """The cached rows that may belong to the given hosts, for ``cache_hits`` and ``cache_misses`` to join exactly.
+
+    A Bloom filter of the distinct hosts (stored, since they are counted first) goes to the scan of the cache, so
+    of a cache much larger than the hosts of a run only a hundredth of the other rows is shuffled.
+    """
+    keys = reliable_checkpoint(distinct_hosts(hosts, field))
+    blocks = bloom.blocks_for(keys.count())
+    return bloom.possible(ip_info, IP, bloom.build(keys, field, blocks), blocks)
+
+
 def lookup_batch(candidates: DataFrame, ip_info: DataFrame, free: int, field: str = RESP_H,
                  limit: int = DAILY_QUOTA, priority: Column | None = None) -> DataFrame:
     """E5: the misses to ask an external service for now, at most ``min(limit, free)``.

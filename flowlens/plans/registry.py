@@ -319,13 +319,17 @@ def _looked(spark, sf_dir):
 
 
 def _enrich_query(name, fn):
-    register(name, O.enrich_sql(O.ENRICH_QUERIES[name.removesuffix("_compacted")]))(fn)
+    register(name, O.enrich_sql(O.ENRICH_QUERIES[name.removesuffix("_compacted").removesuffix("_bloom")]))(fn)
 
 
 _enrich_query("lookups_today", lambda spark, d: EN.lookup_quota(tables(spark, d).ip_info, O.TODAY))
 _enrich_query("distinct_resp_hosts", lambda spark, d: EN.distinct_hosts(conn(spark, d)))
 _enrich_query("ip_cache_hits", lambda spark, d: EN.cache_hits(tables(spark, d).ip_info, conn(spark, d)))
 _enrich_query("ip_cache_misses", lambda spark, d: EN.cache_misses(conn(spark, d), tables(spark, d).ip_info))
+_enrich_query("ip_cache_hits_bloom", lambda spark, d: EN.cache_hits(
+    EN.possible_hits(tables(spark, d).ip_info, conn(spark, d)), conn(spark, d)))
+_enrich_query("ip_cache_misses_bloom", lambda spark, d: EN.cache_misses(
+    conn(spark, d), EN.possible_hits(tables(spark, d).ip_info, conn(spark, d))))
 _enrich_query("resp_host_counts", lambda spark, d: TOT.resp_host_counts(_resp_h_totals(spark, d)))
 _enrich_query("top_resp_hosts", lambda spark, d: TOT.top_resp_hosts(_resp_h_totals(spark, d), O.TOP_HOSTS))
 _enrich_query("lookup_batch", lambda spark, d: _batch(spark, d))
