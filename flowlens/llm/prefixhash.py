@@ -7,11 +7,12 @@ the longest common extension of two positions is found by binary search.
 
 A fingerprint has the number of code points, the two hashes of the whole text,
 and the ``KEEP`` smallest scrambled hashes of its distinct spans of ``SPAN`` code points
-(the whole text if it is shorter).  Texts below ``SHORT`` code points also have
-their shorter spans among them, of the widths in ``widths``, so that some span survives where half of a text does.
+(the whole text if it is shorter).  Texts below ``SHORT`` code points have a second list, where
+their shorter spans count too, of the widths in ``widths``, so that some span survives where half of a text does.
 Equal texts have equal fingerprints.  The
 likeness of two is the Dice share of common spans, estimated from the
-smallest hashes of their union: 1 for equal texts, about 1/2 if half is replaced (less for short texts, but above 0), 0 if no span is shared.
+smallest hashes of their union (exact up to ``KEEP`` spans): 1 for equal texts, about 1/2 if half is replaced (less for short texts, but above 0), 0 if no span is shared.
+Two short texts are compared by their second lists, all others by the first, so like is compared with like.
 
 ``with_next`` deals the rows out by ranges of the id, so that each document meets
 the next one: the cuts are quantiles of the id, and the first document
@@ -112,28 +113,31 @@ def smallest(values: np.ndarray, keep: int) -> np.ndarray:
 
 
 def widths(n: int) -> list[int]:
-    """The widths of the spans of a text of ``n`` code points; one at least is no more than half of a short one."""
-    if n >= SHORT:
-        return [SPAN]
+    """The widths of the spans of a short text of ``n`` code points; one at least is no more than half of it."""
     return sorted({min(SPAN, n), min(4, n), *([1] if n < 8 else [])})
 
 
+def _marks(p: Prefixes, of: list[int]) -> np.ndarray:
+    if not p.n:
+        return np.zeros(0, dtype=np.uint32)
+    spans = np.concatenate([p.spans(w) for w in of])
+    scrambled = (spans * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    return smallest(scrambled.astype(np.uint32), KEEP)
+
+
 class Fingerprint:
     def __init__(self, text: str):
         p = Prefixes(text)
         self.prefixes = p
-        if p.n:
-            spans = np.concatenate([p.spans(w) for w in widths(p.n)])
-            scrambled = (spans * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-            self.marks = smallest(scrambled.astype(np.uint32), KEEP)
-        else:
-            self.marks = np.zeros(0, dtype=np.uint32)
+        self.marks = (_marks(p, [min(SPAN, p.n)]), *((_marks(p, widths(p.n)),) if p.n < SHORT else ()))
         whole = p.span(0, p.n)
-        self.text = f"{p.n:x}-{whole[0]:08x}{whole[1]:08x}-{self.marks.astype('>u4').tobytes().hex()}"
+        lists = "-".join(m.astype(">u4").tobytes().hex() for m in self.marks)
+        self.text = f"{p.n:x}-{whole[0]:08x}{whole[1]:08x}-{lists}"
 
 
-def parse(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint.rsplit("-", 1)[1]), dtype=">u4").astype(np.uint32)
+def parse(fingerprint: str) -> tuple[np.ndarray, ...]:
+    """The lists of marks: of spans of one width and, for a short text, of several."""
+    return tuple(np.frombuffer(bytes.fromhex(part), dtype=">u4").astype(np.uint32) for part in fingerprint.split("-")[2:])
 
 
 def marks_likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -147,11 +151,16 @@ def marks_likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def likeness(a: str, b: str) -> float:
     """Likeness (0 to 1) of two fingerprints."""
-    return 1.0 if a == b else marks_likeness(parse(a), parse(b))
+    return 1.0 if a == b else lists_likeness(parse(a), parse(b))
+
+
+def lists_likeness(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> float:
+    *_, (x, y) = zip(a, b)  # the last list that both have
+    return marks_likeness(x, y)
 
 
 def _like(a: Fingerprint, b: Fingerprint) -> float:
-    return 1.0 if a.text == b.text else marks_likeness(a.marks, b.marks)
+    return 1.0 if a.text == b.text else lists_likeness(a.marks, b.marks)
 
 
 def edited(text: str, following: str) -> str:
