@@ -15,8 +15,9 @@ number is odd; over the universe that is exact.  The filters are literals
 in the plan: judging a url is a projection, without a join or Python.
 
 Filters grow with the list, not with the corpus (the first level's rate is
-set to listed / universe keys).  Beyond ``MAX_BITS`` a level would no longer be a
-small literal; then the same keys are judged by an equi-join with the list.
+set to listed / universe keys).  Where a level would exceed about ``MAX_BITS``, and so no longer be a
+small literal, keys are dealt into chunks by hash. Each chunk has cascades of its own
+over its part of the universe, and the urls' keys are judged chunk by chunk, in one pass over a thin stored table for each.
 
 Defined results: host is lower-cased in A-Z only; a null url or one without
 ``://`` has an empty host and path, fits no rule and gets the default
@@ -32,9 +33,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import column, store
+from flowlens.llm.common import column, discard, store
 
-MAX_BITS = 1 << 24  # 2 MB of literal a level
+MAX_BITS = 1 << 24  # 2 MB a level
 LEVEL_RATE = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -91,7 +92,7 @@ class Level:
             .groupBy(F.expr("at div 64").alias("w"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("b"))
         )
-        found = {int(r["w"]): int(r["b"]) for r in words.toLocalIterator()}  # at most MAX_BITS / 64 rows
+        found = {int(r["w"]): int(r["b"]) for r in words.toLocalIterator()}  # about MAX_BITS / 64 rows at most
         self.words = ",".join(str(found.get(w, 0)) for w in range(self.bits // 64))
 
     def passes(self, key: Column) -> Column:
@@ -115,29 +116,52 @@ class Cascade:
         return out
 
 
-def cascade(listed: DataFrame, universe: DataFrame) -> Cascade | None:
-    """Of ``listed`` (key) over ``universe`` (key); None if a level would exceed MAX_BITS."""
-    listed = store(listed.select("key").distinct(), "url-listed")
+def first_rate(listed: int, others: int) -> float:
+    return min(LEVEL_RATE, max(1e-9, listed / (math.sqrt(2) * max(others, 1))))
+
+
+def chunks_for(listed: int, others: int) -> int:
+    """How many chunks keep a first level (the largest one) at about MAX_BITS."""
+    return max(1, math.ceil(-listed * math.log(first_rate(listed, others)) / math.log(2) ** 2 / MAX_BITS))
+
+
+def _chunk(key: Column, chunks: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(chunks))
+
+
+def cascade(listed: DataFrame, universe: DataFrame, others: int) -> Cascade:
+    """Of ``listed`` over ``universe``, both distinct ``key``; ``others``: about the number of the universe's."""
     n = listed.count()
-    if not n:
-        return Cascade([])
-    others = universe.agg(F.approx_count_distinct("key")).first()[0]
-    rate = min(LEVEL_RATE, max(1e-9, n / (math.sqrt(2) * max(others, 1))))
-    inside, outside = listed, None
+    inside, outside, rate = listed, None, first_rate(n, others)
     levels: list[Level] = []
+    written = []
     while n:
-        if -n * math.log(rate) / math.log(2) ** 2 > MAX_BITS:
-            return None
         levels.append(Level(inside, len(levels) + 1, n, rate))
-        rest = universe if outside is None else outside
-        wrong = rest.where(levels[-1].passes(F.col("key")))
+        wrong = (universe if outside is None else outside).where(levels[-1].passes(F.col("key")))
         if outside is None:  # only here keys of the universe may be listed ones
-            wrong = wrong.distinct().join(listed, "key", "left_anti")
+            wrong = wrong.join(listed, "key", "left_anti")
         wrong = store(wrong.select("key"), "url-wrong")
+        written.append(wrong)
         inside, outside, n, rate = wrong, inside, wrong.count(), LEVEL_RATE
+    discard(*written)
     return Cascade(levels)
 
 
+def _verdict(made: dict[str, Cascade], chunk: int, chunks: int):
+    """What a key of the chunk is listed as: struct<n, h, key, verdict>, or null."""
+    def of(k: Column) -> Column:
+        def listed(action: str) -> Column:
+            held = made[action].holds(k["key"])
+            return held if chunks == 1 else (_chunk(k["key"], chunks) == chunk) & held
+
+        def named(action: str) -> Column:
+            return F.struct(k["n"], k["h"], k["key"], F.lit(action).alias("verdict"))
+
+        return F.when(listed("block"), named("block")).when(listed("allow"), named("allow"))
+
+    return of
+
+
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row."""
     rules = [(action, host.translate(str.maketrans(UPPER, LOWER)), path) for action, host, path in rules]
@@ -147,33 +171,30 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     host, path = split_url(column(url_col))
     cut = pages.select(column(id_col).alias("page_id"), host.alias("host"), path.alias("path")).withColumn(
         "keys", keys(F.col("host"), F.col("path"), shapes(rules)))
-    universe = cut.select(F.explode("keys").alias("k")).select("k.key")
+    universe = store(cut.select(F.explode("keys").alias("k")).select("k.key").distinct(), "url-keys")
+    others = universe.count()
     blocked = {h + p for a, h, p in rules if a == "block"}
     lists = {"block": blocked, "allow": {h + p for a, h, p in rules if a != "block"} - blocked}
-    frames = {a: spark.createDataFrame([(k,) for k in sorted(v)], "key string") for a, v in lists.items()}
-    made = {a: cascade(f, universe) for a, f in frames.items()}
-    if all(made.values()):
-        found = F.array_compact(F.transform("keys", lambda k: F.when(
-            made["block"].holds(k["key"]), F.struct(k["n"], k["h"], k["key"], F.lit("block").alias("verdict"))
-        ).when(made["allow"].holds(k["key"]), F.struct(k["n"], k["h"], k["key"], F.lit("allow").alias("verdict")))))
-        best = cut.withColumn("best", F.array_max(found))
-    else:
-        best = _by_join(cut, frames)
-    return best.select("page_id", "host", "path", F.col("best.key").alias("rule"),
+    frames = {a: store(spark.createDataFrame([(k,) for k in sorted(v)], "key string"), "url-listed") for a, v in lists.items()}
+    chunks = max(chunks_for(len(v), others) for v in lists.values())
+    rows, last = cut.withColumn("best", F.lit(None).cast("struct<n:int,h:int,key:string,verdict:string>")), None
+    if chunks > 1:
+        rows = last = store(rows, "url-cut")
+    for c in range(chunks):
+        mine = _chunk(F.col("key"), chunks) == c if chunks > 1 else F.lit(True)
+        made = {a: cascade(f.where(mine), universe.where(mine), others // chunks) for a, f in frames.items()}
+        found = F.array_compact(F.transform("keys", _verdict(made, c, chunks)))
+        if chunks == 1:
+            rows = rows.withColumn("best", F.array_max(found))
+        else:
+            rows = store(rows.withColumn("best", F.array_max(F.concat(F.array_compact(F.array("best")), found))), "url-cut")
+            discard(last)
+            last = rows
+    discard(universe, *frames.values())
+    return rows.select("page_id", "host", "path", F.col("best.key").alias("rule"),
                        F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict"))
 
 
-def _by_join(cut: DataFrame, frames: dict[str, DataFrame]) -> DataFrame:
-    """The same decision by an equi-join, for lists whose filters are too large for literals."""
-    listed = frames["block"].withColumn("verdict", F.lit("block")).unionByName(frames["allow"].withColumn("verdict", F.lit("allow")))
-    hits = (
-        cut.select("host", "path", F.explode("keys").alias("k")).select("host", "path", "k.*").distinct()
-        .join(listed, "key").groupBy("host", "path")
-        .agg(F.max(F.struct("n", "h", "key", "verdict")).alias("best"))
-    )
-    return cut.join(hits, ["host", "path"], "left")
-
-
 ORACLE = """
 WITH r(action, host, path) AS (VALUES %s),
 p AS (SELECT page_id, CASE WHEN coalesce(instr(url, '://'), 0) = 0 THEN '' ELSE substr(url, instr(url, '://') + 3) END AS rest FROM pages),
