@@ -1,7 +1,7 @@
 """Exact top-k inner products through an impact-ordered index.
 
 Vectors become integers, floor(scale * x).  The index is built per block of
-about ``BLOCK`` vectors: every non-zero component is a posting (dimension,
+about ``BLOCK`` vectors (fewer if cores would be idle): every non-zero component is a posting (dimension,
 slot, sign) in the segment of its quantised impact, one of ``LEVELS`` equal
 ranges of magnitude.  Beside a segment the index keeps, for each vector, the
 length of what is still unknown of it once that segment and all above are
@@ -11,7 +11,8 @@ A query processes the segments score-at-a-time, in descending quantised
 impact, adding query component times impact to its accumulators.  By
 Cauchy-Schwarz a score lies within (query length * unknown length) of its
 accumulator.  A query stops only when that proves that all but a few
-vectors of the block are outside its top k; these possible members are
+vectors of the block are outside its top k, looking after the shares of postings in ``LOOK`` (so segments
+between two looks are added in one product, four at most); these possible members are
 rescored exactly from the integer vectors.  The k best of all blocks are
 merged by a window with a limit per group.
 
@@ -36,6 +37,7 @@ from flowlens.llm.common import column, store
 
 SCALE = 256
 BLOCK = 16384
+LEAST = 2048  # vectors of a block, if there are cores for more blocks
 GROUP = 8192
 BATCH = 256
 LEVELS = 16
@@ -82,6 +84,20 @@ def build(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[c.split()[0] for c in INDEX_SCHEMA.split(", ")])
 
 
+def between_looks(segments: list) -> list:
+    """The segments in order, grouped by the looks that follow them, and what is unknown after each group."""
+    posted, seen, looks = sum(len(s[0]) for s in segments), 0, list(LOOK)
+    steps, group = [], []
+    for n, (slots, dims, signs, unknown) in enumerate(segments):
+        group.append((slots, dims, signs))
+        seen += len(slots)
+        if n == len(segments) - 1 or (looks and seen >= looks[0] * posted):
+            looks = [x for x in looks if seen < x * posted]
+            steps.append((group, unknown))
+            group = []
+    return steps
+
+
 def search(index: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best vectors of one block for each query of one group: (query_id, vec_id, score)."""
     none = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
@@ -92,12 +108,11 @@ def search(index: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     ids = np.frombuffer(top["ids"], dtype=np.int64)
     vectors = np.frombuffer(top["vectors"], dtype="<i4").reshape(len(ids), dim).astype(np.int64)
     slot_type = "<u2" if len(ids) <= 65536 else "<u4"
-    segments, posted = [], 0
+    segments = []
     for s in index.itertuples(index=False):
-        slots = np.frombuffer(s.slots, dtype=slot_type)
         signs = np.where(np.frombuffer(s.signs, dtype=bool), -s.impact, s.impact)
-        segments.append((slots, np.frombuffer(s.dims, dtype="<i4"), signs, np.frombuffer(s.unknown)))
-        posted += len(slots)
+        segments.append((np.frombuffer(s.slots, dtype=slot_type), np.frombuffer(s.dims, dtype="<i4"), signs, np.frombuffer(s.unknown)))
+    steps = between_looks(segments)
     qids = queries["id"].to_numpy(np.int64)
     q_all = np.array(queries["v"].tolist(), dtype=np.int64).reshape(len(qids), dim)
     out = []
@@ -105,17 +120,13 @@ def search(index: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
         qid, q = qids[at:at + BATCH], q_all[at:at + BATCH]
         length = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
         q_float, acc = q.astype(np.float64), np.zeros((len(qid), len(ids)))
-        active, seen, looks = np.arange(len(qid)), 0, [x * posted for x in LOOK]
-        for n, (slots, dims, signs, unknown) in enumerate(segments):
+        active = np.arange(len(qid))
+        for n, (group, unknown) in enumerate(steps):
             plane = np.zeros((dim, len(ids)))
-            plane[dims, slots] = signs
+            for slots, dims, signs in group:  # a vector's component is a posting of one segment only
+                plane[dims, slots] = signs
             acc += q_float[active] @ plane
-            seen += len(slots)
-            last = n == len(segments) - 1
-            if not last and not (looks and seen >= looks[0]):
-                continue
-            while looks and seen >= looks[0]:
-                looks.pop(0)
+            last = n == len(steps) - 1
             slack = length[active, None] * unknown[None, :] + np.abs(acc) * 1e-12
             own = ids[None, :] == qid[active, None]
             low = np.where(own, -np.inf, acc - slack)
@@ -140,7 +151,8 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     """query_id, rank, vec_id, score: the k best other vectors for each vector whose id is divisible by ``every``."""
     vectors = store(integers(df, id_col, vector_col, scale), "topk-vectors")
     n = vectors.count()
-    blocks, groups = max(1, -(-n // block)), max(1, -(-n // (every * group)))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    blocks, groups = max(1, -(-n // block), min(cores, -(-n // LEAST))), max(1, -(-n // (every * group)))
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
     index = store(dealt.groupBy("dim", "block").applyInPandas(build, INDEX_SCHEMA), "topk-index")
     cells = index.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
