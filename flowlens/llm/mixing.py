@@ -16,8 +16,9 @@ permuted by a hash of (seed, epoch, block).  A source spends its budget on
 whole epochs, then on blocks in the permuted order; the one block that the
 budget cuts is ordered by document hash and filled as far as it reaches.
 So the schedule is a table of a row per (source, epoch, block), and a
-document is taken if its block is, up to the cut.  Only running sums over
-blocks (of about ``BLOCK`` documents over all sources) and within cut blocks are windows.
+document is taken if its block is, up to the cut.  Running sums over
+blocks (of about ``BLOCK`` documents over all sources) and within cut blocks go by 64 ranges of the order's hash,
+so no window holds all of a source's blocks.
 
 Tokens are runs of non-blank characters.  Defined results: null source is a
 source of its own; null text has no tokens; documents of sources without
@@ -37,6 +38,7 @@ BLOCK = 4096
 SEED = 7
 POINTS = 31  # exponents measured in one pass: five halvings
 ROUNDS = 8
+PART_BITS = 6  # 64 ranges of a hash
 REPETITION = 2.0
 
 
@@ -108,6 +110,20 @@ def _order(key, epoch):
     return F.xxhash64(key, epoch, F.lit(SEED))
 
 
+def _running(rows: DataFrame, by: list[str], order: str, value: str, out: str) -> DataFrame:
+    """``rows`` with ``out``: the sum of ``value`` over the rows of the same ``by`` whose ``order``, a hash, is not above theirs."""
+    rows = rows.withColumn("part", F.shiftright(order, 64 - PART_BITS))
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # at most 64 rows a group
+    parts = rows.groupBy(*by, "part").agg(F.sum(value).alias("sum")).select(
+        *(F.col(c).alias(f"{c}_") for c in by), F.col("part").alias("part_"), F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("ahead"))
+    same = F.col("part") == F.col("part_")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    inside = Window.partitionBy(*by, "part").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return (rows.join(parts, same).withColumn(out, F.col("ahead") + F.sum(value).over(inside))
+            .drop("part", "part_", "ahead", *(f"{c}_" for c in by)))
+
+
 def schedule(rows: DataFrame, blocks: int, entropy: float | None = None, repetition: float | str | None = "default",
              budget: float | None = None) -> DataFrame:
     """(source, epoch, block, at, cut, weight): the blocks used, in order of ``at`` (0 to 1); of a block with ``cut``
@@ -129,11 +145,11 @@ def schedule(rows: DataFrame, blocks: int, entropy: float | None = None, repetit
     full = F.when(F.col("total") > 0, F.floor(F.col("spend") / F.col("total") + 1e-9)).otherwise(1).cast("int")
     spent = spent.withColumn("full", full).withColumn("rest", F.greatest(F.lit(0.0), F.col("spend") - F.col("full") * F.col("total")))
     epochs = spent.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("full"))))
-    w = Window.partitionBy("source", "epoch").orderBy(F.xxhash64(F.lit(SEED), "epoch", "block"), "block")
     laid = (
         per_block.join(epochs.select(F.col("source").alias("s"), "epoch", "full", "rest", "spend", "total", "weight"), F.col("source").eqNullSafe(F.col("s")))
-        .withColumn("before", F.sum("t").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("t"))
+        .withColumn("place", F.xxhash64(F.lit(SEED), "epoch", "block"))
     )
+    laid = _running(laid, ["source", "epoch"], "place", "t", "upto").withColumn("before", F.col("upto") - F.col("t"))
     last = F.col("epoch") == F.col("full")
     room = F.when(last, F.col("rest") + 1e-6).otherwise(F.lit(float("inf")))
     laid = laid.withColumn("room", room).where(~last | ((F.col("total") > 0) & (F.col("before") < F.col("room"))))
@@ -141,11 +157,10 @@ def schedule(rows: DataFrame, blocks: int, entropy: float | None = None, repetit
     laid = store(laid.select("source", "epoch", "block", "t", "before", "room", at.alias("at"), "weight"), "mix-laid")
     fits = F.col("before") + F.col("t") <= F.col("room")
     cut = laid.where(~fits).select(F.col("source").alias("s"), "epoch", F.col("block").alias("k"), "before", "room", "at", "weight")
-    order = Window.partitionBy("s", "k").orderBy("order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = dealt.join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k"))).withColumn(
+        "order", _order(F.col("key"), F.col("epoch")))
     partly = (
-        dealt.join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")))
-        .withColumn("order", _order(F.col("key"), F.col("epoch")))
-        .withColumn("sum", F.sum("n_tokens").over(order))
+        _running(store(inside, "mix-cut"), ["source", "block", "epoch"], "order", "n_tokens", "sum")
         .where(F.col("before") + F.col("sum") <= F.col("room"))
         .groupBy("source", "epoch", "block").agg(F.max("order").alias("cut"), F.first("at").alias("at"), F.first("weight").alias("weight"))
     )
