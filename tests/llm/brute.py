@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import string
+import struct
 from collections import Counter, defaultdict
 
 import xxhash
@@ -11,6 +12,14 @@ import xxhash
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
+def xxh(*values):
+    """XXH64 of numbers, each ("i" for 32 or "q" for 64 bits, number), seeded by the hash of those before; signed."""
+    out = 42
+    for kind, x in values:
+        out = xxhash.xxh64(struct.pack("<" + kind, x), seed=out).intdigest()
+    return out - (1 << 64 if out >> 63 else 0)
+
+
 def top_k(rows, every=50, k=5):
     vectors = {i: [math.floor(256 * x) for x in v] for i, v in rows
                if v is not None and all(x is not None and math.isfinite(x) for x in v)}

@@ -166,6 +166,62 @@ def test_mixing_keeps_the_repetition_limit_under_a_budget(spark):
     assert 1997 <= sum(free.values()) <= 2000
 
 
+def plain_schedule(items, blocks, a, budget):
+    """Counter of (doc_id, epoch), by loops: ``items`` are (doc_id, source, tokens, key); blocks permuted each epoch, the last one filled by order."""
+    seed = ("i", mixing.SEED)
+    by = defaultdict(lambda: defaultdict(list))
+    for i, s, n, key in items:
+        by[s][brute.xxh(("q", key), seed) % blocks].append((i, n, key))
+    total = {s: sum(n for b in g.values() for _, n, _ in b) for s, g in by.items()}
+    corpus = sum(total.values())
+    z = sum((t / corpus) ** a for t in total.values())
+    out = Counter()
+    for s, g in by.items():
+        spend = budget * (total[s] / corpus) ** a / z
+        full = int(spend / total[s] + 1e-9)
+        for epoch in range(full + 1):
+            room = spend - full * total[s] + 1e-6 if epoch == full else math.inf
+            used = 0
+            for b in sorted(g, key=lambda b: brute.xxh(seed, ("i", epoch), ("q", b))):
+                if used >= room:
+                    break
+                for i, n, _ in sorted(g[b], key=lambda r: brute.xxh(("q", r[2]), ("i", epoch), seed)):
+                    if used + n <= room:
+                        used += n
+                        out[i, epoch] += 1
+                    else:
+                        used = math.inf  # nothing after the cut
+                        break
+    return out
+
+
+@pytest.mark.parametrize("budget", [900.0, 4_000.0, 20_000.0])
+def test_mixing_against_a_plain_schedule(spark, monkeypatch, budget):
+    rng = np.random.default_rng(int(budget))
+    sizes = {i: int(rng.integers(1, 30)) for i in range(300)}
+    df = docs(spark, [(i, " ".join(["w"] * n)) for i, n in sizes.items()]).withColumn(
+        "source", F.when(F.col("doc_id") < 20, None).when(F.col("doc_id") < 80, "c").otherwise("a"))
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    got = mixing.mixture(df, budget=budget, entropy=0.9).collect()
+    keys = {r.doc_id: r.key for r in mixing._rows(df, "doc_id", "text", "source").collect()}
+    source = {i: None if i < 20 else "c" if i < 80 else "a" for i in sizes}
+    total = Counter()
+    for i, n in sizes.items():
+        total[source[i]] += n
+    shares = [t / sum(total.values()) for t in total.values()]
+    low, high = 0.0, 1.0  # the exponent by plain bisection
+    for _ in range(200):
+        mid = (low + high) / 2
+        w = np.array(shares) ** mid
+        w /= w.sum()
+        low, high = (mid, high) if -(w * np.log(w)).sum() / math.log(3) >= 0.9 else (low, mid)
+    weights = {r.source: r.weight for r in got}
+    z = sum(p**low for p in shares)
+    assert all(abs(weights[s] - (t / sum(total.values())) ** low / z) < 1e-6 for s, t in total.items() if s in weights)
+    want = plain_schedule([(i, source[i], n, keys[i]) for i, n in sizes.items()], -(-300 // 16), low, budget)
+    assert Counter((r.doc_id, r.epoch) for r in got) == want
+
+
 def test_mixing_edges(spark, odd, empty):
     df = docs(spark, odd).withColumn("source", F.when(F.col("doc_id") == 9, None).when(F.length("text") < 8, "blank").otherwise(F.col("source")))
     out = mixing.mix(df)
