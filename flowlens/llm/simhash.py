@@ -234,7 +234,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .groupBy("root").agg(F.min("first").alias("first"))
         .select(F.col("first.number").alias(a), F.col("first.key").alias(b))
     )
-    kept = docs.withColumns({a: number, b: key}).join(stay, [a, b], "left_semi").dropDuplicates([a, b])
+    # Decisions are made on thin keys: only the rows that go, or that are repeated, are looked up among whole ones.
+    keys = prints.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias(a), F.col("key").alias(b)).groupBy(a, b).agg(F.count("*").alias("n"))
+    told = store(keys.join(stay.withColumn("stays", F.lit(True)), [a, b], "left").where("stays is null or n > 1"), "simhash-told")
+    discard(prints)
+    rows = docs.withColumns({a: number, b: key})
+    kept = rows.join(told.select(a, b), [a, b], "left_anti")
+    repeated = told.where("stays").select(a, b)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(rows.join(repeated, [a, b], "left_semi").dropDuplicates([a, b]))
     return kept.select(*(column(c) for c in docs.columns))
 
 
