@@ -43,7 +43,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.digests(docs, registry.model_path())
+    return pieces.digests(docs, registry.model_path(), cache=100_000)  # the workers hold other stages' tables, too
 
 
 STAGES = [
