@@ -18,18 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import mixing, pieces, pii, quality, registry, simhash
-from flowlens.llm.common import free_name, store, table
+from flowlens.llm.common import free_name, small_batches, store, table
 
 ORACLE_SQL = None  # SQL cannot express the classifier, the bootstrapped patterns or the encoder
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     vectors, net = quality.learn(docs, table(spark, sf_dir, "labels"))
     score = free_name(docs, "score")
     return quality.scored(docs, vectors, net, score).where(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return simhash.one_of_each(docs)
 
 
@@ -43,6 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pieces.digests(docs, registry.model_path(), cache=100_000)  # the workers hold other stages' tables, too
 
 

@@ -55,6 +55,19 @@ def column(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand Python at most ``BATCH_ROWS`` rows at once (a setting of the session, also for what comes later).
+
+    A batch of whole texts is held by the JVM's direct memory and by the worker, and neither gives it back between stages.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def smaller(batches, rows: int = 1024):
     """The Arrow batches in slices of at most ``rows`` rows, so that few texts are Python strings at a time."""
     for batch in batches:
