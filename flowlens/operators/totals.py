@@ -1,9 +1,10 @@
 """A1 hourly grouped totals, A5 connections per responder, T4 top responders.
 
 ``totals_all`` computes the 21 totals with GROUPING SETS instead of 21
-queries.  Spark plans each grouping-sets aggregate as Expand -> partial
+queries, by default one for each family of nested sets.  Spark plans each grouping-sets aggregate as Expand -> partial
 HashAggregate (map-side combine, so hot keys collapse before the shuffle)
--> one shuffle on the grouping keys -> final HashAggregate.  The grouping number, not a null
+-> one shuffle on the grouping keys -> final HashAggregate.  A task of either aggregate holds its
+groups in memory, so those of few sets at a time.  The grouping number, not a null
 test, names each row's set, so a null SERVICE in the data stays apart from
 the rolled-up SERVICE.
 """
@@ -63,10 +64,22 @@ def totals(conn: DataFrame, tipo: str | TotalSpec, unit: str = "hour") -> DataFr
     return _full_layout(agg, conn)
 
 
-def totals_all(conn: DataFrame, specs=TOTALS, strategy: str = "grouping_sets", unit: str = "hour") -> DataFrame:
-    """All totals in one pass over the input.
+def families(specs=TOTALS, most: int = 3) -> list[tuple[TotalSpec, ...]]:
+    """The sets in families of at most ``most``: a set of many dimensions, then sets nested in it."""
+    left, out = sorted(specs, key=lambda s: -len(s.dims)), []
+    while left:
+        inside = [s for s in left if set(s.dims) <= set(left[0].dims)][:most]
+        left = [s for s in left if s not in inside]
+        out.append(tuple(inside))
+    return out
+
 
-    strategy ``grouping_sets`` (default): one scan, one Expand (21 rows per input row), one shuffle.
+def totals_all(conn: DataFrame, specs=TOTALS, strategy: str = "families", unit: str = "hour") -> DataFrame:
+    """All totals.
+
+    strategy ``families`` (default): per family of ``families`` a scan, an Expand (3 rows per input row) and a shuffle.
+    A task holds the groups of one family, a sixth of all.
+    strategy ``grouping_sets``: one scan, one Expand (21 rows per input row), one shuffle.
     strategy ``two_level``: see ``_totals_two_level``.
     strategy ``union``: one aggregate per set, unioned; Spark scans the
     input once per set unless the caller caches it (kept for comparison).
@@ -74,8 +87,11 @@ def totals_all(conn: DataFrame, specs=TOTALS, strategy: str = "grouping_sets", u
     specs = tuple(specs)
     if strategy == "two_level":
         return _totals_two_level(conn, specs, unit)
-    if strategy == "union":
-        parts = [totals(conn, s, unit) for s in specs]
+    if strategy in ("union", "families"):
+        if strategy == "union":
+            parts = [totals(conn, s, unit) for s in specs]
+        else:
+            parts = [_family(conn, f, unit) for f in families(specs)]
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -90,6 +106,17 @@ def totals_all(conn: DataFrame, specs=TOTALS, strategy: str = "grouping_sets", u
     return _full_layout(agg.withColumn(TIPO, tipo_of_grouping(F.col("_grouping"))), conn)
 
 
+def _family(conn: DataFrame, specs: tuple[TotalSpec, ...], unit: str) -> DataFrame:
+    """The totals of sets nested in the first of them, by one aggregate over its dimensions."""
+    if len(specs) == 1:
+        return totals(conn, specs[0], unit)
+    dims = specs[0].dims
+    sets = [[F.col(TS), *[F.col(d) for d in s.dims]] for s in specs]
+    agg = _with_hour(conn, unit).groupingSets(sets, F.col(TS), *[F.col(d) for d in dims]).agg(
+        *measure_aggregates(), grouping_number(dims).alias("_grouping"))
+    return _full_layout(agg.withColumn(TIPO, tipo_of_grouping(F.col("_grouping"))), conn)
+
+
 def resp_host_counts(resp_h_totals: DataFrame) -> DataFrame:
     """A5: connections per responder host over the RESP_H totals."""
     df = resp_h_totals
