@@ -54,16 +54,19 @@ def job_records(log: DataFrame, out_dir: str, since=None) -> list[str]:
     return X.export_records(log, out_dir, since) + X.export_www(log, out_dir, since)
 
 
-def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strategy="grouping_sets",
+def job_totals(log: DataFrame, tables_dir: str, since=None, run_ts=None, strategy="families",
                row_id: bool = False, metrics: dict | None = None, merge: bool = False) -> str:
     """Job 5: the 21 hourly totals -> LOG_TOTAIS partitioned by TIPO and RUN_ID.
 
+    By families (or ``union``) a task of the last aggregate holds few kinds, so it writes them itself: its rows are shuffled once.
+
     ``merge``: the run's totals are also added to the all-time totals LOG_TOTAIS_ALL, once: a rerun adds nothing to them.
     """
     run_ts = run_ts or _now()
     conn = scans.scan_conn(log, since)
     res = stamp_run(TOT.totals_all(conn, strategy=strategy), run_ts, since, row_id)
-    path = write_results(res, os.path.join(tables_dir, LOG_TOTAIS), metrics=metrics, replaces={"RUN_ID": run_id_of(run_ts)})
+    path = write_results(res, os.path.join(tables_dir, LOG_TOTAIS), metrics=metrics, replaces={"RUN_ID": run_id_of(run_ts)},
+                         deal=strategy not in ("families", "union"))
     if merge:
         run = run_id_of(run_ts)
         TotalsState(log.sparkSession, os.path.join(tables_dir, LOG_TOTAIS_ALL)).merge(ResultTable(log.sparkSession, path).read(run_id=run), f"RUN_ID={run}")

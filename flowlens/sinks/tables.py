@@ -49,7 +49,7 @@ def stamp_run(df: DataFrame, run_ts, since=None, row_id: bool = False) -> DataFr
 
 
 def write_results(df: DataFrame, path: str, partition_by=("TIPO", "RUN_ID"), metrics: dict | None = None,
-                  replaces: dict | None = None, rows_per_file: int = 2_000_000) -> str:
+                  replaces: dict | None = None, rows_per_file: int = 2_000_000, deal: bool = True) -> str:
     """K3: write a stamped result frame and publish it.
 
     ``partition_by`` is the kind and the columns that name a run.  ``replaces`` names the run the frame stands for
@@ -58,6 +58,8 @@ def write_results(df: DataFrame, path: str, partition_by=("TIPO", "RUN_ID"), met
     Rows are dealt by the partition columns before the write and a file holds at most
     ``rows_per_file`` rows, so the number of files follows the data, not the
     tasks; the deal is a REBALANCE, of which Spark splits a large kind over several tasks.
+    ``deal=False`` writes the rows where they are, without that shuffle: for frames whose tasks follow the
+    data and hold few kinds each, like ``totals_all`` by families.
     ``metrics`` (a dict) receives ``rows`` written, observed during the
     write itself (``DataFrame.observe``) rather than by a counting job.
     """
@@ -66,7 +68,7 @@ def write_results(df: DataFrame, path: str, partition_by=("TIPO", "RUN_ID"), met
     schema = T.StructType([f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by]).jsonValue()
     observation = Observation("written")
     df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    dealt = df.hint("rebalance", *(F.col(c) for c in partition_by))
+    dealt = df.hint("rebalance", *(F.col(c) for c in partition_by)) if deal else df
     attempt = table.new_attempt()
     dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).parquet(f"{table.path}/{attempt}")
     try:
