@@ -49,3 +49,16 @@ def possible(rows: DataFrame, field: str, bits: DataFrame, blocks: int) -> DataF
         byte = F.conv(F.hex(F.substring(bitmap, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         known = known.where(F.getbit(byte, (at % 8).cast("int")) == 1)
     return known.drop(block, bitmap)
+
+
+def marked(rows: DataFrame, key: Column, bits: DataFrame, blocks: int, name: str) -> DataFrame:
+    """Every row once, with ``name``: whether ``key``, of the rows, may be among the keys (null never is)."""
+    names = {c.lower() for c in rows.columns}
+    block, bitmap = (next(n for n in (f"{c}{'_' * i}" for i in range(len(names) + 1)) if n not in names) for c in ("_block", "_bits"))
+    held = F.broadcast(bits.select(F.col("block").alias(block), F.col("bits").alias(bitmap)))
+    may = F.lit(True)
+    for at in _positions(key):
+        byte = F.conv(F.hex(F.substring(bitmap, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        may = may & (F.getbit(byte, (at % 8).cast("int")) == 1)
+    known = rows.join(held, _block(key, blocks) == F.col(block), "left")
+    return known.withColumn(name, key.isNotNull() & F.coalesce(may, F.lit(False))).drop(block, bitmap)

@@ -43,6 +43,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.functions import bloom
 from flowlens.llm.common import column, discard, free_name, store
 
 # Kinds in order, and the patterns of their base matches.
@@ -272,18 +273,24 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **l
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
-    """``docs`` with every span, base and found, replaced by ``[KIND]`` (overlapping spans by that of the first)."""
+    """``docs`` with every span, base and found, replaced by ``[KIND]`` (overlapping spans by that of the first).
+
+    Only texts that may have found spans, by a Bloom filter of the hashes of those that do, are shuffled to them.
+    """
     thin = occurrences(docs, id_col, text_col)
     by = ["doc_id", "hash", "piece", "offset"]
-    key, digest, extra = (free_name(docs, name) for name in ("pii_id", "pii_hash", "pii_found"))
+    key, digest, extra, may = (free_name(docs, name) for name in ("pii_id", "pii_hash", "pii_found", "pii_may"))
     inside = F.transform("found", lambda m: F.struct((m["start"] - F.col("offset")).alias("start"), (m["end"] - F.col("offset")).alias("end"), m["kind"]))
-    more = (
+    more = store(
         found_spans(thin, discover(thin, **limits), by)
         .groupBy(F.col("doc_id").alias(key), F.col("hash").alias(digest))
-        .agg(F.map_from_entries(F.collect_list(F.struct("piece", inside))).alias(extra))
-    )
+        .agg(F.map_from_entries(F.collect_list(F.struct("piece", inside))).alias(extra)), "pii-more")
     text = column(text_col)
-    joined = docs.join(more, column(id_col).cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(digest)), "left")
+    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
+    blocks = bloom.blocks_for(more.count())
+    split = bloom.marked(docs, hashed, bloom.build(more, digest, blocks), blocks, may)
+    joined = split.where(may).join(more, column(id_col).cast("long").eqNullSafe(F.col(key)) & (hashed == F.col(digest)), "left")
+    joined = joined.drop(key, digest).unionByName(split.where(~F.col(may)).withColumn(extra, F.lit(None).cast(more.schema[extra].dataType)))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     nothing = F.array().cast("array<struct<start:int,end:int,kind:int>>")
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
