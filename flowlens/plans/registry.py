@@ -461,7 +461,10 @@ for _spec in TOTALS:
 # ------------------------------------- state, models and cache that outlive a run
 @register("totals_merged", O.totals_all_sql())
 def _totals_merged(spark, sf_dir):
-    """All-time totals from three runs by ingest time, the second of them replayed."""
+    """All-time totals from three runs by ingest time, the second of them replayed.
+
+    A run's totals are stored before they are merged, so each set has its own aggregate: a task holds the groups of one.
+    """
     rows = conn(spark, sf_dir)
     low, high = rows.agg(F.min("TS_CODE"), F.max("TS_CODE")).first()
     cuts = [low + (high - low) / 3, low + 2 * (high - low) / 3]
@@ -469,7 +472,7 @@ def _totals_merged(spark, sf_dir):
             rows.where(F.col("TS_CODE") > cuts[1])]
     state = TotalsState(spark, f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}")
     for n in (0, 1, 1, 2):
-        state.merge(TOT.totals_all(runs[n]), f"RUN_ID={n}")
+        state.merge(TOT.totals_all(runs[n], strategy="union"), f"RUN_ID={n}")
     return state.read()
 
 

@@ -4,10 +4,11 @@ import datetime as dt
 import re
 
 from flowlens.operators import totals as TOT
-from flowlens.plans import jobs
+from flowlens.plans import jobs, registry
 from flowlens.schemas import TOTALS
 from flowlens.session import RUNTIME_CONF
 from flowlens.sinks import read_results
+from flowlens.sinks.state import TotalsState
 from flowlens.sources import scans
 from tests.conftest import conn_row
 
@@ -58,3 +59,20 @@ def test_partitions_do_not_depend_on_the_session(spark):
     configure(spark)
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 400 > int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert RUNTIME_CONF["spark.sql.files.maxPartitionBytes"] == "16m"
+
+
+def test_merged_runs_are_aggregated_set_by_set(spark, make_log, monkeypatch):
+    conn, plans = scans.scan_conn(_log(make_log)), []
+    plain = TotalsState.merge
+    monkeypatch.setattr(registry, "conn", lambda spark, sf_dir: conn)
+    monkeypatch.setattr(TotalsState, "merge", lambda self, totals, run: (plans.append(totals._jdf.queryExecution().executedPlan().toString()), plain(self, totals, run))[1])
+    found = registry.queries()["totals_merged"](spark, "none")
+    assert len(plans) == 4 and not any("Expand" in p for p in plans)  # up to three sets in a task before
+    assert _same(found, registry.rounded(TOT.totals_all(conn)))
+
+
+def test_joined_partitions_are_no_larger_than_what_a_task_reads(spark):
+    from flowlens.session import configure
+
+    configure(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == RUNTIME_CONF["spark.sql.files.maxPartitionBytes"]
