@@ -235,6 +235,20 @@ def test_suffix_dedup_random(spark, seed):
     assert rows(suffix.dedup(docs(spark, items), length=60, seed=40, group=3).select(RESULT5)) == brute.suffix_dedup(items, 60)
 
 
+@pytest.mark.parametrize("size, gone", [(394, 0), (399, 0), (400, 400)])
+def test_suffix_dedup_judges_passages_by_bytes_not_words(spark, size, gone):
+    """A passage of over 50 words that three documents share goes from 400 bytes on, at 394 (the longest of ``benchmark``) it stays."""
+    rng = random.Random(size)
+    words = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 6))) for _ in range(120))
+    passage = words[:size - 1] + "z"
+    assert len(passage.split()) > 50
+    other = ["".join(rng.choice("ijklmnop ") for _ in range(700)) for _ in range(6)]
+    items = [(i, f"{other[2 * i]}{i}{passage}{i}{other[2 * i + 1]}") for i in range(3)]
+    got = suffix.dedup(docs(spark, items))
+    assert rows(got.select(RESULT5)) == brute.suffix_dedup(items)
+    assert [(r.n_removed, r.n_spans) for r in got.collect()] == [(gone, int(gone > 0))] * 3
+
+
 def test_suffix_dedup_small_table(spark, sf_dir):
     assert rows(R.op5_suffix_dedup(spark, sf_dir).select(RESULT5)) == brute.suffix_dedup(texts(table(spark, sf_dir, "documents")))
 
